@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import clean, marts, model
 from ..session import shared_dir
-from ..sources import adapter, landing, schemas
+from ..sources import adapter, geojson, landing, schemas
 
 FACT_PARTITIONS = ["year"]
 
@@ -39,6 +39,14 @@ class Layers:
     def silver(self, spark: SparkSession) -> DataFrame:
         return landing.read_layer(spark, self.root, "silver", "crime", schemas.SILVER)
 
+    @property
+    def landing_dir(self) -> str:
+        return f"{self.root}/landing/crime"
+
+    @property
+    def areas_dir(self) -> str:
+        return f"{self.root}/landing/areas"
+
 
 def write_fact(fact: DataFrame, root: str) -> str:
     """Gold fact, partitioned by year and date-ordered inside each file."""
@@ -62,6 +70,7 @@ def refresh(spark: SparkSession, bronze: DataFrame, root: str,
 
 
 _BUILT: dict[tuple[str, str], Layers] = {}
+_EXTRAS: set[tuple[str, str, str]] = set()
 _LOCK = threading.Lock()
 
 
@@ -84,3 +93,25 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
                             "mart_crime_daily_area")
         _BUILT[key] = out
         return out
+
+
+def landing_files(spark: SparkSession, sf_dir: str) -> str:
+    """Raw JSON records derived from ``sf_dir`` (written once per app)."""
+    out = layers(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "landing")
+    with _LOCK:
+        if key not in _EXTRAS:
+            landing.write_landing(adapter.bronze_from_star(spark, sf_dir), out.landing_dir)
+            _EXTRAS.add(key)
+    return out.landing_dir
+
+
+def area_files(spark: SparkSession, sf_dir: str) -> str:
+    """GeoJSON collections (one per line) derived from ``sf_dir`` (written once per app)."""
+    out = layers(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "areas")
+    with _LOCK:
+        if key not in _EXTRAS:
+            geojson.write_area_collections(spark, sf_dir, out.areas_dir)
+            _EXTRAS.add(key)
+    return out.areas_dir
