@@ -31,6 +31,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-distribute ``df`` on ``key`` only when its scan yields fewer partitions
+    than the cluster has cores (e.g. one small single-row-group file).
+
+    Large inputs already split into many file partitions and are returned
+    unchanged, so no shuffle is added at scale. Hashing (not round-robin) keeps
+    the distribution deterministic on task retry without a pre-sort.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def _s(c: Column) -> Column:
     return c.cast("string")
 
@@ -42,8 +56,9 @@ def _lpad(c: Column, n: int) -> Column:
 def bronze_from_star(spark: SparkSession, sf_dir: str,
                      ingest_date: str = "2024-01-01") -> DataFrame:
     """Bronze-shaped rows (all text + lineage) derived from the star schema."""
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"),
+        "l_orderkey")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
