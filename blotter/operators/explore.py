@@ -121,8 +121,9 @@ def area_share_top10_flagged(fact: DataFrame, n: int = 10) -> DataFrame:
                       F.row_number().over(by_total).alias("_total_rank"))
     return (ranked.where(F.col("share_rank") <= n)
                   .withColumn("in_top_total", F.col("_total_rank") <= n)
-                  .select("area_name", "violent_share", "violent_crimes", "total_crimes",
-                          "share_rank", "in_top_total"))
+                  .select("area_name", "violent_share",
+                          (F.col("violent_share") * 100).alias("violent_share_pct"),
+                          "violent_crimes", "total_crimes", "share_rank", "in_top_total"))
 
 
 # J03 + A22 – types seen more than 50 times, approximate median delay

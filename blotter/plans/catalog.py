@@ -1,9 +1,11 @@
 """Registered queries (Spark) and their DuckDB oracles, with default parameters.
 
-Each entry reads the star-schema tables of ``sf_dir`` — directly (layer
-operators) or through the fact and daily mart that the batch refresh derives
-from them and writes (dashboard and exploration operators read those written
-tables, as in the source workflow).
+Each entry reads data that Spark derives from the star-schema tables of
+``sf_dir`` and writes once per application (``refresh.layers``): the bronze
+layer (cleaning, gold model and silver checks start there), the de-duplicated
+gold fact and the daily mart (marts, dashboard metrics and exploration read
+those), as in the source workflow where every notebook reads the table the
+previous one wrote.
 
 Oracle conventions: measures whose last bits depend on summation order
 (averages of averages, standard deviations, z-scores) are rounded to 6 places
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..operators import anomaly, areas, clean, explore, marts, metrics, model, quality
 from ..operators.filters import Filters, default_period
-from ..sources import adapter, geojson, landing
+from ..sources import geojson, landing
 from . import oracle as O
 from .refresh import area_files, landing_files, layers
 
@@ -74,7 +76,8 @@ def _sql_where(f: Filters) -> str:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapter.bronze_from_star(spark, sf_dir)
+    """The written bronze layer (derived from the star schema by the ingest step)."""
+    return layers(spark, sf_dir).bronze(spark)
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,8 +328,8 @@ def q_area_night_share(spark, sf_dir):
 
 
 @register("area_share_top10_flagged", O.with_prefix("""
-SELECT area_name, violent_share, violent_crimes, total_crimes, share_rank,
-  total_rank <= 10 AS in_top_total
+SELECT area_name, violent_share, violent_share * 100 AS violent_share_pct, violent_crimes,
+  total_crimes, share_rank, total_rank <= 10 AS in_top_total
 FROM (SELECT *,
         row_number() OVER (ORDER BY violent_share DESC NULLS LAST, area_name ASC NULLS LAST) AS share_rank,
         row_number() OVER (ORDER BY total_crimes DESC NULLS LAST, area_name ASC NULLS LAST) AS total_rank
@@ -641,6 +644,18 @@ def q_area_list(spark, sf_dir):
     return metrics.area_list(mart(spark, sf_dir))
 
 
+LOOKUP_AREA_NAME = "NATION 3"
+
+
+@register("area_lookup", O.with_prefix(f"""
+SELECT min(area_id) AS area_id FROM (
+ SELECT DISTINCT area_id, area_name FROM mart_daily_area
+ WHERE area_id IS NOT NULL AND area_name IS NOT NULL) t
+WHERE area_name = {O._q(LOOKUP_AREA_NAME)}"""))
+def q_area_lookup(spark, sf_dir):
+    return metrics.area_id_for_name(metrics.area_list(mart(spark, sf_dir)), LOOKUP_AREA_NAME)
+
+
 def _monthly_total_sql(f: Filters) -> str:
     return f"""
 SELECT CAST(date_trunc('month', occurrence_ts) AS DATE) AS month_start, count(*) AS incidents,

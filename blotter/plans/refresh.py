@@ -5,9 +5,10 @@ cuts lineage (a lost executor recomputes from the last written layer, not from
 the raw landing files) and lets dashboards read a year-partitioned fact whose
 date filters prune partitions.
 
-``layers(spark, sf_dir)`` is the query catalogue's entry: it builds the fact
-and the daily mart for one input folder once per application, under the
-shared folder named by ``spark.checkpoint.dir``.
+``layers(spark, sf_dir)`` is the query catalogue's entry: for one input folder
+it writes bronze (the ingest step), the de-duplicated gold fact and the daily
+mart once per application, under the shared folder named by
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import clean, marts, model
-from ..session import shared_dir
+from ..session import app_id, shared_dir
 from ..sources import adapter, geojson, landing, schemas
 
 FACT_PARTITIONS = ["year"]
@@ -36,6 +37,9 @@ class Layers:
     def mart_daily_area(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(landing.layer_path(self.root, "gold", "mart_crime_daily_area"))
 
+    def bronze(self, spark: SparkSession) -> DataFrame:
+        return landing.read_layer(spark, self.root, "bronze", "crime", schemas.BRONZE)
+
     def silver(self, spark: SparkSession) -> DataFrame:
         return landing.read_layer(spark, self.root, "silver", "crime", schemas.SILVER)
 
@@ -57,11 +61,11 @@ def write_fact(fact: DataFrame, root: str) -> str:
 def refresh(spark: SparkSession, bronze: DataFrame, root: str,
             write_bronze: bool = True) -> Layers:
     """The full batch: every layer and all five marts are written under ``root``."""
+    out = Layers(root)
     if write_bronze:
         landing.write_layer(bronze, root, "bronze", "crime")
-        bronze = landing.read_layer(spark, root, "bronze", "crime", schemas.BRONZE)
+        bronze = out.bronze(spark)
     landing.write_layer(clean.silver(bronze), root, "silver", "crime")
-    out = Layers(root)
     write_fact(model.gold(out.silver(spark)), root)
     fact = out.fact(spark)
     for name, build in marts.MARTS.items():
@@ -81,14 +85,14 @@ def _tag(sf_dir: str) -> str:
 
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
     """Fact + daily mart for the star-schema folder ``sf_dir`` (built once per app)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (app_id(spark), os.path.abspath(sf_dir))
     with _LOCK:
         if key in _BUILT:
             return _BUILT[key]
         root = f"{shared_dir(spark)}/blotter-layers/{key[0]}/{_tag(key[1])}"
         out = Layers(root)
-        bronze = adapter.bronze_from_star(spark, sf_dir)
-        write_fact(model.gold(clean.silver(bronze)), root)
+        landing.write_layer(adapter.bronze_from_star(spark, sf_dir), root, "bronze", "crime")
+        write_fact(model.gold(clean.silver(out.bronze(spark))), root)
         landing.write_layer(marts.mart_daily_area(out.fact(spark)), root, "gold",
                             "mart_crime_daily_area")
         _BUILT[key] = out
@@ -98,10 +102,10 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
 def landing_files(spark: SparkSession, sf_dir: str) -> str:
     """Raw JSON records derived from ``sf_dir`` (written once per app)."""
     out = layers(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "landing")
+    key = (app_id(spark), os.path.abspath(sf_dir), "landing")
     with _LOCK:
         if key not in _EXTRAS:
-            landing.write_landing(adapter.bronze_from_star(spark, sf_dir), out.landing_dir)
+            landing.write_landing(out.bronze(spark), out.landing_dir)
             _EXTRAS.add(key)
     return out.landing_dir
 
@@ -109,7 +113,7 @@ def landing_files(spark: SparkSession, sf_dir: str) -> str:
 def area_files(spark: SparkSession, sf_dir: str) -> str:
     """GeoJSON collections (one per line) derived from ``sf_dir`` (written once per app)."""
     out = layers(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "areas")
+    key = (app_id(spark), os.path.abspath(sf_dir), "areas")
     with _LOCK:
         if key not in _EXTRAS:
             geojson.write_area_collections(spark, sf_dir, out.areas_dir)

@@ -34,6 +34,11 @@ def local_session(cores: int | str = "*", app: str = "blotter",
     )
 
 
+def app_id(spark: SparkSession) -> str:
+    """Application id (also available on sessions without a local SparkContext)."""
+    return spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors, taken from ``spark.checkpoint.dir``.
 

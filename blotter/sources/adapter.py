@@ -39,10 +39,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     unchanged, so no shuffle is added at scale. Hashing (not round-robin) keeps
     the distribution deterministic on task retry without a pre-sort.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access: leave the plan as is
         return df
-    return df.repartition(cores, key)
+    return df if parts >= cores else df.repartition(cores, key)
 
 
 def _s(c: Column) -> Column:
