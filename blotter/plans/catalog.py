@@ -329,7 +329,7 @@ def q_area_night_share(spark, sf_dir):
 
 @register("area_share_top10_flagged", O.with_prefix("""
 SELECT area_name, violent_share, violent_share * 100 AS violent_share_pct, violent_crimes,
-  total_crimes, share_rank, total_rank <= 10 AS in_top_total
+  total_crimes, CAST(share_rank AS INTEGER) AS share_rank, total_rank <= 10 AS in_top_total
 FROM (SELECT *,
         row_number() OVER (ORDER BY violent_share DESC NULLS LAST, area_name ASC NULLS LAST) AS share_rank,
         row_number() OVER (ORDER BY total_crimes DESC NULLS LAST, area_name ASC NULLS LAST) AS total_rank
