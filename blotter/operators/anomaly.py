@@ -73,13 +73,14 @@ def anomaly_by_weekday(fact: DataFrame, **kw) -> DataFrame:
     """Anomaly days per weekday, all 7 weekdays present (0 when none).
 
     Both join sides are bounded (7 spine rows, at most 7 aggregated rows), so the
-    planner broadcasts one of them; no hint is needed."""
+    planner broadcasts one of them; no hint is needed. The 7 result rows are put in
+    weekday order inside one partition (no range-partitioning exchange)."""
     counts = daily_anomalies(fact, **kw).groupBy("weekday").agg(
         F.count(F.lit(1)).alias("anomaly_days"))
     spine = _spine(fact.sparkSession, codes.WEEKDAYS_SHORT, "weekday")
     return (spine.join(counts, "weekday", "left")
             .select("weekday", F.coalesce("anomaly_days", F.lit(0)).alias("anomaly_days"), "_ord")
-            .orderBy("_ord").drop("_ord"))
+            .coalesce(1).sortWithinPartitions("_ord").drop("_ord"))
 
 
 def anomaly_by_dom(fact: DataFrame, **kw) -> DataFrame:
@@ -89,7 +90,7 @@ def anomaly_by_dom(fact: DataFrame, **kw) -> DataFrame:
     spine = fact.sparkSession.range(1, 32).select(F.col("id").cast("int").alias("day_of_month"))
     return (spine.join(counts, "day_of_month", "left")
             .select("day_of_month", F.coalesce("anomaly_days", F.lit(0)).alias("anomaly_days"))
-            .orderBy("day_of_month"))
+            .coalesce(1).sortWithinPartitions("day_of_month"))
 
 
 # re-exported so callers find the daily series next to its scoring

@@ -89,16 +89,22 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
     with _LOCK:
         if key in _BUILT:
             return _BUILT[key]
-        root = f"{shared_dir(spark)}/blotter-layers/{key[0]}/{_tag(key[1])}"
-        out = Layers(root)
-        landing.write_layer(adapter.bronze_from_star(spark, sf_dir), root, "bronze", "crime")
-        write_fact(model.gold(clean.silver(out.bronze(spark))), root)
-        landing.write_layer(marts.mart_daily_area(out.fact(spark)), root, "gold",
-                            "mart_crime_daily_area")
+        out = build_layers(spark, sf_dir,
+                           f"{shared_dir(spark)}/blotter-layers/{key[0]}/{_tag(key[1])}")
         _BUILT[key] = out
         return out
 
 
+def build_layers(spark: SparkSession, sf_dir: str, root: str) -> Layers:
+    """Write bronze (derived from the star schema), the gold fact and the daily mart."""
+    out = Layers(root)
+    landing.write_layer(adapter.bronze_from_star(spark, sf_dir), root, "bronze", "crime")
+    write_fact(model.gold(clean.silver(out.bronze(spark))), root)
+    landing.write_layer(marts.mart_daily_area(out.fact(spark)), root, "gold",
+                        "mart_crime_daily_area")
+    return out
+
+
 def landing_files(spark: SparkSession, sf_dir: str) -> str:
     """Raw JSON records derived from ``sf_dir`` (written once per app)."""
     out = layers(spark, sf_dir)
