@@ -31,20 +31,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-distribute ``df`` on ``key`` only when its scan yields fewer partitions
-    than the cluster has cores (e.g. one small single-row-group file).
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores only when its scan yields fewer
+    partitions than that (e.g. one small single-row-group file).
 
     Large inputs already split into many file partitions and are returned
-    unchanged, so no shuffle is added at scale. Hashing (not round-robin) keeps
-    the distribution deterministic on task retry without a pre-sort.
+    unchanged, so no shuffle is added at scale. Round-robin (not a key hash)
+    stays balanced even if one key holds a third of the rows; Spark sorts each
+    input partition first, so a retried task reproduces the same split.
     """
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
         parts = df.rdd.getNumPartitions()
     except Exception:  # sessions without RDD access: leave the plan as is
         return df
-    return df if parts >= cores else df.repartition(cores, key)
+    return df if parts >= cores else df.repartition(cores)
 
 
 def _s(c: Column) -> Column:
@@ -59,8 +60,7 @@ def bronze_from_star(spark: SparkSession, sf_dir: str,
                      ingest_date: str = "2024-01-01") -> DataFrame:
     """Bronze-shaped rows (all text + lineage) derived from the star schema."""
     li = spread(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"),
-        "l_orderkey")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"))
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
