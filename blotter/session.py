@@ -30,6 +30,10 @@ def local_session(cores: int | str = "*", app: str = "blotter",
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BLOTTER_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # HotSpot never JIT-compiles methods over 8000 bytes of bytecode; with this
+        # limit Spark falls back to per-expression codegen for such stages instead
+        # of running one huge interpreted method (Spark's documented HotSpot advice).
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
 
