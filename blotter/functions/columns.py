@@ -189,15 +189,32 @@ def label(c: str | Column, n: int = codes.LABEL_CHARS) -> Column:
 
 # --- area keys --------------------------------------------------------------
 
+# ASCII characters that Python's str.strip() removes.
+PY_WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_DIGITS = r"\d(?:_?\d)*"
+# A decimal literal as Python's float() reads it (underscores only between digits);
+# Java-only forms such as a trailing d/f or hex are not numbers here.
+NUMERIC_TEXT = (rf"^\s*[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"
+                rf"(?:[eE][+-]?{_DIGITS})?\s*$")
+
+
+def strip_ws(c: str | Column) -> Column:
+    """Strip ASCII whitespace at both ends (``str.strip()`` on ASCII text)."""
+    return F.btrim(col(c), F.lit(PY_WHITESPACE))
+
+
 def area_key(c: str | Column) -> Column:
-    """Area id normaliser: null -> ``""``; numeric text -> integer text
-    (``"01"``, ``"1.0"``, ``"1.9"`` -> ``"1"``); other text -> trimmed text."""
+    """Area id normaliser: null -> ``""``; numeric text -> integer text, truncated
+    (``"01"``, ``"1.0"``, ``"1.9"`` -> ``"1"``); other text -> stripped text.
+    Integers beyond the bigint range stay text."""
     x = col(c).cast("string")
-    as_int = x.try_cast("double").try_cast("bigint").cast("string")
-    return F.coalesce(as_int, F.trim(x), F.lit(""))
+    as_int = F.when(x.rlike(NUMERIC_TEXT),
+                    F.replace(x, F.lit("_"), F.lit("")).try_cast("double")
+                     .try_cast("bigint").cast("string"))
+    return F.coalesce(as_int, strip_ws(x), F.lit(""))
 
 
 def first_label(*cols: str | Column) -> Column:
-    """First non-empty of the given texts (else ``""``), trimmed."""
+    """First non-empty of the given texts (else ``""``), stripped."""
     parts = [F.nullif(col(c), F.lit("")) for c in cols]
-    return F.trim(F.coalesce(*parts, F.lit("")))
+    return strip_ws(F.coalesce(*parts, F.lit("")))
