@@ -83,16 +83,28 @@ def _tag(sf_dir: str) -> str:
     return f"{base}-{hashlib.sha1(sf_dir.encode()).hexdigest()[:8]}"
 
 
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return app_id(spark), os.path.abspath(sf_dir)
+
+
+def layers_root(spark: SparkSession, sf_dir: str) -> str:
+    app, path = _key(spark, sf_dir)
+    return f"{shared_dir(spark)}/blotter-layers/{app}/{_tag(path)}"
+
+
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
     """Fact + daily mart for the star-schema folder ``sf_dir`` (built once per app)."""
-    key = (app_id(spark), os.path.abspath(sf_dir))
+    key = _key(spark, sf_dir)
+    with _LOCK:
+        if key not in _BUILT:
+            _BUILT[key] = build_layers(spark, sf_dir, layers_root(spark, sf_dir))
+        return _BUILT[key]
+
+
+def remember(spark: SparkSession, sf_dir: str, out: Layers) -> None:
+    """Record layers already built for ``sf_dir`` (e.g. by a timed build)."""
     with _LOCK:
-        if key in _BUILT:
-            return _BUILT[key]
-        out = build_layers(spark, sf_dir,
-                           f"{shared_dir(spark)}/blotter-layers/{key[0]}/{_tag(key[1])}")
-        _BUILT[key] = out
-        return out
+        _BUILT[_key(spark, sf_dir)] = out
 
 
 def build_layers(spark: SparkSession, sf_dir: str, root: str) -> Layers:
@@ -108,7 +120,7 @@ def build_layers(spark: SparkSession, sf_dir: str, root: str) -> Layers:
 def landing_files(spark: SparkSession, sf_dir: str) -> str:
     """Raw JSON records derived from ``sf_dir`` (written once per app)."""
     out = layers(spark, sf_dir)
-    key = (app_id(spark), os.path.abspath(sf_dir), "landing")
+    key = (*_key(spark, sf_dir), "landing")
     with _LOCK:
         if key not in _EXTRAS:
             landing.write_landing(out.bronze(spark), out.landing_dir)
@@ -119,7 +131,7 @@ def landing_files(spark: SparkSession, sf_dir: str) -> str:
 def area_files(spark: SparkSession, sf_dir: str) -> str:
     """GeoJSON collections (one per line) derived from ``sf_dir`` (written once per app)."""
     out = layers(spark, sf_dir)
-    key = (app_id(spark), os.path.abspath(sf_dir), "areas")
+    key = (*_key(spark, sf_dir), "areas")
     with _LOCK:
         if key not in _EXTRAS:
             geojson.write_area_collections(spark, sf_dir, out.areas_dir)
