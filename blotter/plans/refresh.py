@@ -35,7 +35,7 @@ class Layers:
         return landing.read_layer(spark, self.root, "gold", "fact_crime_incidents", schemas.GOLD)
 
     def mart_daily_area(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(landing.layer_path(self.root, "gold", "mart_crime_daily_area"))
+        return landing.read_layer(spark, self.root, "gold", "mart_crime_daily_area")
 
     def bronze(self, spark: SparkSession) -> DataFrame:
         return landing.read_layer(spark, self.root, "bronze", "crime", schemas.BRONZE)

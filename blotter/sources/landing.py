@@ -13,10 +13,13 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import app_id
 from . import schemas
 
 
@@ -69,6 +72,7 @@ def write_layer(df: DataFrame, root: str, layer: str, table: str,
     row-group statistics on that column become selective for later filters.
     """
     path = layer_path(root, layer, table)
+    _forget(path)
     if sort_within:
         df = df.sortWithinPartitions(*((partition_by or []) + sort_within))
     w = df.write.mode("overwrite")
@@ -78,10 +82,28 @@ def write_layer(df: DataFrame, root: str, layer: str, table: str,
     return path
 
 
+_READERS: dict[tuple[str, str, int, tuple[str, ...] | None], DataFrame] = {}
+_READERS_LOCK = threading.Lock()
+
+
+def _forget(path: str) -> None:
+    with _READERS_LOCK:
+        for k in [k for k in _READERS if k[1] == path]:  # key: (app, path, session, cols)
+            del _READERS[k]
+
+
 def read_layer(spark: SparkSession, root: str, layer: str, table: str,
                schema: T.StructType | None = None) -> DataFrame:
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    df = r.parquet(layer_path(root, layer, table))
-    return df.select(*schema.fieldNames()) if schema is not None else df
+    """Read a written layer. The DataFrame (and its file listing) is reused per
+    session until ``write_layer`` rewrites that path."""
+    path = layer_path(root, layer, table)
+    key = (app_id(spark), path, id(spark),
+           tuple(schema.fieldNames()) if schema is not None else None)
+    with _READERS_LOCK:
+        if key not in _READERS:
+            r = spark.read
+            if schema is not None:
+                r = r.schema(schema)
+            df = r.parquet(path)
+            _READERS[key] = df.select(*schema.fieldNames()) if schema is not None else df
+        return _READERS[key]
