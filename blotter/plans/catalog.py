@@ -731,30 +731,34 @@ def q_top_premises(spark, sf_dir):
 # === area polygons =============================================================
 
 def _geo_sql() -> str:
+    """The derived polygon dimension, built from the fact like the Spark side."""
     def pt(x: str, y: str) -> str:
-        return f"printf('[%.2f,%.2f]', {x}, {y})"
-    x0 = "(-118.70 + 0.06 * (n_nationkey % 5))"
-    y0 = "(33.70 + 0.06 * floor(n_nationkey / 5))"
-    x1, y1 = f"({x0} + 0.05)", f"({y0} + 0.05)"
+        return f"printf('[%.4f,%.4f]', {x}, {y})"
     geometry = ("concat('{\"type\":\"Polygon\",\"coordinates\":[[', concat_ws(',', "
-                + ", ".join([pt(x0, y0), pt(x1, y0), pt(x1, y1), pt(x0, y1), pt(x0, y0)])
+                + ", ".join([pt("x0", "y0"), pt("x1", "y0"), pt("x1", "y1"), pt("x0", "y1"),
+                             pt("x0", "y0")])
                 + "), ']]}')")
-    prec_text = (f"CASE WHEN n_nationkey = {geojson.NULL_PREC_NATION} THEN NULL "
-                 "WHEN n_nationkey % 4 = 1 THEN concat(CAST(n_nationkey AS VARCHAR), '.0') "
-                 "ELSE CAST(n_nationkey AS VARCHAR) END")
-    label = "replace(n_name, '_', ' ')"
-    aprec = (f"CASE WHEN n_nationkey = {geojson.NO_LABEL_NATION} THEN NULL "
-             "WHEN n_nationkey % 3 = 0 THEN '' "
-             f"WHEN n_nationkey % 3 = 1 THEN concat(' ', {label}, ' ') END")
-    name = (f"CASE WHEN n_nationkey = {geojson.NO_LABEL_NATION} THEN NULL "
-            f"ELSE concat({label}, ' DIVISION') END")
+    prec_text = (f"CASE WHEN k = {geojson.NULL_PREC_AREA} THEN NULL "
+                 "WHEN k % 4 = 1 THEN concat(CAST(k AS VARCHAR), '.0') "
+                 "WHEN k % 4 = 2 THEN lpad(CAST(k AS VARCHAR), 2, '0') "
+                 "ELSE CAST(k AS VARCHAR) END")
+    no_label = f"(k = {geojson.NO_LABEL_AREA} OR nm IS NULL)"
+    aprec = (f"CASE WHEN {no_label} THEN NULL WHEN k % 3 = 0 THEN '' "
+             "WHEN k % 3 = 1 THEN concat(' ', nm, ' ') END")
+    name = f"CASE WHEN {no_label} THEN NULL ELSE concat(nm, ' DIVISION') END"
     area_id = (f"coalesce(CAST(try_cast(trunc(try_cast(({prec_text}) AS DOUBLE)) AS BIGINT) AS VARCHAR), "
                f"trim({prec_text}), '')")
     area_name = f"trim(coalesce(nullif({aprec}, ''), nullif({name}, ''), ''))"
     return f"""
+dim_boxes AS (
+ SELECT try_cast(area_id AS INTEGER) AS k, min(lat) AS y0, max(lat) AS y1,
+  min(lon) AS x0, max(lon) AS x1, max(area_name) AS nm
+ FROM fact WHERE lat IS NOT NULL AND lon IS NOT NULL AND area_id IS NOT NULL
+ GROUP BY area_id
+),
 dim_area_geo AS (
  SELECT {area_id} AS area_id, {area_name} AS area_name, {geometry} AS geojson
- FROM nation WHERE n_nationkey <> {geojson.NO_FEATURE_NATION}
+ FROM dim_boxes WHERE k IS NOT NULL AND k <> {geojson.NO_POLYGON_AREA}
 )"""
 
 

@@ -134,6 +134,6 @@ def area_files(spark: SparkSession, sf_dir: str) -> str:
     key = (*_key(spark, sf_dir), "areas")
     with _LOCK:
         if key not in _EXTRAS:
-            geojson.write_area_collections(spark, sf_dir, out.areas_dir)
+            geojson.write_area_collections(out.fact(spark), out.areas_dir)
             _EXTRAS.add(key)
     return out.areas_dir

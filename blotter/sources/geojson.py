@@ -5,11 +5,9 @@ schema (``multi_line=True`` for ordinary pretty-printed files, one collection
 per file; ``False`` for JSON-lines files holding one collection per line),
 explodes the features in parallel and derives the join key and label.
 
-``write_area_collections`` derives collections from ``nation ⋈ region`` (one
-square polygon per nation, one collection per region) so the area dimension
-can be exercised from the given tables. The variants cover the key normaliser:
-``prec`` as ``8``, ``5.0``, ``"06"``, ``"7"`` and null; an empty ``aprec``
-(falls back to ``name``); both labels missing; one nation without a polygon.
+``write_area_collections`` derives collections from the incidents themselves
+(each area's polygon is the bounding box of its incident coordinates), so the
+area dimension is exercised on data that grows with the input.
 """
 
 from __future__ import annotations
@@ -19,11 +17,11 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from . import schemas
-from .adapter import read_table
 
-NO_FEATURE_NATION = 22
-NULL_PREC_NATION = 23
-NO_LABEL_NATION = 21
+# Area keys with a special feature in the derived collections.
+NO_POLYGON_AREA = 22
+NULL_PREC_AREA = 23
+NO_LABEL_AREA = 21
 
 
 def read_area_features(spark: SparkSession, path: str | list[str],
@@ -51,51 +49,62 @@ def _jstr(c) -> F.Column:
     return F.concat(F.lit('"'), c, F.lit('"'))
 
 
-def area_collections_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON FeatureCollection text per region (column ``value``)."""
-    na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    rg = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    k = F.col("n_nationkey")
-    x0 = F.lit(-118.70) + F.lit(0.06) * (k % 5)
-    y0 = F.lit(33.70) + F.lit(0.06) * F.floor(k / 5)
-    x1, y1 = x0 + F.lit(0.05), y0 + F.lit(0.05)
+def area_collections_from_fact(fact: DataFrame) -> DataFrame:
+    """GeoJSON FeatureCollection texts (column ``value``) derived from incidents.
+
+    Each area's polygon is the bounding box of its incidents' valid coordinates
+    (one aggregation over the fact, partial per task). The feature properties
+    follow rules on the area key so every branch of the key normaliser is hit:
+    ``prec`` as ``8``, ``5.0``, ``"06"``, ``"7"`` or null; ``aprec`` empty (falls
+    back to ``name``), padded, or missing; one area without labels; one area
+    without a polygon. Features are grouped into one collection per ``key % 5``
+    (a handful of areas per group, bounded by the number of areas).
+    """
+    k = F.col("area_id").try_cast("int")
+    boxes = (fact.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()
+                        & F.col("area_id").isNotNull())
+                 .groupBy("area_id")
+                 .agg(F.min("lat").alias("y0"), F.max("lat").alias("y1"),
+                      F.min("lon").alias("x0"), F.max("lon").alias("x1"),
+                      F.max("area_name").alias("nm"))
+                 .where(k.isNotNull() & (k != NO_POLYGON_AREA)))
 
     def pt(x, y):
-        return F.format_string("[%.2f,%.2f]", x, y)
+        return F.format_string("[%.4f,%.4f]", F.col(x), F.col(y))
 
     geometry = F.concat(F.lit('{"type":"Polygon","coordinates":[['),
-                        F.concat_ws(",", pt(x0, y0), pt(x1, y0), pt(x1, y1), pt(x0, y1), pt(x0, y0)),
+                        F.concat_ws(",", pt("x0", "y0"), pt("x1", "y0"), pt("x1", "y1"),
+                                    pt("x0", "y1"), pt("x0", "y0")),
                         F.lit("]]}"))
-    prec = (F.when(k == NULL_PREC_NATION, F.lit("null"))
-             .when(k % 4 == 0, k.cast("string"))
-             .when(k % 4 == 1, F.concat(k.cast("string"), F.lit(".0")))
-             .when(k % 4 == 2, _jstr(F.lpad(k.cast("string"), 2, "0")))
-             .otherwise(_jstr(k.cast("string"))))
-    label = F.replace(F.col("n_name"), F.lit("_"), F.lit(" "))
-    aprec = (F.when(k == NO_LABEL_NATION, F.lit(None))
+    ks = k.cast("string")
+    prec = (F.when(k == NULL_PREC_AREA, F.lit("null"))
+             .when(k % 4 == 0, ks)
+             .when(k % 4 == 1, F.concat(ks, F.lit(".0")))
+             .when(k % 4 == 2, _jstr(F.lpad(ks, 2, "0")))
+             .otherwise(_jstr(ks)))
+    no_label = (k == NO_LABEL_AREA) | F.col("nm").isNull()
+    aprec = (F.when(no_label, F.lit(None))
               .when(k % 3 == 0, F.lit('""'))
-              .when(k % 3 == 1, _jstr(F.concat(F.lit(" "), label, F.lit(" "))))
+              .when(k % 3 == 1, _jstr(F.concat(F.lit(" "), F.col("nm"), F.lit(" "))))
               .otherwise(F.lit(None)))
-    name = F.when(k == NO_LABEL_NATION, F.lit(None)).otherwise(_jstr(F.concat(label, F.lit(" DIVISION"))))
+    name = F.when(no_label, F.lit(None)).otherwise(_jstr(F.concat(F.col("nm"), F.lit(" DIVISION"))))
     props = F.concat_ws(",",
                         F.concat(F.lit('"prec":'), prec),
                         F.concat(F.lit('"aprec":'), aprec),
                         F.concat(F.lit('"name":'), name),
-                        F.concat(F.lit('"bureau":'), _jstr(F.col("r_name"))))
+                        F.concat(F.lit('"bureau":'), _jstr(F.concat(F.lit("BUREAU "), (k % 5).cast("string")))))
     feature = F.concat(F.lit('{"type":"Feature","geometry":'), geometry,
                        F.lit(',"properties":{'), props, F.lit("}}"))
-    feats = (na.where(k != NO_FEATURE_NATION)
-               .join(F.broadcast(rg), F.col("n_regionkey") == F.col("r_regionkey"))
-               .select("n_regionkey", k.alias("k"), feature.alias("feature")))
-    # one collection per region: at most 5 of 25 fixed nations per group
-    grouped = feats.groupBy("n_regionkey").agg(
-        F.array_sort(F.collect_list(F.struct("k", "feature"))).alias("fs"))
+    grouped = (boxes.select((k % 5).alias("grp"), k.alias("k"), feature.alias("feature"))
+                    .groupBy("grp")
+                    .agg(F.array_sort(F.collect_list(F.struct("k", "feature"))).alias("fs")))
     return grouped.select(F.concat(
         F.lit('{"type":"FeatureCollection","features":['),
         F.array_join(F.transform("fs", lambda s: s["feature"]), ","),
         F.lit("]}")).alias("value"))
 
 
-def write_area_collections(spark: SparkSession, sf_dir: str, path: str) -> str:
-    area_collections_from_star(spark, sf_dir).write.mode("overwrite").text(path)
+def write_area_collections(fact: DataFrame, path: str) -> str:
+    """Write the derived collections as JSON lines (one collection per line)."""
+    area_collections_from_fact(fact).write.mode("overwrite").text(path)
     return path
