@@ -69,9 +69,9 @@ def _sql_where(f: Filters) -> str:
         parts.append("is_violent = false")
     vals = [t for t in f.crime_types if t]
     if vals:
-        parts.append("crime_description IN (" + ", ".join(O._q(v) for v in vals) + ")")
+        parts.append("crime_description IN (" + ", ".join(O.quote(v) for v in vals) + ")")
     if f.area_id:
-        parts.append(f"area_id = {O._q(f.area_id)}")
+        parts.append(f"area_id = {O.quote(f.area_id)}")
     return " AND ".join(parts)
 
 
@@ -651,7 +651,7 @@ LOOKUP_AREA_NAME = "NATION 3"
 SELECT min(area_id) AS area_id FROM (
  SELECT DISTINCT area_id, area_name FROM mart_daily_area
  WHERE area_id IS NOT NULL AND area_name IS NOT NULL) t
-WHERE area_name = {O._q(LOOKUP_AREA_NAME)}"""))
+WHERE area_name = {O.quote(LOOKUP_AREA_NAME)}"""))
 def q_area_lookup(spark, sf_dir):
     return metrics.area_id_for_name(metrics.area_list(mart(spark, sf_dir)), LOOKUP_AREA_NAME)
 

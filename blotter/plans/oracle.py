@@ -14,7 +14,8 @@ from ..sources import schemas
 from ..sources.adapter import CODE_BY_SIZE
 
 
-def _q(s: str) -> str:
+def quote(s: str) -> str:
+    """SQL string literal."""
     return "'" + s.replace("'", "''") + "'"
 
 
@@ -79,7 +80,7 @@ silver_typed AS (
    CASE WHEN vict_sex IN ('M', 'F') THEN vict_sex ELSE 'Unknown' END AS victim_sex,
    coalesce(vict_descent, 'Unknown') AS victim_descent,
    coalesce(premis_desc, 'Unknown') AS premise_description,
-   coalesce(weapon_desc, {_q(codes.NO_WEAPON_DEFAULT)}) AS weapon_description,
+   coalesce(weapon_desc, {quote(codes.NO_WEAPON_DEFAULT)}) AS weapon_description,
    coalesce(status_desc, 'Unknown') AS status_description,
    try_cast(lat AS DOUBLE) AS lat, try_cast(lon AS DOUBLE) AS lon,
    ingest_date, processing_datetime
@@ -99,7 +100,7 @@ silver AS (
  WHERE lat IS NOT NULL AND lon IS NOT NULL AND NOT (lat = 0 AND lon = 0)
 )"""
 
-_NO_WEAPON = ", ".join(_q(v) for v in codes.NO_WEAPON_LABELS)
+_NO_WEAPON = ", ".join(quote(v) for v in codes.NO_WEAPON_LABELS)
 _TIE = ", ".join(f"{c} ASC NULLS LAST" for c in schemas.GOLD_COLUMNS
                  if c not in ("dr_no", "processing_datetime"))
 
@@ -154,8 +155,8 @@ fact AS (
 def _macro_case(code: str = "crime_code") -> str:
     parts = []
     for lbl, values in codes.MACRO_CATEGORIES:
-        parts.append(f"WHEN try_cast({code} AS INTEGER) IN ({', '.join(map(str, values))}) THEN {_q(lbl)}")
-    return "CASE " + " ".join(parts) + f" ELSE {_q(codes.MACRO_OTHER)} END"
+        parts.append(f"WHEN try_cast({code} AS INTEGER) IN ({', '.join(map(str, values))}) THEN {quote(lbl)}")
+    return "CASE " + " ".join(parts) + f" ELSE {quote(codes.MACRO_OTHER)} END"
 
 
 MACRO = f"""

@@ -137,3 +137,23 @@ def area_files(spark: SparkSession, sf_dir: str) -> str:
             geojson.write_area_collections(out.fact(spark), out.areas_dir)
             _EXTRAS.add(key)
     return out.areas_dir
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``spark-submit -m blotter.plans.refresh --landing DIR --root DIR [--year-from Y]``."""
+    import argparse
+
+    ap = argparse.ArgumentParser(description="bronze -> silver -> gold -> marts refresh")
+    ap.add_argument("--landing", required=True, help="folder of raw JSON record files")
+    ap.add_argument("--root", required=True, help="lake root (shared storage)")
+    ap.add_argument("--year-from", type=int, default=None, help="source-side lower bound")
+    ap.add_argument("--run-ts", default=None, help="lineage timestamp (default: now)")
+    args = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("blotter-refresh").getOrCreate()
+    bronze = landing.ingest(spark, args.landing, year_from=args.year_from, run_ts=args.run_ts)
+    refresh(spark, bronze, args.root)
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -120,3 +120,14 @@ def test_incremental_silver_stream(spark, sf_small):
                                          run_ts="2024-01-01 00:00:00")
     q.awaitTermination(120)
     assert spark.read.parquet(dst).count() == n1
+
+
+def test_refresh_command_line(spark, sf_small):
+    src = tempfile.mkdtemp(prefix="blotter-cli-src-")
+    root = tempfile.mkdtemp(prefix="blotter-cli-root-")
+    landing.write_landing(adapter.bronze_from_star(spark, sf_small), src)
+    assert R.main(["--landing", src, "--root", root, "--year-from", "1996",
+                   "--run-ts", "2024-01-01 00:00:00"]) == 0
+    fact = R.Layers(root).fact(spark)
+    assert fact.count() == fact.select("dr_no").distinct().count() > 0
+    assert fact.agg(F.min("processing_datetime")).first()[0].year == 2024
