@@ -140,7 +140,7 @@ def area_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def main(argv: list[str] | None = None) -> int:
-    """``spark-submit -m blotter.plans.refresh --landing DIR --root DIR [--year-from Y]``."""
+    """``python -m blotter.plans.refresh --landing DIR --root DIR [--year-from Y]``."""
     import argparse
 
     ap = argparse.ArgumentParser(description="bronze -> silver -> gold -> marts refresh")
