@@ -131,3 +131,15 @@ def test_refresh_command_line(spark, sf_small):
     fact = R.Layers(root).fact(spark)
     assert fact.count() == fact.select("dr_no").distinct().count() > 0
     assert fact.agg(F.min("processing_datetime")).first()[0].year == 2024
+
+
+def test_zscore_per_area_equals_per_area_runs(spark, built):
+    from blotter.operators import anomaly
+    out, _ = built
+    fact = out.fact(spark)
+    per_area = anomaly.daily_zscore(fact, partition_cols=["area_id"])
+    areas = [r.area_id for r in fact.select("area_id").distinct().limit(3).collect()]
+    for a in areas:
+        alone = anomaly.daily_zscore(fact.where(F.col("area_id") == a)).drop("area_id")
+        mine = per_area.where(F.col("area_id") == a).drop("area_id")
+        assert _same(mine.select(*alone.columns), alone)
