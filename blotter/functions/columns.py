@@ -113,6 +113,13 @@ def weekday_index(c: str | Column) -> Column:
     return F.weekday(col(c))
 
 
+def weekday_order(name: str | Column) -> Column:
+    """Position of a short or full weekday name, Monday = 1 (0 when unknown)."""
+    n = col(name)
+    return F.greatest(F.array_position(F.array(*[F.lit(d) for d in codes.WEEKDAYS_SHORT]), n),
+                      F.array_position(F.array(*[F.lit(d) for d in codes.WEEKDAYS_FULL]), n))
+
+
 def occurrence_ts(date_occ: str | Column = "date_occ", hour: str | Column = "hour_occ",
                   minute: str | Column = "minute_occ") -> Column:
     """Local timestamp from the occurrence day plus ``hour:minute``.

@@ -123,3 +123,8 @@ def test_weekday_and_month_start(spark):
 def test_share_guard(spark):
     df = spark.createDataFrame([(1, 4), (0, 0), (3, None)], "p bigint, t bigint")
     assert [r[0] for r in df.select(C.share("p", "t")).collect()] == [0.25, 0.0, 0.0]
+
+
+def test_weekday_order(spark):
+    got = one(spark, C.weekday_order, ["Mon", "Sun", "Wednesday", "Funday", None])
+    assert got == [1, 7, 3, 0, None]
