@@ -16,10 +16,14 @@ _LOCAL_DIRS: dict[str, str] = {}
 
 
 def local_session(cores: int | str = "*", app: str = "blotter",
-                  shuffle_partitions: int = 8) -> SparkSession:
-    """A local[N] session configured the way the tests and bench expect."""
+                  shuffle_partitions: int = 8, task_attempts: int = 4) -> SparkSession:
+    """A local[N] session configured the way the tests and bench expect.
+
+    ``task_attempts`` (as ``local[N,F]``) lets a failed task be retried like on a
+    cluster (default 4), so retry behaviour can be exercised locally.
+    """
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        SparkSession.builder.master(f"local[{cores},{int(task_attempts)}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
