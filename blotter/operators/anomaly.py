@@ -13,7 +13,7 @@ mean (its z would be ±inf) and leaves z null.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes
@@ -51,7 +51,7 @@ def daily_anomalies(fact: DataFrame, **kw) -> DataFrame:
     return daily_zscore(fact, **kw).where(F.col("is_anomaly"))
 
 
-def _abs_z_sort_key() -> F.Column:
+def _abs_z_sort_key() -> Column:
     # zero-std anomalies have no finite z: rank them first
     return F.coalesce(F.abs(F.col("z_score")), F.lit(float("inf")))
 

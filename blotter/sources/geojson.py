@@ -12,7 +12,7 @@ area dimension is exercised on data that grows with the input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -45,7 +45,7 @@ def dim_area_geo(features: DataFrame) -> DataFrame:
     return features.select(*schemas.DIM_AREA_GEO.fieldNames())
 
 
-def _jstr(c) -> F.Column:
+def _jstr(c) -> Column:
     return F.concat(F.lit('"'), c, F.lit('"'))
 
 
