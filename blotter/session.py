@@ -38,6 +38,8 @@ def local_session(cores: int | str = "*", app: str = "blotter",
         # limit Spark falls back to per-expression codegen for such stages instead
         # of running one huge interpreted method (Spark's documented HotSpot advice).
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # many distinct dashboard queries: keep their compiled classes (default 100)
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .getOrCreate()
     )
 
