@@ -9,7 +9,9 @@ The same rules are written in SQL in ``plans/oracle.py`` for the DuckDB check.
 Scale notes: the join order is fact-first; ``nation`` (25 rows by definition)
 is broadcast into ``supplier``; the remaining joins are left to Catalyst/AQE,
 which broadcasts a side only when its measured size is under the threshold and
-otherwise sort-merges on the key.
+otherwise sort-merges on the key. A line-item scan with fewer partitions than
+cores (one small file) is first spread round-robin (``spread``); large inputs
+are left as they are.
 """
 
 from __future__ import annotations
