@@ -27,8 +27,9 @@ def try_double(c: str | Column) -> Column:
 
 
 def parse_ts(c: str | Column) -> Column:
-    """ISO text (``yyyy-MM-ddTHH:mm:ss.SSS``) -> timestamp; bad text -> null."""
-    return F.try_to_timestamp(col(c))
+    """ISO text (``yyyy-MM-ddTHH:mm:ss.SSS``) -> local wall-clock timestamp
+    (TIMESTAMP_NTZ: no session-zone shift, no DST gaps); bad text -> null."""
+    return col(c).try_cast("timestamp_ntz")
 
 
 def hour_of_hhmm(hhmm_int: str | Column) -> Column:
@@ -122,16 +123,19 @@ def weekday_order(name: str | Column) -> Column:
 
 def occurrence_ts(date_occ: str | Column = "date_occ", hour: str | Column = "hour_occ",
                   minute: str | Column = "minute_occ") -> Column:
-    """Local timestamp from the occurrence day plus ``hour:minute``.
+    """Local wall-clock timestamp (TIMESTAMP_NTZ) from the occurrence day plus
+    ``hour:minute``.
 
     Any null part, hour outside 0-23 or minute outside 0-59 gives null. (Joining
     text with ``concat_ws`` would silently drop a null date and parse the time
-    alone as *today*; the guard avoids that.)
+    alone as *today*; the guard avoids that.) Without a zone, a time inside a
+    daylight-saving gap (e.g. 02:30 on the spring-forward day) is kept as recorded
+    whatever the session time zone.
     """
     d = F.to_date(col(date_occ))
     h, m = col(hour), col(minute)
     ok = d.isNotNull() & h.between(0, 23) & m.between(0, 59)
-    return F.when(ok, F.try_make_timestamp(
+    return F.when(ok, F.try_make_timestamp_ntz(
         F.year(d), F.month(d), F.dayofmonth(d), h.cast("int"), m.cast("int"), F.lit(0)))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 S, I, L, D, B = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.BooleanType()
-DATE, TS = T.DateType(), T.TimestampType()
+DATE, TS, LOCAL_TS = T.DateType(), T.TimestampType(), T.TimestampNTZType()
 
 
 def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -25,8 +25,10 @@ BRONZE_RAW = _struct(*[(c, S) for c in BRONZE_RAW_COLUMNS])
 BRONZE = _struct(*[(c, S) for c in BRONZE_RAW_COLUMNS],
                  ("ingest_date", DATE), ("processing_datetime", TS), ("data_source", S))
 
+# Occurrence dates/times are local wall-clock values (TIMESTAMP_NTZ); the
+# processing time is an instant (TIMESTAMP).
 SILVER = _struct(
-    ("dr_no", S), ("date_occ", TS), ("hour_occ", L), ("minute_occ", I),
+    ("dr_no", S), ("date_occ", LOCAL_TS), ("hour_occ", L), ("minute_occ", I),
     ("year", I), ("month", I), ("weekday", S),
     ("area_id", S), ("area_name", S), ("reporting_district", S),
     ("crime_code", S), ("crime_description", S), ("crime_category", S),
@@ -39,8 +41,8 @@ SILVER_COLUMNS = SILVER.fieldNames()
 
 GOLD = _struct(
     ("dr_no", S),
-    ("date_occ", TS), ("hour_occ", L), ("minute_occ", I),
-    ("occurrence_ts", TS), ("occurrence_date", DATE),
+    ("date_occ", LOCAL_TS), ("hour_occ", L), ("minute_occ", I),
+    ("occurrence_ts", LOCAL_TS), ("occurrence_date", DATE),
     ("year", I), ("month", I), ("weekday", S),
     ("area_id", S), ("area_name", S), ("reporting_district", S),
     ("crime_code", S), ("crime_description", S), ("crime_category", S), ("is_violent", B),

@@ -128,3 +128,16 @@ def test_share_guard(spark):
 def test_weekday_order(spark):
     got = one(spark, C.weekday_order, ["Mon", "Sun", "Wednesday", "Funday", None])
     assert got == [1, 7, 3, 0, None]
+
+
+def test_occurrence_ts_ignores_session_zone_and_dst(spark):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        # 1997-04-06 02:39 does not exist in that zone (spring forward); kept as recorded
+        rows = [rec(dr_no="gap", date_occ="1997-04-06T00:00:00.000", time_occ="0239")]
+        r = gold_of(spark, rows).first()
+        assert r.occurrence_ts == dt.datetime(1997, 4, 6, 2, 39)
+        assert r.date_occ == dt.datetime(1997, 4, 6, 0, 0) and r.weekday == "Sun"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
