@@ -5,6 +5,9 @@ The test data holds no incident records, so raw records are *derived* from
 exercise every cleaning branch (null/bad dates, hour 24, ``n/a`` ages, blank
 descents, (0, 0) coordinates, duplicate ids with tied timestamps, ...).
 The same rules are written in SQL in ``plans/oracle.py`` for the DuckDB check.
+Every joined line item becomes one record: the modulo rules below only derive
+field values (which record gets a null date, a blank descent, ...); no row is
+filtered out.
 
 Scale notes: the join order is fact-first; ``nation`` (25 rows by definition)
 is broadcast into ``supplier``; the remaining joins are left to Catalyst/AQE,
