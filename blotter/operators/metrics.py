@@ -175,23 +175,23 @@ def distribution(fact: DataFrame, f: Filters, column: str, limit: int | None = N
     return _top(g, "incidents", column, limit) if limit else g
 
 
-def dist_sex(fact, f):
+def dist_sex(fact: DataFrame, f: Filters) -> DataFrame:
     return distribution(fact, f, "victim_sex")
 
 
-def dist_age_group(fact, f):
+def dist_age_group(fact: DataFrame, f: Filters) -> DataFrame:
     return distribution(fact, f, "victim_age_group")
 
 
-def dist_descent(fact, f, limit: int = 20):
+def dist_descent(fact: DataFrame, f: Filters, limit: int = 20) -> DataFrame:
     return distribution(fact, f, "victim_descent", limit)
 
 
-def top_weapons(fact, f, limit: int = 15):
+def top_weapons(fact: DataFrame, f: Filters, limit: int = 15) -> DataFrame:
     return distribution(fact, f, "weapon_description", limit, extra=F.col("has_weapon") == F.lit(True))
 
 
-def top_premises(fact, f, limit: int = 15):
+def top_premises(fact: DataFrame, f: Filters, limit: int = 15) -> DataFrame:
     return distribution(fact, f, "premise_description", limit)
 
 
