@@ -16,13 +16,15 @@ _LOCAL_DIRS: dict[str, str] = {}
 
 
 def local_session(cores: int | str = "*", app: str = "blotter",
-                  shuffle_partitions: int = 8, task_attempts: int = 4) -> SparkSession:
+                  shuffle_partitions: int = 8, task_attempts: int = 4,
+                  extra: dict[str, str] | None = None) -> SparkSession:
     """A local[N] session configured the way the tests and bench expect.
 
     ``task_attempts`` (as ``local[N,F]``) lets a failed task be retried like on a
-    cluster (default 4), so retry behaviour can be exercised locally.
+    cluster (default 4), so retry behaviour can be exercised locally; ``extra``
+    adds or overrides settings (e.g. another session time zone).
     """
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores},{int(task_attempts)}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -40,8 +42,10 @@ def local_session(cores: int | str = "*", app: str = "blotter",
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # many distinct dashboard queries: keep their compiled classes (default 100)
         .config("spark.sql.codegen.cache.maxEntries", "2000")
-        .getOrCreate()
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
+    return builder.getOrCreate()
 
 
 def app_id(spark: SparkSession) -> str:
