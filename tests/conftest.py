@@ -25,6 +25,13 @@ def sf_small():
     return SF_SMALL
 
 
+def scratch(spark, prefix):
+    """A fresh folder inside the session's shared folder (spark.checkpoint.dir)."""
+    import tempfile
+    from blotter.session import shared_dir
+    return tempfile.mkdtemp(prefix=prefix, dir=shared_dir(spark))
+
+
 def bronze_rows(spark, rows):
     """Bronze DataFrame from dicts of raw text (missing keys -> null)."""
     from blotter.sources import schemas

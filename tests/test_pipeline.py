@@ -1,7 +1,5 @@
 """End-to-end invariants: refresh, sources/sinks, pruning, determinism, streaming."""
 
-import tempfile
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,11 +7,12 @@ from blotter.operators import clean, explore, marts, model
 from blotter.plans import refresh as R
 from blotter.sources import adapter, geojson, landing, schemas
 from blotter.streaming import incremental
+from conftest import scratch
 
 
 @pytest.fixture(scope="module")
 def built(spark, sf_small):
-    root = tempfile.mkdtemp(prefix="blotter-test-")
+    root = scratch(spark, "blotter-test-")
     bronze = adapter.bronze_from_star(spark, sf_small)
     return R.refresh(spark, bronze, root), root
 
@@ -50,7 +49,7 @@ def test_dedup_does_not_depend_on_input_order(spark, sf_small):
 
 
 def test_landing_round_trip(spark, sf_small):
-    d = tempfile.mkdtemp(prefix="blotter-landing-")
+    d = scratch(spark, "blotter-landing-")
     direct = adapter.bronze_from_star(spark, sf_small)
     landing.write_landing(direct, d)
     bronze = landing.ingest(spark, d, run_ts="2024-01-01 00:00:00")
@@ -64,7 +63,7 @@ def test_landing_round_trip(spark, sf_small):
 
 
 def test_missing_and_extra_json_keys(spark):
-    d = tempfile.mkdtemp(prefix="blotter-keys-")
+    d = scratch(spark, "blotter-keys-")
     with open(f"{d}/page-0.json", "w") as fh:
         fh.write('{"dr_no": "1", "date_occ": "2020-01-01T00:00:00.000", "extra": 5, "lat": "34", "lon": "-118"}\n')
         fh.write('{"dr_no": "2", "time_occ": "0930", "lat": "34", "lon": "-118"}\n')
@@ -84,7 +83,7 @@ def test_fact_date_filter_prunes_partitions(spark, built):
 
 
 def test_geojson_multiline_file(spark):
-    d = tempfile.mkdtemp(prefix="blotter-geo-")
+    d = scratch(spark, "blotter-geo-")
     with open(f"{d}/areas.geojson", "w") as fh:
         fh.write('{\n "type": "FeatureCollection",\n "features": [\n'
                  '  {"type": "Feature", "geometry": {"type": "MultiPolygon", "coordinates": [[[[1, 2]]]]},\n'
@@ -104,9 +103,9 @@ def test_macro_shares_sum_to_one(spark, built):
 
 
 def test_incremental_silver_stream(spark, sf_small):
-    src = tempfile.mkdtemp(prefix="blotter-stream-src-")
-    dst = tempfile.mkdtemp(prefix="blotter-stream-out-")
-    ckpt = tempfile.mkdtemp(prefix="blotter-stream-ckpt-")
+    src = scratch(spark, "blotter-stream-src-")
+    dst = scratch(spark, "blotter-stream-out-")
+    ckpt = scratch(spark, "blotter-stream-ckpt-")
     bronze = adapter.bronze_from_star(spark, sf_small)
     landing.write_landing(bronze.where(F.substring("dr_no", -1, 1) == "1"), f"{src}/batch1")
     q = incremental.start_silver_refresh(spark, f"{src}/batch1", dst, ckpt,
@@ -123,8 +122,8 @@ def test_incremental_silver_stream(spark, sf_small):
 
 
 def test_refresh_command_line(spark, sf_small):
-    src = tempfile.mkdtemp(prefix="blotter-cli-src-")
-    root = tempfile.mkdtemp(prefix="blotter-cli-root-")
+    src = scratch(spark, "blotter-cli-src-")
+    root = scratch(spark, "blotter-cli-root-")
     landing.write_landing(adapter.bronze_from_star(spark, sf_small), src)
     assert R.main(["--landing", src, "--root", root, "--year-from", "1996",
                    "--run-ts", "2024-01-01 00:00:00"]) == 0
