@@ -1,0 +1,17 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (a limit, not a full count).
+    Beyond the bound the DataFrame is returned without a hint, so the planner
+    (AQE) picks a shuffled join for it instead.
+    """
+    small = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df
