@@ -94,11 +94,16 @@ def monthly_trend(fact: DataFrame, f: Filters) -> DataFrame:
                 .agg(F.count(F.lit(1)).alias("incidents"), _violent().alias("violent_incidents")))
 
 
+TOP_N_BROADCAST_MAX = 10_000
+
+
 # J08 – top-N types over all areas feed the per-type monthly series
 def monthly_trend_topn(fact: DataFrame, f: Filters, n: int = 8) -> DataFrame:
-    """``n`` is bounded (3..20 in the UI), so the top list is broadcast by construction."""
+    """The top list has at most ``n`` rows (3..20 in the UI): it is broadcast when
+    ``n`` is within ``TOP_N_BROADCAST_MAX``, else the planner picks the join."""
     top = top_types(fact, f.without_area(), limit=n).select("crime_description")
-    picked = fact.join(F.broadcast(top), "crime_description", "left_semi")
+    side = F.broadcast(top) if n <= TOP_N_BROADCAST_MAX else top
+    picked = fact.join(side, "crime_description", "left_semi")
     return monthly_trend(picked, f.without_types())
 
 
