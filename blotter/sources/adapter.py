@@ -9,10 +9,10 @@ Every joined line item becomes one record: the modulo rules below only derive
 field values (which record gets a null date, a blank descent, ...); no row is
 filtered out.
 
-Scale notes: the join order is fact-first; ``nation`` (25 rows by definition)
-is broadcast into ``supplier`` after a bounded row check (``bounded_broadcast``); the remaining joins are left to Catalyst/AQE,
-which broadcasts a side only when its measured size is under the threshold and
-otherwise sort-merges on the key. A line-item scan with fewer partitions than
+Scale notes: the join order is fact-first and every join is left to
+Catalyst/AQE, which broadcasts a side only when its size (statistics, then the
+measured runtime size) is under the threshold — ``nation``, 25 rows, always is —
+and otherwise sort-merges on the key, splitting hot keys. A line-item scan with fewer partitions than
 cores (one small file) is first spread round-robin (``spread``); large inputs
 are left as they are.
 """
@@ -22,10 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import bounded_broadcast
 
 TABLES = ["lineitem", "orders", "supplier", "nation", "part"]
-NATION_ROWS_MAX = 1000  # broadcast bound for the nation dimension (25 rows in TPC-H)
 
 # Crime code assigned to each part size 1..50 (position = size).
 CODE_BY_SIZE = (
@@ -74,8 +72,9 @@ def bronze_from_star(spark: SparkSession, sf_dir: str,
     na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     pa = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
 
-    supp_nation = su.join(bounded_broadcast(na, NATION_ROWS_MAX),
-                          su.s_nationkey == na.n_nationkey)
+    # no hint: the planner broadcasts nation from its size statistics (25 rows) and
+    # would shuffle-join it if it were ever above the broadcast threshold
+    supp_nation = su.join(na, su.s_nationkey == na.n_nationkey)
     j = (li.join(od, li.l_orderkey == od.o_orderkey)
            .join(supp_nation, li.l_suppkey == supp_nation.s_suppkey)
            .join(pa, li.l_partkey == pa.p_partkey))

@@ -128,11 +128,3 @@ def test_area_map_routes_mart_or_fact(spark):
     assert Filters("2024-01-01", "2024-01-31", crime_types=("A",)).uses_fact
     assert not Filters("2024-01-01", "2024-01-31", crime_types=("",)).uses_fact
 
-
-def test_bounded_broadcast(spark):
-    from blotter.operators.joins import bounded_broadcast
-    small = spark.range(5)
-    big = spark.range(50)
-    plan = lambda df: spark.range(100).join(df, "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "BROADCAST" in plan(bounded_broadcast(small, 10)).upper()
-    assert "BROADCAST" not in plan(bounded_broadcast(big, 10)).upper()
