@@ -780,3 +780,14 @@ LEFT JOIN dim_area_geo g ON m.k = g.area_id""", _geo_sql() + ", map_mart AS (" +
 def q_area_map_geo(spark, sf_dir):
     m = _mart_rounded(metrics.area_map(fact(spark, sf_dir), mart(spark, sf_dir), ALL))
     return areas.area_map_geo(m, _dim(spark, sf_dir))
+
+
+@register("area_map_geo_filtered", O.with_prefix("""
+SELECT m.* EXCLUDE (k), m.k AS area_id_norm, g.area_name AS geo_area_name, g.geojson
+FROM (SELECT *, coalesce(CAST(try_cast(trunc(try_cast(area_id AS DOUBLE)) AS BIGINT) AS VARCHAR),
+                         trim(area_id), '') AS k FROM map_fact) m
+LEFT JOIN dim_area_geo g ON m.k = g.area_id""",
+    _geo_sql() + ", map_fact AS (" + _map_fact_sql(VIOLENT_ONLY) + ")"))
+def q_area_map_geo_filtered(spark, sf_dir):
+    m = metrics.area_map(fact(spark, sf_dir), mart(spark, sf_dir), VIOLENT_ONLY)
+    return areas.area_map_geo(m, _dim(spark, sf_dir))
