@@ -142,3 +142,24 @@ def test_zscore_per_area_equals_per_area_runs(spark, built):
         alone = anomaly.daily_zscore(fact.where(F.col("area_id") == a)).drop("area_id")
         mine = per_area.where(F.col("area_id") == a).drop("area_id")
         assert _same(mine.select(*alone.columns), alone)
+
+
+
+def test_fact_write_rebalances_only_with_aqe(spark, sf_small):
+    import glob
+    from blotter.operators import clean as cl
+    gold = model.gold(cl.silver(adapter.bronze_from_star(spark, sf_small)))
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    files = {}
+    try:
+        for aqe in ["true", "false"]:
+            spark.conf.set("spark.sql.adaptive.enabled", aqe)
+            root = scratch(spark, "blotter-rebal-")
+            R.write_fact(gold, root)
+            assert _same(R.Layers(root).fact(spark), gold.select(*schemas.GOLD_COLUMNS))
+            years = glob.glob(f"{root}/gold/fact_crime_incidents/year=*")
+            files[aqe] = len(glob.glob(f"{root}/gold/fact_crime_incidents/year=*/*.parquet")) / len(years)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    # AQE on: one right-sized file per year at this size; off: the hint is skipped
+    assert files["true"] == 1 and files["false"] > 1
