@@ -37,6 +37,12 @@ class Layers:
     def mart_daily_area(self, spark: SparkSession) -> DataFrame:
         return landing.read_layer(spark, self.root, "gold", "mart_crime_daily_area")
 
+    def mart(self, spark: SparkSession, name: str) -> DataFrame:
+        """A mart written by ``refresh`` (one of ``marts.MARTS``)."""
+        if name not in marts.MARTS:
+            raise KeyError(f"unknown mart {name!r}; one of {sorted(marts.MARTS)}")
+        return landing.read_layer(spark, self.root, "gold", name)
+
     def bronze(self, spark: SparkSession) -> DataFrame:
         return landing.read_layer(spark, self.root, "bronze", "crime", schemas.BRONZE)
 

@@ -27,7 +27,7 @@ def test_refresh_writes_every_layer(spark, built):
     assert fact.columns == schemas.GOLD_COLUMNS
     assert fact.count() == fact.select("dr_no").distinct().count()
     for name, build in marts.MARTS.items():
-        written = spark.read.parquet(landing.layer_path(root, "gold", name))
+        written = out.mart(spark, name)
         assert _same(written.select(*build(fact).columns), build(fact))
     daily = spark.read.parquet(landing.layer_path(root, "gold", "mart_crime_daily_area"))
     assert daily.agg(F.sum("crime_count")).first()[0] == fact.count()
