@@ -1,8 +1,8 @@
 """Session helpers: a local session for tests/bench and the shared folder.
 
 Library code never creates a session; it receives one. ``shared_dir`` reads
-the cluster's shared folder from ``spark.checkpoint.dir`` and only invents a
-local one when running in local mode with the setting absent (tests).
+the cluster's shared folder from ``spark.checkpoint.dir``; ``ensure_shared_dir``
+sets one for tests, bench and the driver's entry in local mode.
 """
 
 from __future__ import annotations
@@ -12,8 +12,6 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-_LOCAL_DIRS: dict[str, str] = {}
-
 
 def local_session(cores: int | str = "*", app: str = "blotter",
                   shuffle_partitions: int = 8, task_attempts: int = 4,
@@ -56,20 +54,20 @@ def app_id(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors, taken from ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (HDFS/S3/ABFS path); a machine-local temp
-    folder is used only in local mode when nothing is configured.
+    Library code calls this and never invents a folder: without the setting it fails.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return sc.getCheckpointDir().rstrip("/")
-    if not sc.master.startswith("local"):
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
         raise RuntimeError(
             "spark.checkpoint.dir is not set: point it at a folder shared by the cluster")
-    app = sc.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="blotter-")
-        sc.setCheckpointDir(_LOCAL_DIRS[app])
-    return _LOCAL_DIRS[app]
+    return configured.rstrip("/")
+
+
+def ensure_shared_dir(spark: SparkSession) -> str:
+    """For tests, bench and the driver's entry: in local mode only, set a fresh folder
+    where ``spark.checkpoint.dir`` is unset. On a cluster the setting is required."""
+    sc = spark.sparkContext
+    if not (spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()) \
+            and sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="blotter-"))
+    return shared_dir(spark)

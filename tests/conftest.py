@@ -12,8 +12,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from blotter.session import local_session
+    from blotter.session import ensure_shared_dir, local_session
     s = local_session()
+    ensure_shared_dir(s)
     s.sparkContext.setLogLevel("ERROR")
     yield s
 
