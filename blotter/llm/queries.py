@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import mixing, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,3 +71,11 @@ FROM taken
 @register("op1_mix_curriculum", OP1_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.document_mix(mixing.plan_mix(table(spark, sf_dir, "documents")))
+
+
+# --- 10: SimHash near-dedup ---------------------------------------------------------
+@register("op10_simhash_groups")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return g.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"),
+                    "component_id")

@@ -1,0 +1 @@
+"""Helpers of the operator tests. The session fixture is that of the whole test suite."""
