@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash
+from . import mixing, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +73,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.document_mix(mixing.plan_mix(table(spark, sf_dir, "documents")))
 
 
+# --- 2: sharding --------------------------------------------------------------------
+@register("op2_shard_differencing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = sharding.shard_documents(table(spark, sf_dir, "documents"))
+    return s.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 # --- 10: SimHash near-dedup ---------------------------------------------------------
 @register("op10_simhash_groups")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
