@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding, simhash
+from . import langid, mixing, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +80,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+# --- 9: language ID -----------------------------------------------------------------
+@register("op9_hyperdimensional_langid")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
 # --- 10: SimHash near-dedup ---------------------------------------------------------
 @register("op10_simhash_groups")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
