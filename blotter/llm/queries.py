@@ -10,7 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, sharding, simhash
+import public_tokenizers
+
+from . import langid, mixing, sharding, simhash, token_files
+from .common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +83,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+# --- 5: token-id files --------------------------------------------------------------
+VOCABULARY = "byte_bpe_50k.json"
+
+
+@register("op5_token_parquet")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"),
+                                  public_tokenizers.path(VOCABULARY), path)
+    return token_files.checksums(token_files.read_token_files(spark, path))
+
+
 # --- 9: language ID -----------------------------------------------------------------
 @register("op9_hyperdimensional_langid")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
