@@ -28,6 +28,7 @@ import re
 from collections.abc import Iterator, Sequence
 from itertools import accumulate
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,14 +38,26 @@ from . import byte_bpe
 
 LIMIT = 512
 #: remembered words and pairs of tokens
-WORDS, PAIRS = 200_000, 500_000
+WORDS, PAIRS = 100_000, 300_000
+#: texts that are decoded at once
+ROWS = 256
 #: words whose counts are remembered have at most this many bytes
 WORD_BYTES = 64
+#: a line feed in the vocabulary's alphabet
+LINE_END = "\u010a"
 _CONTRACTION = re.compile("'(?:re|ve|ll)")
 
 
+def packed(counts: Sequence[int]) -> Sequence[int]:
+    """Small counts take one byte each."""
+    return bytes(counts) if counts[-1] < 256 and max(counts) < 256 else tuple(counts)
+
+
 class PrefixCounter:
-    """Prefix token counts of words and parts for one byte-level BPE vocabulary file."""
+    """Prefix token counts of words and parts for one byte-level BPE vocabulary file.
+
+    Tokens are numbered by age: the single bytes, then the result of every merge in order.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -53,74 +66,90 @@ class PrefixCounter:
         self.cut = tokenizer.pre_tokenizer.pre_tokenize_str
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        merges = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
-        self.rank = {(a, b): i for i, (a, b) in enumerate(merges)}
-        self.vocabulary = spec["model"]["vocab"]
-        self.longest = max(map(len, self.vocabulary))
+        merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        made = {a + b for a, b in merges}
+        single = sorted(t for t in spec["model"]["vocab"] if len(t) == 1)
+        if len(made) != len(merges) or made & set(single):
+            raise ValueError("every merge must make a token of its own")
+        number = {t: i for i, t in enumerate(single)}
+        number.update((a + b, len(single) + i) for i, (a, b) in enumerate(merges))
+        self.singles = len(single)
+        self.halves = [(-1, -1)] * len(single) + [(number[a], number[b]) for a, b in merges]
+        self.merge = {a << 20 | b: self.singles + i for i, (a, b) in enumerate(self.halves[self.singles:])}
+        self.fits: dict[int, bool] = {}
+        self.words: dict[str, bytes | tuple[int, ...]] = {}
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.special_cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")"
                                       if self.special else "(?!)")
-        self.alone: dict[str, bool] = {}
-        self.fits: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-
-    def merged(self, word: str) -> list[str]:
-        """BPE by the merge ranks, for words of two tokens at most."""
-        t = list(word)
-        while len(t) > 1:
-            best = min(range(len(t) - 1), key=lambda i: self.rank.get((t[i], t[i + 1]), 1 << 60))
-            if (t[best], t[best + 1]) not in self.rank:
-                break
-            pair = (t[best], t[best + 1])
-            out, i = [], 0
-            while i < len(t):
-                if i + 1 < len(t) and (t[i], t[i + 1]) == pair:
-                    out.append(t[i] + t[i + 1])
-                    i += 2
-                else:
-                    out.append(t[i])
-                    i += 1
-            t = out
-        return t
-
-    def is_token(self, t: str) -> bool:
-        """Whether a byte string is a token that encodes to itself."""
-        known = self.alone.get(t)
-        if known is None:
-            known = t in self.vocabulary and self.merged(t) == [t]
-            if t in self.vocabulary:  # at most one entry for each token
-                self.alone[t] = known
-        return known
-
-    def neighbours(self, a: str, b: str) -> bool:
-        known = self.fits.get((a, b))
-        if known is None:
-            if len(self.fits) >= PAIRS:
-                self.fits.clear()
-            known = self.fits[a, b] = self.merged(a + b) == [a, b]
-        return known
-
-    def word(self, w: str) -> tuple[int, ...]:
+        self.tokens = ahocorasick.Automaton()
+        for t, i in number.items():  # tokens that encode to themselves
+            if i < self.singles or self.apart(*self.halves[i], i):
+                self.tokens.add_word(t, (len(t), i))
+        self.tokens.make_automaton()
+
+    def apart(self, a: int, b: int, limit: int) -> bool:
+        """Whether no merge older than ``limit`` joins the bytes at the border of two tokens.
+
+        The tokens' own merges are undone from the youngest, so that at each step the two
+        pieces at the border are those that stood there when an older merge had its turn.
+        Of equal merges the left one is done first.
+        """
+        while True:
+            if self.merge.get(a << 20 | b, limit) < limit:
+                return False
+            if a > b and a >= self.singles:
+                limit, a = min(limit, a), self.halves[a][1]
+            elif b >= self.singles:
+                limit, b = min(limit, b + 1), self.halves[b][0]
+            else:
+                return True
+
+    def word(self, w: str) -> Sequence[int]:
         """Token counts of the prefixes of 0 .. len(w) bytes of a word (given in the
         vocabulary's alphabet of one character for each byte)."""
         known = self.words.get(w)
         if known is not None:
             return known
-        n = len(w)
-        count, last = [0] * (n + 1), [""] * (n + 1)
-        for i in range(1, n + 1):
-            for j in range(max(0, i - self.longest), i):
-                t = w[j:i]
-                if t in self.vocabulary and self.is_token(t) and (j == 0 or self.neighbours(last[j], t)):
-                    count[i], last[i] = count[j] + 1, t
-                    break
-        counts = tuple(count)
-        if n <= WORD_BYTES:
+        fits = self.fits
+        if len(fits) > PAIRS:
+            fits.clear()
+        count, last = [0] * (len(w) + 1), [-1] * (len(w) + 1)
+        for end, (size, token) in self.tokens.iter(w):  # every token that ends at ``end``
+            end += 1
+            if last[end] >= 0:
+                continue
+            start = end - size
+            if start:
+                pair = last[start] << 20 | token
+                ok = fits.get(pair)
+                if ok is None:
+                    ok = fits[pair] = self.apart(last[start], token, 1 << 20)
+                if not ok:
+                    continue
+            last[end], count[end] = token, count[start] + 1
+        counts = packed(count)
+        if len(w) <= WORD_BYTES:
             if len(self.words) >= WORDS:
                 self.words.clear()
             self.words[w] = counts
         return counts
 
+    def parts(self, texts: list[str]) -> list[Sequence[int]]:
+        """Counts of many parts of texts; those without special cases are cut in one call."""
+        out: dict[str, Sequence[int]] = {}
+        lines = [t for t in texts if "'" not in t and "|" not in t and byte_bpe.one_line(t)]
+        if self.special and any("|" not in s for s in self.special):
+            lines = [t for t in lines if not any(s in t for s in self.special)]
+        words = iter(self.cut("\n".join([*lines, ""])) if lines else ())
+        for t in lines:
+            counts, (w, _) = [0], next(words)
+            while w != LINE_END:
+                base = counts[-1]
+                counts += [base + c for c in self.word(w)[1:]] if base else self.word(w)[1:]
+                w, _ = next(words)
+            out[t] = packed(counts)
+        return [out[t] if t in out else packed(self.part(t)) for t in texts]
+
     def _plain(self, text: str) -> list[int]:
         """Counts at 0 .. n bytes of a text without special strings."""
         counts, runs = [0], []
@@ -178,7 +207,7 @@ def counter(path: str) -> byte_bpe.ByParts:
     """Prefix counts of the parts of texts (one counter per process)."""
     if path not in _COUNTERS:
         of = PrefixCounter(path)
-        _COUNTERS[path] = byte_bpe.ByParts(lambda texts: [tuple(of.part(t)) for t in texts])
+        _COUNTERS[path] = byte_bpe.ByParts(of.parts)
     return _COUNTERS[path]
 
 
@@ -229,8 +258,8 @@ def prefix_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i in range(0, b.num_rows, 64):
-                some = b.slice(i, 64)
+            for i in range(0, b.num_rows, ROWS):
+                some = b.slice(i, ROWS)
                 got = [t.counts() for t in tables(byte_bpe.texts_of(some.column(1)), vocabulary)]
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array(got, pa.list_(pa.int32()))], names=["doc_id", "counts"])
@@ -251,9 +280,10 @@ def budgets(docs: DataFrame, vocabulary: str, limit: int = LIMIT) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, fit = [], []
-            for t in tables(byte_bpe.texts_of(b.column(1)), vocabulary):
-                n.append(t.n_tokens)
-                fit.append(t.fits(limit))
+            for i in range(0, b.num_rows, ROWS):
+                for t in tables(byte_bpe.texts_of(b.column(1).slice(i, ROWS)), vocabulary):
+                    n.append(t.n_tokens)
+                    fit.append(t.fits(limit))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(n, pa.int64()),
                  pa.array([x > limit for x in n], pa.bool_()), pa.array(fit, pa.int64())],
