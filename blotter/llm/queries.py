@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import langid, mixing, prefix_counts, sharding, simhash, token_files
+from . import langid, mixing, packing, prefix_counts, sharding, simhash, token_files
 from .common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(token_files.read_token_files(spark, path))
 
 
+# --- 7: best-fit packing ------------------------------------------------------------
+@register("op7_best_fit_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.numbered_bins(packing.pack(table(spark, sf_dir, "documents")))
+
+
 # --- 8: token counts ----------------------------------------------------------------
 @register("op8_prefix_token_counts")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
