@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import langid, mixing, packing, prefix_counts, sharding, simhash, token_files
+from . import langid, mixing, packing, prefix_counts, sharding, simhash, token_files, warc
 from .common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,23 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+# --- 4: WARC derivatives ------------------------------------------------------------
+@register("op4_warc_derivatives")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_warc(warc.derivatives(warc.responses_of_pages(table(spark, sf_dir, "pages"))), path)
+    h = F.col("headers")
+    source = F.coalesce(h["WARC-Source-Payload-Digest"],
+                        F.regexp_extract("block", r"source-payload-digest: (\S+)", 1))
+    return warc.read_warc(spark, path).select(
+        h["WARC-Type"].alias("record_type"), h["WARC-Record-ID"].alias("record_id"),
+        h["WARC-Refers-To"].alias("refers_to"), h["WARC-Concurrent-To"].alias("concurrent_to"),
+        h["WARC-Target-URI"].alias("target_uri"), h["WARC-Date"].alias("date"),
+        h["Content-Type"].alias("content_type"), h["WARC-Block-Digest"].alias("block_digest"),
+        h["Content-Length"].cast("long").alias("content_length"),
+        source.alias("source_payload_digest"), F.md5(F.col("block").cast("binary")).alias("block_md5"))
+
+
 # --- 5: token-id files --------------------------------------------------------------
 VOCABULARY = "byte_bpe_50k.json"
 
