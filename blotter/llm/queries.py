@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import langid, mixing, packing, prefix_counts, sharding, simhash, token_files, warc
+from . import ann, langid, mixing, packing, prefix_counts, sharding, simhash, token_files, warc
 from .common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+# --- 3: approximate nearest neighbours ------------------------------------------------
+@register("op3_learned_partitions")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % ann.QUERY_EVERY == 0)
+
+
 # --- 4: WARC derivatives ------------------------------------------------------------
 @register("op4_warc_derivatives")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,95 @@
+"""Learned partitions: recall against brute force, exact scores and ties, edge vectors."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+
+from blotter.llm import ann
+
+SCHEMA = "vec_id long, embedding array<float>, label string, score string"
+
+
+def brute(rows, queries, k):
+    ok = [(i, np.array(v, np.float32).astype(float)) for i, v in rows
+          if i is not None and v is not None and len(v) and None not in v and all(map(math.isfinite, v)) and any(v)]
+    dim = len(min(ok, key=lambda r: r[0])[1])
+    ok = [(i, v) for i, v in ok if len(v) == dim]
+    out = {}
+    for q, v in ok:
+        if queries(q):
+            s = []
+            for i, w in ok:
+                if i != q:
+                    t = 0.0
+                    for a, b in zip(v, w):
+                        t += a * b
+                    s.append((-t, i))
+            out[q] = [(i, -t) for t, i in sorted(s)[:k]]
+    return out
+
+
+def found(spark, rows, every=5, **kw):
+    df = spark.createDataFrame([(i, v, "x", "y") for i, v in rows], SCHEMA)
+    out = {}
+    for r in ann.search(df, ann.F.col("vec_id") % every == 0, **kw).orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r.rank == len(out[r.query_id])
+    return out
+
+
+def vectors(n, dim=8, seed=1):
+    rng = np.random.default_rng(seed)
+    return [(i, [float(x) for x in rng.standard_normal(dim).astype(np.float32)]) for i in range(n)]
+
+
+def test_all_parts_searched_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(ann, "QUERY_ROWS", 7)
+    rows = vectors(120)
+    rows += [(1000 + i, rows[3][1]) for i in range(90)]  # a hot vector: many ties
+    want = brute(rows, lambda q: q % 5 == 0, 20)
+    got = found(spark, rows, target=1.01, chunk_rows=16, sample=64)
+    assert got == want
+
+
+def test_edge_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 2.0]), (5, [0.5, -1.0]), (1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (10, [inf, 1.0]),
+            (15, [None, 1.0]), (20, [1.0, 2.0, 3.0]), (6, [3.0, 1.0]), (6, [3.0, 1.0]), (0, [1.0, 2.0]), (None, [1.0, 1.0])]
+    assert found(spark, rows) == {0: [(6, 5.0), (6, 5.0), (5, -1.5)], 5: [(6, 0.5), (6, 0.5), (0, -1.5), (0, -1.5)]}
+    assert found(spark, []) == {} and found(spark, [(1, None)]) == {} and found(spark, [(0, [1.0])]) == {}
+
+
+def test_parts_are_balanced_and_follow_the_graph():
+    rng = np.random.default_rng(2)
+    centres = rng.standard_normal((8, 16)) * 3
+    x = np.repeat(centres, 64, axis=0) + rng.standard_normal((512, 16)) * 0.3
+    label = ann.balanced_parts(x, 8)
+    assert np.bincount(label).tolist() == [64] * 8
+    i, j = ann.neighbour_graph(x, 10)
+    assert (label[i] == label[j]).mean() > 0.9
+    model = ann.Classifier(16, 8).fit(x, label)
+    assert (model.ranked(x, 1)[:, 0] == label).mean() > 0.95
+
+
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])
+def test_recall_on_the_whole_table(spark, sf):
+    df = spark.read.parquet(f"/root/testdata/sf{sf}/embeddings.parquet")
+    x = df.toPandas().sort_values("vec_id")
+    ids, v = x["vec_id"].to_numpy(), np.stack(x["embedding"].to_numpy()).astype(float)
+    got = {}
+    for r in ann.search(df, ann.F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r.query_id, {})[r.vec_id] = r.score
+    hit = total = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        s = v @ v[q]
+        s[q] = -np.inf
+        true = ids[np.argsort(-s, kind="stable")[:20]]
+        hit += len(set(true.tolist()) & set(got[ids[q]]))
+        total += 20
+        assert len(got[ids[q]]) == 20
+        for i, score in random.Random(1).sample(sorted(got[ids[q]].items()), 3):
+            assert abs(score - float(v[q] @ v[np.searchsorted(ids, i)])) < 1e-12
+    print("recall", hit / total)
+    assert hit / total >= 0.9
