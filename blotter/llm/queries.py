@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import ann, langid, mixing, packing, prefix_counts, sharding, simhash, token_files, warc
+from . import ann, bm25, langid, mixing, packing, prefix_counts, sharding, simhash, token_files, warc
 from .common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +118,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(token_files.read_token_files(spark, path))
 
 
+# --- 6: exact top-k search ------------------------------------------------------------
+@register("op6_block_max_wand")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bm25.search(table(spark, sf_dir, "documents"), F.col("doc_id") % 50 == 0)
+
+
 # --- 7: best-fit packing ------------------------------------------------------------
 @register("op7_best_fit_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
