@@ -74,10 +74,10 @@ def invert(pieces: Column, demand: Column) -> Column:
     """Time at which the integral of the schedule reaches ``demand`` (1.0 beyond its end)."""
     p = F.get(F.filter(pieces, lambda q: demand < q["c1"]), F.lit(0))
     span = p["t1"] - p["t0"]
-    y = (demand - p["c0"]) / span
+    y = F.try_divide(demand - p["c0"], span)
     root = F.sqrt(p["w0"] * p["w0"] + 2 * (p["w1"] - p["w0"]) * y)
     return F.when(p.isNull(), F.lit(1.0)).otherwise(
-        p["t0"] + span * F.when(y > 0, 2 * y / (p["w0"] + root)).otherwise(F.lit(0.0)))
+        p["t0"] + span * F.when(y > 0, F.try_divide(2 * y, p["w0"] + root)).otherwise(F.lit(0.0)))
 
 
 def targets(sources: DataFrame, budget_share: float = BUDGET_SHARE,
@@ -90,14 +90,14 @@ def targets(sources: DataFrame, budget_share: float = BUDGET_SHARE,
     common rate. One row per source: the windows run in one task.
     """
     everyone = Window.partitionBy()
-    ratio = Window.orderBy(F.col("_cap") / F.col("weight"), "skey")
+    ratio = Window.orderBy(F.try_divide(F.col("_cap"), F.col("weight")).asc_nulls_last(), "skey")
     before = ratio.rowsBetween(Window.unboundedPreceding, -1)
     s = (sources.withColumn("_cap", F.col("source_size").cast("double") * max_epochs)
          .withColumn("_all", F.sum("source_size").over(everyone).cast("double") * budget_share)
          .withColumns({"_capped": F.coalesce(F.sum("_cap").over(before), F.lit(0.0)),
                        "_open": F.sum("weight").over(everyone)
                        - F.coalesce(F.sum("weight").over(before), F.lit(0.0))})
-         .withColumn("_rate", (F.col("_all") - F.col("_capped")) / F.col("_open")))
+         .withColumn("_rate", F.try_divide(F.col("_all") - F.col("_capped"), F.col("_open"))))
     # the first source whose own capacity is not reached sets the rate of all after it
     rate = F.min(F.when(F.col("_rate") * F.col("weight") <= F.col("_cap"), F.struct(
         F.col("_capped"), F.col("_rate")))).over(everyone)["_rate"]
@@ -109,8 +109,8 @@ def targets(sources: DataFrame, budget_share: float = BUDGET_SHARE,
 
 def plan_mix(docs: DataFrame, schedules=cycled_schedules, budget_share: float = BUDGET_SHARE,
              max_epochs: int = MAX_EPOCHS, rows_per_block: int = ROWS_PER_BLOCK,
-             rows: int | None = None, whole: bool = False) -> DataFrame:
-    """One row per document: ``doc`` (its whole row as a struct), ``size``,
+             carry: list[str] | None = None, whole: bool = False) -> DataFrame:
+    """One row per document: ``doc`` (its columns, or those named in ``carry``, as a struct), ``size``,
     ``source_size``, ``target`` and ``copies``, an array of
     (epoch, take, position) of the copies that the mix takes.
 
@@ -118,16 +118,13 @@ def plan_mix(docs: DataFrame, schedules=cycled_schedules, budget_share: float =
     taken equal the target; ``whole=True`` takes that copy if at least half of it is
     within the demand. ``schedules`` maps a frame of ``skey`` to (skey, pieces).
     """
-    rows = docs.count() if rows is None else rows
-    blocks = blocks_for(rows, rows_per_block)
-    d = (docs.select(F.struct("*").alias("doc"))
-         .select("doc", _source_key(F.col("doc.source")).alias("skey"),
-                 word_count(F.col("doc.text")).alias("size"),
-                 unit_hash(F.col("doc.doc_id")).alias("h"))
-         if "text" in docs.columns else
-         docs.select(F.struct("*").alias("doc"), _source_key(F.col("source")).alias("skey"),
-                     F.col("size"), unit_hash(F.col("doc_id")).alias("h")))
-    d = d.withColumn("h", F.coalesce("h", F.lit(0))).withColumn("block", block_of(F.col("h"), blocks))
+    blocks = blocks_for(docs.count(), rows_per_block)
+    doc = F.struct(*[F.col(f"row.`{c}`") for c in carry or docs.columns]).alias("doc")
+    d = docs.select(F.struct("*").alias("row")).select(
+        doc, _source_key(F.col("row.source")).alias("skey"), F.col("row.doc_id").alias("id"),
+        word_count(F.col("row.text")).alias("size"), F.xxhash64("row.text").alias("text_hash"),
+        F.coalesce(unit_hash(F.col("row.doc_id")), F.lit(0)).alias("h"))
+    d = d.withColumn("block", block_of(F.col("h"), blocks))
 
     per_block = d.groupBy("skey", "block").agg(F.sum("size").alias("block_size"))
     sources = per_block.groupBy("skey").agg(F.sum("block_size").alias("source_size"))
@@ -137,9 +134,8 @@ def plan_mix(docs: DataFrame, schedules=cycled_schedules, budget_share: float =
     bases = (per_block.withColumn("base", F.coalesce(F.sum("block_size").over(in_source), F.lit(0)))
              .join(plan, "skey").drop("block_size"))
 
-    in_block = Window.partitionBy("skey", "block").orderBy(
-        "h", F.col("doc.doc_id"), "size", *([F.xxhash64("doc.text")] if "text" in docs.columns
-                                            else [])).rowsBetween(Window.unboundedPreceding, -1)
+    in_block = Window.partitionBy("skey", "block").orderBy("h", "id", "size", "text_hash").rowsBetween(
+        Window.unboundedPreceding, -1)
     at = d.join(bases, ["skey", "block"]).withColumn(
         "offset", F.col("base") + F.coalesce(F.sum("size").over(in_block), F.lit(0)))
 
@@ -150,7 +146,7 @@ def plan_mix(docs: DataFrame, schedules=cycled_schedules, budget_share: float =
             take = F.when(2 * left >= F.col("size"), F.col("size")).otherwise(F.lit(0))
         else:
             take = F.greatest(F.least(left, F.col("size")), F.lit(0))
-        demand = start / F.col("target") * F.col("weight")
+        demand = F.try_divide(start, F.col("target")) * F.col("weight")
         return F.struct(epoch.alias("epoch"), take.cast("long").alias("take"),
                         invert(F.col("pieces"), demand).alias("position"))
 
