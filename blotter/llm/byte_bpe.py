@@ -18,57 +18,65 @@ import pyarrow as pa
 _RARE = re.compile("[" + "".join(map(chr, [0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680,
                                              *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
                                              0x205F, 0x3000])) + "]")
-_PAIRS = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
+_PAIRS = ("  ", " \n", "\n ", "\n\n", "\t", "\r")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
-MEMORY = 200_000
+MEMORY = 400_000
 #: parts longer than this are not remembered
 LONGEST = 64
+#: stands for no part
+EMPTY = "\0 "
 #: characters of the texts that are cut at once
-CHARS = 1_000_000
+CHARS = 3_000_000
 
 
 def parts(text: str) -> list[str]:
-    """The parts of a text; every part but the first follows a cut space."""
-    if (text[:1] == " " or text[-1:] == " " or any(p in text for p in _PAIRS)
+    """The parts of a text. Every part but the first follows a cut space, unless it
+    begins with a line feed, which then stands between two characters that are not white
+    space and is a token of its own."""
+    if (text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or any(p in text for p in _PAIRS)
             or _RARE.search(text)):
         return _SAFE.split(text)
-    return text.split(" ")
+    return text.replace("\n", " \n").split(" ")
 
 
 class Remembered:
-    """``of(part)`` for many parts, with a bounded memory of two generations."""
+    """Values of parts, with a bounded memory of two generations.
 
-    def __init__(self, of: Callable[[list[str]], list]):
-        self.of, self.new, self.old = of, {}, {}
+    ``of(parts, lead, known)`` gives the values of new parts; ``lead`` is what stands
+    before a part that does not begin with a line feed, ``known(part)`` a remembered
+    value or None.
+    """
+
+    def __init__(self, of: Callable[[list[str], str, Callable], list], lead: str):
+        self.of, self.lead, self.new, self.old = of, lead, {}, {}
+
+    def known(self, part: str):
+        return self.new.get(part) or self.old.get(part)
 
     def learn(self, wanted: set[str]) -> dict:
         """A dict that holds at least every wanted part."""
         if len(self.new) > MEMORY:
             self.old, self.new = self.new, {}
-        unknown = []
+        short, long_ = [], []
         for w in wanted.difference(self.new):
             if w in self.old:
                 self.new[w] = self.old[w]
             else:
-                unknown.append(w)
-        if unknown:
-            long_ = [w for w in unknown if len(w) > LONGEST]
-            short = [w for w in unknown if len(w) <= LONGEST]
-            self.new.update(zip(short, self.of(short)))
-            if long_:  # for this batch only
-                return {**{w: self.new[w] for w in wanted if w in self.new},
-                        **dict(zip(long_, self.of(long_)))}
+                (short if len(w) <= LONGEST else long_).append(w)
+        if short:
+            self.new.update(zip(short, self.of(short, self.lead, self.known)))
+        if long_:  # for this batch only
+            return {**{w: self.new[w] for w in wanted if w in self.new},
+                    **dict(zip(long_, self.of(long_, self.lead, self.known)))}
         return self.new
 
 
 class ByParts:
-    """Applies a function of parts to whole texts: ``first`` to the first part of a text,
-    ``later`` to every other part (given without its leading space)."""
+    """Applies a function of parts to whole texts."""
 
-    def __init__(self, of: Callable[[list[str]], list]):
-        self.first = Remembered(of)
-        self.later = Remembered(lambda words: of([" " + w for w in words]))
+    def __init__(self, of: Callable[[list[str], str, Callable], list]):
+        self.first, self.later = Remembered(of, ""), Remembered(of, " ")
 
     def __call__(self, texts: list[str]) -> Iterator[list]:
         """For every text the values of its parts, in order."""
@@ -79,10 +87,20 @@ class ByParts:
                 held += len(texts[j])
                 j += 1
             cut = [parts(t) for t in texts[i:j]]
-            first = self.first.learn({c[0] for c in cut})
-            later = self.later.learn(set().union(*[c[1:] for c in cut]))
-            for c in cut:
-                yield [first[c[0]], *map(later.__getitem__, c[1:])]
+            heads = [c[0] for c in cut]
+            first = self.first.learn(set(heads))
+            for c, head in zip(cut, heads):
+                c[0] = c[-1] if len(c) > 1 else EMPTY
+            wanted = set().union(*cut)
+            wanted.discard(EMPTY)
+            later = self.later.learn(wanted)
+            for c, head in zip(cut, heads):
+                if len(c) == 1:
+                    yield [first[head]]
+                else:
+                    values = list(map(later.__getitem__, c))
+                    values[0] = first[head]
+                    yield values
             i = j
 
 

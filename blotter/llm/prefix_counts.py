@@ -134,8 +134,9 @@ class PrefixCounter:
             self.words[w] = counts
         return counts
 
-    def parts(self, texts: list[str]) -> list[Sequence[int]]:
+    def parts(self, parts: list[str], lead: str, known) -> list[Sequence[int]]:
         """Counts of many parts of texts; those without special cases are cut in one call."""
+        texts = [p if p[:1] == "\n" else lead + p for p in parts]
         out: dict[str, Sequence[int]] = {}
         lines = [t for t in texts if "'" not in t and "|" not in t and byte_bpe.one_line(t)]
         if self.special and any("|" not in s for s in self.special):

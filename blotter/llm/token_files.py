@@ -24,6 +24,8 @@ ignored, whatever their names.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -37,6 +39,14 @@ from . import byte_bpe
 
 END_ID = 2
 NEWLINE = "\n"
+#: Latin letters and the ASCII marks after them: the marks are a word of their own
+PLAIN = re.compile("(\n?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
+#: byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow 255
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_ALPHABET = {b: b for b in _PRINTED} | {
+    b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+#: texts that are decoded at once
+ROWS = 1024
 ROW_GROUP, PAGE = 32 << 20, 64 << 10
 LAYOUT = {
     "parquet.writer.version": "v2",
@@ -46,7 +56,7 @@ LAYOUT = {
     "parquet.enable.dictionary#doc_id": "false",
     "parquet.enable.dictionary#first": "false",
     "parquet.enable.dictionary#n_tokens": "false",
-    "compression": "zstd",
+    "compression": "snappy",
 }
 
 _ENCODERS: dict[str, byte_bpe.ByParts] = {}
@@ -61,21 +71,51 @@ def encoder(path: str) -> byte_bpe.ByParts:
         tokenizer = Tokenizer.from_file(path)
         (newline,) = tokenizer.encode(NEWLINE, add_special_tokens=False).ids
 
-        def ids(texts: list[str]) -> list[bytes]:
-            out: dict[str, bytes] = {}
-            lines = [t for t in texts if byte_bpe.one_line(t)]
-            if lines:  # one call for all: each on a line of its own
-                got = tokenizer.encode(NEWLINE.join([*lines, ""]), add_special_tokens=False)
-                flat = np.array(got.ids, "<u4")
-                ends = np.flatnonzero(flat == newline)
-                starts = np.concatenate([[0], ends[:-1] + 1])
-                raw = flat.tobytes()
-                for t, a, b in zip(lines, (4 * starts).tolist(), (4 * ends).tolist()):
-                    out[t] = raw[a:b]
-            rest = [t for t in texts if t not in out]
-            for t, e in zip(rest, tokenizer.encode_batch(rest, add_special_tokens=False)):
-                out[t] = np.array(e.ids, "<u4").tobytes()
-            return [out[t] for t in texts]
+        new_line = np.array([newline], "<u4").tobytes()
+        marks: dict[str, bytes] = {}
+
+        def whole(texts: list[str]) -> list[bytes]:
+            return [np.array(e.ids, "<u4").tobytes()
+                    for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+        def lines(texts: list[str]) -> list[bytes]:
+            """Texts without white space inside, in one call: each on a line of its own."""
+            flat = np.array(tokenizer.encode(NEWLINE.join([*texts, ""]),
+                                             add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(flat == newline)
+            starts, raw = np.concatenate([[0], ends[:-1] + 1]), flat.tobytes()
+            return [raw[4 * a:4 * z] for a, z in zip(starts.tolist(), ends.tolist())]
+
+        def word(text: str) -> bytes:
+            """A word of Latin letters is one word to the model."""
+            got = tokenizer.model.tokenize(text.encode().decode("latin-1").translate(BYTE_ALPHABET))
+            return struct.pack(f"<{len(got)}I", *[t.id for t in got])
+
+        def after(text: str) -> bytes:
+            if text not in marks:
+                if len(marks) > byte_bpe.MEMORY:
+                    marks.clear()
+                marks[text] = whole([text])[0]
+            return marks[text]
+
+        def ids(parts: list[str], lead: str, known) -> list[bytes]:
+            out: list[bytes | None] = []
+            rest: list[str] = []
+            for p in parts:
+                plain = PLAIN.fullmatch(p)
+                if not plain:
+                    rest.append(p)
+                    out.append(None)
+                    continue
+                feed, letters, end = plain.groups()
+                v = word(letters if feed else lead + letters) if feed or not end else (
+                    known(letters) or word(lead + letters))
+                out.append((new_line if feed else b"") + v + (after(end) if end else b""))
+            one = [p for p in rest if "|" not in p and p[:1] != NEWLINE and byte_bpe.one_line(lead + p)]
+            done = dict(zip(one, lines([lead + p for p in one]))) if one else {}
+            odd = [p for p in rest if p not in done]
+            done.update(zip(odd, whole([p if p[:1] == NEWLINE else lead + p for p in odd])))
+            return [done[p] if v is None else v for p, v in zip(parts, out)]
 
         _ENCODERS[path] = byte_bpe.ByParts(ids)
     return _ENCODERS[path]
@@ -94,7 +134,8 @@ def tokenized(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, place = encoder(vocabulary), 0
         for b in batches:
-            rows = [b"".join([*p, end]) for p in encode(byte_bpe.texts_of(b.column(1)))]
+            rows = [b"".join([*p, end]) for i in range(0, b.num_rows, ROWS)
+                    for p in encode(byte_bpe.texts_of(b.column(1).slice(i, ROWS)))]
             n = np.array([len(r) // 4 for r in rows], np.int64)
             offsets = np.concatenate([[0], np.cumsum(n)])
             ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)),
@@ -113,32 +154,39 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str) -> None:
 
 
 def read_token_files(spark, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids): ``start`` counts the ids of all documents before."""
+    """The rows of the files, with the number of the file they stand in."""
     number = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long")
-    rows = spark.read.parquet(path).select("*", number.alias("file"))
+    return spark.read.parquet(path).select("*", number.alias("file"))
+
+
+def with_start(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Adds ``start``, the number of ids of all documents before, to rows that carry
+    ``file`` and ``first``; reads only the token counts of the files."""
     # one row per file: the sum over all files before it runs in one task
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    bases = (rows.groupBy("file").agg(F.sum("n_tokens").alias("ids_in_file"))
+    bases = (files.groupBy("file").agg(F.sum("n_tokens").alias("ids_in_file"))
              .select("file", F.coalesce(F.sum("ids_in_file").over(before), F.lit(0)).alias("base")))
-    return rows.join(bases, "file").select(
-        "doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids")
+    return (rows.join(bases, "file").withColumn("start", F.col("base") + F.col("first"))
+            .drop("base", "file", "first"))
 
 
-def checksums(rows: DataFrame) -> DataFrame:
-    """(doc_id, start, ids) -> (doc_id, start, n_tokens, ids_crc32), from the ids as read."""
-    d = rows.select("doc_id", "start", "ids")
-    schema = T.StructType([d.schema["doc_id"], T.StructField("start", T.LongType()),
+def checksums(files: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32), from the ids as read."""
+    d = files.select("doc_id", "file", "first", "ids")
+    schema = T.StructType([d.schema["doc_id"], T.StructField("file", T.LongType()),
+                           T.StructField("first", T.LongType()),
                            T.StructField("n_tokens", T.LongType()),
                            T.StructField("ids_crc32", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lists = b.column(2)
+            lists = b.column(3)
             raw = memoryview(np.asarray(lists.values).astype("<u4").tobytes())
             at = lists.offsets.to_numpy().astype(np.int64)
             crc = [zlib.crc32(raw[4 * x:4 * y]) for x, y in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(np.diff(at)), pa.array(crc, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                [b.column(0), b.column(1), b.column(2), pa.array(np.diff(at)),
+                 pa.array(crc, pa.int64())], names=schema.names)
 
-    return d.mapInArrow(run, schema)
+    return with_start(d.mapInArrow(run, schema), files).select(
+        "doc_id", "start", "n_tokens", "ids_crc32")

@@ -27,7 +27,7 @@ def encoded(texts):
     return [np.frombuffer(b"".join(p), "<u4").tolist() for p in token_files.encoder(PATH)(texts)]
 
 
-ODD = ["", " ", "  ", "a", " a", "a ", "a  b", "a   b", "\n", "a\nb", "a \nb", "a\n b", "\ta b\t", "x\x0b y", "x \x1cy",
+ODD = ["", " ", "  ", "x,\ny. z", "a1, b2.. (c) d;e x×. É. 漢, a|b c|, x<|endoftext|>, y", "\na", "a\n", "a", " a", "a ", "a  b", "a   b", "\n", "a\nb", "a \nb", "a\n b", "\ta b\t", "x\x0b y", "x \x1cy",
        "a　 b", "a  b", "don't 'tis we're 's 've", "<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b",
        " <|endoftext|>  x", "été 漢字 का 🙂 x", "՘ ࢏ a", "!!! ... ,a", "1 22 a1", "x" * 200 + " y", "\x00 a"]
 
@@ -43,6 +43,7 @@ def test_any_text(texts):
 
 
 def test_bounded_memory(monkeypatch):
+    monkeypatch.setattr(token_files, "_ENCODERS", {})
     monkeypatch.setattr(byte_bpe, "MEMORY", 5)
     monkeypatch.setattr(byte_bpe, "CHARS", 40)
     rnd = random.Random(1)
