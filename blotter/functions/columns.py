@@ -6,6 +6,8 @@ failing the job (Spark 4 runs with ANSI mode on).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,7 +51,10 @@ def norm_text(c: str | Column) -> Column:
     ``trim`` removes only spaces, so a leading tab survives the trim and is then
     turned into a single space (``"\\t a"`` -> ``" a"``).
     """
-    return F.regexp_replace(F.trim(col(c)), r"\s+", " ")
+    x = F.trim(col(c))
+    # most text holds single spaces only: look for anything else before using the pattern
+    runs = [F.contains(x, F.lit(w)) for w in ("  ", "\t", "\n", "\x0b", "\f", "\r")]
+    return F.when(reduce(lambda a, b: a | b, runs), F.regexp_replace(x, r"\s+", " ")).otherwise(x)
 
 
 def default_if_null(c: str | Column, default: str) -> Column:

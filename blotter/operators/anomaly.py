@@ -56,11 +56,16 @@ def _abs_z_sort_key() -> Column:
     return F.coalesce(F.abs(F.col("z_score")), F.lit(float("inf")))
 
 
-def top_anomalies(fact: DataFrame, n: int = 30, **kw) -> DataFrame:
-    return (daily_anomalies(fact, **kw)
-            .orderBy(_abs_z_sort_key().desc(), F.col("occurrence_date").asc())
+def top_anomalies(fact: DataFrame, n: int = 30, partition_cols: list[str] | None = None,
+                  **kw) -> DataFrame:
+    """The n anomalies of largest |z|; with ``partition_cols`` over all series, whose keys
+    are kept and break ties."""
+    keys = list(partition_cols or [])
+    return (daily_anomalies(fact, partition_cols=keys, **kw)
+            .orderBy(_abs_z_sort_key().desc(), F.col("occurrence_date").asc(),
+                     *[F.col(k).asc_nulls_last() for k in keys])
             .limit(n)
-            .select("occurrence_date", "crime_count", "rolling_mean", "rolling_std", "z_score",
+            .select(*keys, "occurrence_date", "crime_count", "rolling_mean", "rolling_std", "z_score",
                     "weekday", "day_of_month"))
 
 

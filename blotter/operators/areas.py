@@ -11,10 +11,12 @@ from ..functions import columns as C
 def area_map_geo(metrics: DataFrame, dim: DataFrame) -> DataFrame:
     """Left join: every metric row is kept; ``geojson`` is null without a polygon.
 
-    Both sides hold one row per area (aggregates and a polygon dimension), so
-    AQE broadcasts whichever is small at run time; no static hint is needed.
+    Of several polygons with one key the first by (name, text) is taken, so a metric row
+    is never doubled. Both sides then hold one row per area; AQE picks the join.
     """
-    geo = dim.select(F.col("area_id").alias("area_id_norm"),
-                     F.col("area_name").alias("geo_area_name"), "geojson")
+    first = F.min(F.struct(F.coalesce("area_name", F.lit("")).alias("n"),
+                           F.coalesce("geojson", F.lit("")).alias("g"), "area_name", "geojson"))
+    geo = (dim.groupBy(F.col("area_id").alias("area_id_norm")).agg(first.alias("f"))
+           .select("area_id_norm", F.col("f.area_name").alias("geo_area_name"), F.col("f.geojson")))
     return (metrics.withColumn("area_id_norm", C.area_key("area_id"))
                    .join(geo, "area_id_norm", "left"))

@@ -14,6 +14,14 @@ from ..functions import codes
 from ..functions import columns as C
 
 
+def _type_tiebreak() -> list:
+    return [F.col("crime_code").asc_nulls_last(), F.col("crime_description").asc_nulls_last()]
+
+
+def _by_count() -> list:
+    return [F.col("crime_count").desc(), *_type_tiebreak()]
+
+
 def _cnt(name: str = "crime_count"):
     return F.count(F.lit(1)).alias(name)
 
@@ -31,12 +39,12 @@ def fact_span(fact: DataFrame) -> DataFrame:
 
 # A12
 def daily_counts(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("occurrence_date").agg(_cnt())
+    return fact.groupBy("occurrence_date").agg(_cnt()).orderBy("occurrence_date")
 
 
 # A13
 def hourly_counts(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("hour_occ").agg(_cnt())
+    return fact.groupBy("hour_occ").agg(_cnt()).orderBy("hour_occ")
 
 
 # P20 distribution
@@ -49,10 +57,14 @@ CATEGORIES = [codes.NON_VIOLENT, codes.OTHER, codes.VIOLENT]
 
 # A14 – hour x category, wide, missing cells 0
 def hourly_category_pivot(fact: DataFrame) -> DataFrame:
-    """Pivot over a fixed category list as one conditional aggregation (one shuffle,
-    where ``groupBy().pivot()`` plans two aggregations)."""
+    """Pivot over the category list as one conditional aggregation (one shuffle, where
+    ``groupBy().pivot()`` plans two aggregations). ``other_values`` counts the incidents
+    of any category outside the list, null included, so none is lost."""
+    category = F.col("crime_category")
+    listed = F.coalesce(category.isin(*CATEGORIES), F.lit(False))
     return fact.groupBy("hour_occ").agg(
-        *[F.count_if(F.col("crime_category") == F.lit(c)).alias(c) for c in CATEGORIES])
+        *[F.count_if(category == F.lit(c)).alias(c) for c in CATEGORIES],
+        F.count_if(~listed).alias("other_values")).orderBy("hour_occ")
 
 
 # A15
@@ -62,14 +74,15 @@ def category_list(fact: DataFrame) -> DataFrame:
 
 # A16
 def code_freq(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("crime_code", "crime_description").agg(_cnt())
+    return fact.groupBy("crime_code", "crime_description").agg(_cnt()).orderBy(*_by_count())
 
 
 # A17 + W02
 def macro_distribution(fact: DataFrame) -> DataFrame:
     g = with_macro_category(fact).groupBy("macro_category").agg(_cnt())
     # share of the grand total over the (at most 8) aggregated rows
-    return g.withColumn("share", F.col("crime_count") / F.sum("crime_count").over(Window.partitionBy()))
+    shared = g.withColumn("share", F.col("crime_count") / F.sum("crime_count").over(Window.partitionBy()))
+    return shared.orderBy(F.col("crime_count").desc(), "macro_category")
 
 
 # A18
@@ -84,12 +97,14 @@ def other_share(fact: DataFrame) -> DataFrame:
 def other_breakdown(fact: DataFrame) -> DataFrame:
     return (with_macro_category(fact)
             .where(F.col("macro_category") == F.lit(codes.MACRO_OTHER))
-            .groupBy("crime_code", "crime_description").agg(_cnt()))
+            .groupBy("crime_code", "crime_description").agg(_cnt()).orderBy(*_by_count()))
 
 
 # A20
 def area_summary(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("area_id", "area_name").agg(_cnt())
+    return (fact.groupBy("area_id", "area_name").agg(_cnt())
+            .orderBy(F.col("crime_count").desc(), F.col("area_id").asc_nulls_last(),
+                     F.col("area_name").asc_nulls_last()))
 
 
 def _area_subset_share(fact: DataFrame, subset, part: str, share: str) -> DataFrame:
@@ -102,30 +117,41 @@ def _area_subset_share(fact: DataFrame, subset, part: str, share: str) -> DataFr
              .withColumn(share, F.col(part) / F.col("total_crimes")))
 
 
-# J01
-def area_violent_share(fact: DataFrame) -> DataFrame:
+def _largest(measure: str, label: str = "area_name") -> list:
+    return [F.col(measure).desc(), F.col(label).asc_nulls_last()]
+
+
+def _area_violent(fact: DataFrame) -> DataFrame:
     return _area_subset_share(with_macro_category(fact),
                               F.col("macro_category") == F.lit(codes.MACRO_VIOLENT),
                               "violent_crimes", "violent_share")
 
 
+# J01
+def area_violent_share(fact: DataFrame) -> DataFrame:
+    return _area_violent(fact).orderBy(*_largest("violent_share"))
+
+
 # J02
 def area_night_share(fact: DataFrame) -> DataFrame:
-    return _area_subset_share(fact, C.is_night("hour_occ"), "night_crimes", "night_crime_share")
+    s = _area_subset_share(fact, C.is_night("hour_occ"), "night_crimes", "night_crime_share")
+    return s.orderBy(*_largest("night_crime_share"))
 
 
 # J04 + T04 – top-10 by violent share, flagged when also top-10 by total
 def area_share_top10_flagged(fact: DataFrame, n: int = 10) -> DataFrame:
-    s = area_violent_share(fact)
-    by_share = Window.orderBy(F.col("violent_share").desc(), F.col("area_name").asc_nulls_last())
-    by_total = Window.orderBy(F.col("total_crimes").desc(), F.col("area_name").asc_nulls_last())
-    ranked = s.select("*", F.row_number().over(by_share).alias("share_rank"),
-                      F.row_number().over(by_total).alias("_total_rank"))
-    return (ranked.where(F.col("share_rank") <= n)
-                  .withColumn("in_top_total", F.col("_total_rank") <= n)
-                  .select("area_name", "violent_share",
-                          (F.col("violent_share") * 100).alias("violent_share_pct"),
-                          "violent_crimes", "total_crimes", "share_rank", "in_top_total"))
+    """Two top-n selections (each task keeps n rows) and a join of n rows with n rows;
+    only the n selected rows are ranked."""
+    s = _area_violent(fact)
+    top_share, top_total = (s.orderBy(*_largest(m)).limit(n) for m in ("violent_share", "total_crimes"))
+    flag = top_total.select(F.col("area_name").alias("_area"), F.lit(True).alias("_top"))
+    rank = F.row_number().over(Window.orderBy(*_largest("violent_share")))
+    return (top_share.join(flag, F.col("area_name").eqNullSafe(F.col("_area")), "left")
+            .select("area_name", "violent_share",
+                    (F.col("violent_share") * 100).alias("violent_share_pct"), "violent_crimes",
+                    "total_crimes", rank.alias("share_rank"),
+                    F.coalesce("_top", F.lit(False)).alias("in_top_total"))
+            .orderBy("share_rank"))
 
 
 # J03 + A22 – types seen more than 50 times, approximate median delay
@@ -134,7 +160,8 @@ def type_reporting_delay(fact: DataFrame, min_count: int = codes.MIN_TYPE_COUNT)
                 .groupBy("crime_code", "crime_description")
                 .agg(_cnt(), F.percentile_approx("reporting_delay_days", 0.5)
                      .alias("median_reporting_delay_days"))
-                .where(F.col("crime_count") > min_count))
+                .where(F.col("crime_count") > min_count)
+                .orderBy(F.col("median_reporting_delay_days").desc_nulls_last(), *_type_tiebreak()))
 
 
 # A21
@@ -153,22 +180,22 @@ TYPE_COLUMNS = ["crime_code", "crime_description", "crime_count", "night_share",
 
 
 # T06
-def night_leaning(fact: DataFrame, min_share: float = codes.NIGHT_SHARE_MIN) -> DataFrame:
+def _night_leaning(fact: DataFrame, min_share: float = codes.NIGHT_SHARE_MIN) -> DataFrame:
     return type_stats(fact).where(F.col("night_share") >= F.lit(min_share))
 
 
-def _type_tiebreak():
-    return [F.col("crime_code").asc_nulls_last(), F.col("crime_description").asc_nulls_last()]
+def night_leaning(fact: DataFrame, min_share: float = codes.NIGHT_SHARE_MIN) -> DataFrame:
+    return _night_leaning(fact, min_share).orderBy(*_by_count())
 
 
 def night_fast_report(fact: DataFrame, n: int = 10) -> DataFrame:
-    return (night_leaning(fact)
+    return (_night_leaning(fact)
             .orderBy(F.col("median_reporting_delay_days").asc_nulls_first(), *_type_tiebreak())
             .select(*TYPE_COLUMNS).limit(n))
 
 
 def night_slow_report(fact: DataFrame, n: int = 10) -> DataFrame:
-    return (night_leaning(fact)
+    return (_night_leaning(fact)
             .orderBy(F.col("median_reporting_delay_days").desc_nulls_last(), *_type_tiebreak())
             .select(*TYPE_COLUMNS).limit(n))
 

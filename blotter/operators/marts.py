@@ -19,10 +19,15 @@ def _violent_count() -> Column:
     return F.sum(F.col("is_violent").cast("int"))
 
 
-def _area_measures() -> list[Column]:
+def _violent_count_or_zero() -> Column:
+    """The monthly mart's rule: a null flag counts as not violent."""
+    return F.sum(F.when(F.col("is_violent"), F.lit(1)).otherwise(F.lit(0)))
+
+
+def _area_measures(violent: Column) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("crime_count"),
-        _violent_count().alias("violent_count"),
+        violent.alias("violent_count"),
         F.avg("reporting_delay_days").alias("avg_reporting_delay_days"),
         F.percentile(F.col("reporting_delay_days"), F.lit(0.5)).alias("median_reporting_delay_days"),
     ]
@@ -31,7 +36,7 @@ def _area_measures() -> list[Column]:
 def mart_daily_area(fact: DataFrame) -> DataFrame:
     """Per (occurrence_date, area): counts, average and exact median delay, share."""
     return (fact.groupBy("occurrence_date", "area_id", "area_name")
-                .agg(*_area_measures())
+                .agg(*_area_measures(_violent_count()))
                 .withColumn("violent_share", C.share("violent_count", "crime_count")))
 
 
@@ -50,7 +55,7 @@ def mart_monthly_area(fact: DataFrame) -> DataFrame:
     """As the daily mart, per calendar month of ``occurrence_date``."""
     d = F.col("occurrence_date")
     return (fact.groupBy("area_id", "area_name", F.year(d).alias("year"), F.month(d).alias("month"))
-                .agg(*_area_measures())
+                .agg(*_area_measures(_violent_count_or_zero()))
                 .withColumn("violent_share", C.share("violent_count", "crime_count")))
 
 

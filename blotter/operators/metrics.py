@@ -76,7 +76,8 @@ def area_daily_series(fact: DataFrame, f: Filters) -> DataFrame:
     return (fact.where(f.predicate())
                 .groupBy("occurrence_date")
                 .agg(F.count(F.lit(1)).alias("crime_count"), _violent().alias("violent_count"))
-                .withColumn("violent_share", C.share("violent_count", "crime_count")))
+                .withColumn("violent_share", C.share("violent_count", "crime_count"))
+                .orderBy("occurrence_date"))
 
 
 # Q06
@@ -88,22 +89,21 @@ def area_top_types(fact: DataFrame, f: Filters, limit: int = 12) -> DataFrame:
 
 
 # Q07
-def monthly_trend(fact: DataFrame, f: Filters) -> DataFrame:
+def _monthly_by_type(fact: DataFrame, f: Filters) -> DataFrame:
     return (fact.where(f.predicate() & F.col("crime_description").isNotNull())
                 .groupBy(C.month_start("occurrence_ts").alias("month_start"), "crime_description")
                 .agg(F.count(F.lit(1)).alias("incidents"), _violent().alias("violent_incidents")))
 
 
-TOP_N_BROADCAST_MAX = 10_000
+def monthly_trend(fact: DataFrame, f: Filters) -> DataFrame:
+    return _monthly_by_type(fact, f).orderBy("month_start", "crime_description")
 
 
 # J08 – top-N types over all areas feed the per-type monthly series
 def monthly_trend_topn(fact: DataFrame, f: Filters, n: int = 8) -> DataFrame:
-    """The top list has at most ``n`` rows (3..20 in the UI): it is broadcast when
-    ``n`` is within ``TOP_N_BROADCAST_MAX``, else the planner picks the join."""
+    """The planner picks the join from the measured size of the top list."""
     top = top_types(fact, f.without_area(), limit=n).select("crime_description")
-    side = F.broadcast(top) if n <= TOP_N_BROADCAST_MAX else top
-    picked = fact.join(side, "crime_description", "left_semi")
+    picked = fact.join(top, "crime_description", "left_semi")
     return monthly_trend(picked, f.without_types())
 
 
@@ -117,19 +117,20 @@ def weekday_hour(fact: DataFrame, f: Filters) -> DataFrame:
 # Q19 – weekday x hour matrix (hours 0..23 as columns, missing cells 0)
 def weekday_hour_matrix(fact: DataFrame, f: Filters) -> DataFrame:
     """The weekday x hour counts pivoted wide, as one conditional aggregation per
-    weekday (one shuffle; the hour list is fixed, so no distinct-values job)."""
+    weekday (one shuffle; no distinct-values job). ``h_other`` counts the incidents of
+    any other hour, null included, so every incident is in one cell."""
+    hour = F.col("hour_occ")
     wide = (fact.where(f.predicate())
                 .groupBy("weekday")
-                .agg(*[F.count_if(F.col("hour_occ") == F.lit(h)).alias(f"h{h:02d}")
-                       for h in range(24)]))
-    # at most 7 rows: Monday-first order inside one partition, no range exchange
-    return wide.coalesce(1).sortWithinPartitions(C.weekday_order("weekday"))
+                .agg(*[F.count_if(hour == F.lit(h)).alias(f"h{h:02d}") for h in range(24)],
+                     F.count_if(~F.coalesce(hour.between(0, 23), F.lit(False))).alias("h_other")))
+    return wide.orderBy(C.weekday_order("weekday"), F.col("weekday").asc_nulls_last())
 
 
 # Q09
 def area_list(mart: DataFrame) -> DataFrame:
     return (mart.where(F.col("area_id").isNotNull() & F.col("area_name").isNotNull())
-                .select("area_id", "area_name").distinct())
+                .select("area_id", "area_name").distinct().orderBy("area_name", "area_id"))
 
 
 # J07 – area name -> id (first id in id order)
@@ -139,12 +140,16 @@ def area_id_for_name(areas: DataFrame, area_name: str) -> DataFrame:
 
 
 # Q10
-def monthly_total(fact: DataFrame, f: Filters) -> DataFrame:
+def _monthly(fact: DataFrame, f: Filters) -> DataFrame:
     return (fact.where(f.predicate())
                 .groupBy(C.month_start("occurrence_ts").alias("month_start"))
                 .agg(F.count(F.lit(1)).alias("incidents"), _violent().alias("violent_incidents")))
 
 
+def monthly_total(fact: DataFrame, f: Filters) -> DataFrame:
+    return _monthly(fact, f).orderBy("month_start")
+
+
 # W05 / W06 – 3-row rolling means (row-based, at least one row)
 def _smooth(df: DataFrame, by: list[str]) -> DataFrame:
     w = Window.orderBy("month_start").rowsBetween(-2, 0)
@@ -158,11 +163,12 @@ def _smooth(df: DataFrame, by: list[str]) -> DataFrame:
 
 def monthly_total_smooth(fact: DataFrame, f: Filters) -> DataFrame:
     """Input to the window is one row per month, so a single ordered partition is fine."""
-    return _smooth(monthly_total(fact, f), [])
+    return _smooth(_monthly(fact, f), []).orderBy("month_start")
 
 
 def monthly_trend_smooth(fact: DataFrame, f: Filters) -> DataFrame:
-    return _smooth(monthly_trend(fact, f), ["crime_description"])
+    return (_smooth(_monthly_by_type(fact, f), ["crime_description"])
+            .orderBy("month_start", "crime_description"))
 
 
 # Q11
@@ -177,7 +183,9 @@ def distribution(fact: DataFrame, f: Filters, column: str, limit: int | None = N
     g = (fact.where(p)
              .groupBy(C.blank_to_unknown(column).alias(column))
              .agg(F.count(F.lit(1)).alias("incidents")))
-    return _top(g, "incidents", column, limit) if limit else g
+    if limit is None:
+        return g.orderBy(F.col("incidents").desc(), F.col(column).asc_nulls_last())
+    return _top(g, "incidents", column, limit)
 
 
 def dist_sex(fact: DataFrame, f: Filters) -> DataFrame:

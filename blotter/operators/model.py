@@ -19,9 +19,10 @@ from ..functions import codes
 from ..functions import columns as C
 from ..sources import schemas
 
+# ``victim_sex`` and ``crime_category`` hold only the labels that silver gives them.
 NORMALISED_TEXT = [
-    "dr_no", "crime_category", "area_id", "area_name", "reporting_district", "crime_code",
-    "crime_description", "victim_sex", "victim_descent", "premise_description",
+    "dr_no", "area_id", "area_name", "reporting_district", "crime_code",
+    "crime_description", "victim_descent", "premise_description",
     "weapon_description", "status_description",
 ]
 

@@ -46,7 +46,8 @@ def gold_counts(fact: DataFrame) -> DataFrame:
 
 # A10
 def silver_sex_freq(bronze: DataFrame) -> DataFrame:
-    return clean.typed(bronze).groupBy("victim_sex").agg(F.count(F.lit(1)).alias("count"))
+    return (clean.typed(bronze).groupBy("victim_sex").agg(F.count(F.lit(1)).alias("count"))
+            .orderBy(F.col("count").desc(), "victim_sex"))
 
 
 def silver_category_freq(silver: DataFrame) -> DataFrame:

@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..operators import anomaly, areas, clean, explore, marts, metrics, model, quality
 from ..operators.filters import Filters, default_period
-from ..sources import geojson, landing
+from ..sources import adapter, landing, schemas
 from . import oracle as O
-from .refresh import area_files, landing_files, layers
+from .refresh import DIM_AREA, layers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,30 +75,55 @@ def _sql_where(f: Filters) -> str:
     return " AND ".join(parts)
 
 
+# A version of a layer never changes, so a reader of its path (and its file listing) can be
+# used again; the oldest are dropped.
+_READERS: dict[tuple[int, str], DataFrame] = {}
+
+
+def _read(spark: SparkSession, sf_dir: str, layer: str, table: str, schema=None) -> DataFrame:
+    path = landing.current(spark, layers(spark, sf_dir).root, layer, table)
+    key = (id(spark), path)
+    if key not in _READERS:
+        while len(_READERS) >= 32:
+            _READERS.pop(next(iter(_READERS)))
+        _READERS[key] = landing.read_version(spark, path, schema)
+    return _READERS[key]
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The written bronze layer (derived from the star schema by the ingest step)."""
-    return layers(spark, sf_dir).bronze(spark)
+    return _read(spark, sf_dir, "bronze", "crime", schemas.BRONZE)
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layers(spark, sf_dir).fact(spark)
+    return _read(spark, sf_dir, "gold", "fact_crime_incidents", schemas.GOLD)
 
 
-def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layers(spark, sf_dir).mart_daily_area(spark)
+def mart(spark: SparkSession, sf_dir: str, name: str = "mart_crime_daily_area") -> DataFrame:
+    return _read(spark, sf_dir, "gold", name)
 
 
 # === sources and layers ========================================================
 
+_EXTRA_SQL = "CASE WHEN dr_no LIKE '%00-1' THEN '{\"location_2\":\"cross street\"}' END"
+
 @register("bronze_ingest", O.with_prefix(f"""
 SELECT dr_no, date_rptd, date_occ, time_occ, area, area_name, rpt_dist_no, part_1_2, crm_cd,
   crm_cd_desc, vict_age, vict_sex, vict_descent, premis_desc, weapon_desc, status_desc, lat, lon,
   DATE '{RUN_TS[:10]}' AS ingest_date, TIMESTAMP '{RUN_TS}' AS processing_datetime,
-  'landing' AS data_source
+  'landing' AS data_source, {_EXTRA_SQL} AS extra
 FROM bronze WHERE date_occ >= '{LANDING_YEAR_FROM}-01-01T00:00:00'"""))
 def q_bronze_ingest(spark, sf_dir):
-    return landing.ingest(spark, landing_files(spark, sf_dir), year_from=LANDING_YEAR_FROM,
-                          run_ts=RUN_TS, source="landing")
+    found = landing.ingest(spark, layers(spark, sf_dir).landing_dir, year_from=LANDING_YEAR_FROM,
+                           run_ts=RUN_TS, source="landing")
+    return found.withColumn("extra", F.to_json("extra"))
+
+
+@register("dq_landing", O.with_prefix("""
+SELECT count(*) AS records, count(*) FILTER (WHERE dr_no LIKE '%00-2') AS corrupt_lines,
+  count(*) FILTER (WHERE dr_no LIKE '%00-1') AS records_with_extra FROM bronze"""))
+def q_dq_landing(spark, sf_dir):
+    return landing.profile(landing.read_landing(spark, layers(spark, sf_dir).landing_dir))
 
 
 @register("silver_clean", O.with_prefix("SELECT * FROM silver"))
@@ -142,20 +167,20 @@ def q_mart_type_trends(spark, sf_dir):
 SELECT area_id, area_name, CAST(year(occurrence_date) AS INTEGER) AS year,
   CAST(month(occurrence_date) AS INTEGER) AS month,
   count(*) AS crime_count,
-  CAST(sum(CAST(is_violent AS INTEGER)) AS BIGINT) AS violent_count,
+  CAST(sum(CASE WHEN is_violent THEN 1 ELSE 0 END) AS BIGINT) AS violent_count,
   avg(reporting_delay_days) AS avg_reporting_delay_days,
   quantile_cont(reporting_delay_days, 0.5) AS median_reporting_delay_days,
-  CAST(sum(CAST(is_violent AS INTEGER)) AS DOUBLE) / count(*) AS violent_share
+  CAST(sum(CASE WHEN is_violent THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS violent_share
 FROM fact GROUP BY area_id, area_name, year(occurrence_date), month(occurrence_date)"""))
 def q_mart_monthly_area(spark, sf_dir):
-    return marts.mart_monthly_area(fact(spark, sf_dir))
+    return mart(spark, sf_dir, "mart_crime_monthly_area")
 
 
 @register("mart_hourly_area", O.with_prefix("""
 SELECT area_id, area_name, weekday, hour_occ, count(*) AS crime_count
 FROM fact GROUP BY area_id, area_name, weekday, hour_occ"""))
 def q_mart_hourly_area(spark, sf_dir):
-    return marts.mart_hourly_area(fact(spark, sf_dir))
+    return mart(spark, sf_dir, "mart_crime_hourly_area")
 
 
 # === data quality ==============================================================
@@ -222,7 +247,8 @@ def q_fact_span(spark, sf_dir):
 
 
 @register("daily_counts", O.with_prefix("""
-SELECT occurrence_date, count(*) AS crime_count FROM fact GROUP BY occurrence_date"""))
+SELECT occurrence_date, count(*) AS crime_count FROM fact GROUP BY occurrence_date
+ORDER BY occurrence_date NULLS FIRST"""))
 def q_daily_counts(spark, sf_dir):
     return explore.daily_counts(fact(spark, sf_dir))
 
@@ -246,8 +272,10 @@ def q_hour_bucket_dist(spark, sf_dir):
 SELECT hour_occ,
   count(*) FILTER (WHERE crime_category = 'Non-Violent') AS "Non-Violent",
   count(*) FILTER (WHERE crime_category = 'Other') AS "Other",
-  count(*) FILTER (WHERE crime_category = 'Violent') AS "Violent"
-FROM fact GROUP BY hour_occ"""))
+  count(*) FILTER (WHERE crime_category = 'Violent') AS "Violent",
+  count(*) FILTER (WHERE crime_category IS NULL OR crime_category NOT IN ('Non-Violent', 'Other', 'Violent'))
+    AS other_values
+FROM fact GROUP BY hour_occ ORDER BY hour_occ"""))
 def q_hourly_category_pivot(spark, sf_dir):
     return explore.hourly_category_pivot(fact(spark, sf_dir))
 
@@ -453,6 +481,33 @@ def q_top_anomalies(spark, sf_dir):
     return _zcols(anomaly.top_anomalies(fact(spark, sf_dir)))
 
 
+_ZSCORE_AREA = """
+daily AS (
+ SELECT area_id, occurrence_date, count(*) AS crime_count FROM fact
+ WHERE occurrence_date IS NOT NULL GROUP BY area_id, occurrence_date
+),
+rolled AS (
+ SELECT *, avg(crime_count) OVER w AS rolling_mean, stddev_samp(crime_count) OVER w AS rolling_std,
+  count(crime_count) OVER w AS n
+ FROM daily WINDOW w AS (PARTITION BY area_id ORDER BY occurrence_date
+                         ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)
+),
+anoms AS (
+ SELECT *, strftime(occurrence_date, '%a') AS weekday, CAST(dayofmonth(occurrence_date) AS INTEGER) AS day_of_month,
+  CASE WHEN rolling_std > 0 THEN (crime_count - rolling_mean) / rolling_std END AS z_score
+ FROM rolled WHERE n = 7 AND CASE WHEN rolling_std > 0
+   THEN abs((crime_count - rolling_mean) / rolling_std) >= 3 ELSE crime_count <> rolling_mean END
+)"""
+
+
+@register("top_anomalies_by_area", O.with_prefix(f"""
+SELECT area_id, {_Z_COLS}, weekday, day_of_month FROM anoms
+ORDER BY coalesce(abs(z_score), 'infinity'::DOUBLE) DESC, occurrence_date ASC, area_id ASC NULLS LAST LIMIT 30""",
+    _ZSCORE_AREA))
+def q_top_anomalies_by_area(spark, sf_dir):
+    return _zcols(anomaly.top_anomalies(fact(spark, sf_dir), partition_cols=["area_id"]))
+
+
 @register("anomaly_by_weekday", O.with_prefix("""
 SELECT s.weekday, coalesce(c.n, 0) AS anomaly_days
 FROM (SELECT unnest(['Mon','Tue','Wed','Thu','Fri','Sat','Sun']) AS weekday) s
@@ -632,6 +687,8 @@ def q_weekday_hour(spark, sf_dir):
     "SELECT weekday, " + ", ".join(
         f"CAST(coalesce(sum(incidents) FILTER (WHERE hour_occ = {h}), 0) AS BIGINT) AS h{h:02d}"
         for h in range(24))
+    + ", CAST(coalesce(sum(incidents) FILTER (WHERE hour_occ IS NULL OR hour_occ NOT BETWEEN 0 AND 23), 0)"
+      " AS BIGINT) AS h_other"
     + f" FROM ({_weekday_hour_sql(ALL)}) t GROUP BY weekday"))
 def q_weekday_hour_matrix(spark, sf_dir):
     return metrics.weekday_hour_matrix(fact(spark, sf_dir), ALL)
@@ -738,11 +795,11 @@ def _geo_sql() -> str:
                 + ", ".join([pt("x0", "y0"), pt("x1", "y0"), pt("x1", "y1"), pt("x0", "y1"),
                              pt("x0", "y0")])
                 + "), ']]}')")
-    prec_text = (f"CASE WHEN k = {geojson.NULL_PREC_AREA} THEN NULL "
+    prec_text = (f"CASE WHEN k = {adapter.NULL_PREC_AREA} THEN NULL "
                  "WHEN k % 4 = 1 THEN concat(CAST(k AS VARCHAR), '.0') "
-                 "WHEN k % 4 = 2 THEN lpad(CAST(k AS VARCHAR), 2, '0') "
-                 "ELSE CAST(k AS VARCHAR) END")
-    no_label = f"(k = {geojson.NO_LABEL_AREA} OR nm IS NULL)"
+                 f"WHEN k % 4 = 2 THEN {O._pad('CAST(k AS VARCHAR)', 2)} "
+                 "ELSE coalesce(CAST(k AS VARCHAR), raw) END")
+    no_label = f"(coalesce(k = {adapter.NO_LABEL_AREA}, false) OR nm IS NULL)"
     aprec = (f"CASE WHEN {no_label} THEN NULL WHEN k % 3 = 0 THEN '' "
              "WHEN k % 3 = 1 THEN concat(' ', nm, ' ') END")
     name = f"CASE WHEN {no_label} THEN NULL ELSE concat(nm, ' DIVISION') END"
@@ -751,20 +808,19 @@ def _geo_sql() -> str:
     area_name = f"trim(coalesce(nullif({aprec}, ''), nullif({name}, ''), ''))"
     return f"""
 dim_boxes AS (
- SELECT try_cast(area_id AS INTEGER) AS k, min(lat) AS y0, max(lat) AS y1,
+ SELECT area_id AS raw, try_cast(area_id AS INTEGER) AS k, min(lat) AS y0, max(lat) AS y1,
   min(lon) AS x0, max(lon) AS x1, max(area_name) AS nm
  FROM fact WHERE lat IS NOT NULL AND lon IS NOT NULL AND area_id IS NOT NULL
  GROUP BY area_id
 ),
 dim_area_geo AS (
  SELECT {area_id} AS area_id, {area_name} AS area_name, {geometry} AS geojson
- FROM dim_boxes WHERE k IS NOT NULL AND k <> {geojson.NO_POLYGON_AREA}
+ FROM dim_boxes
 )"""
 
 
 def _dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feats = geojson.read_area_features(spark, area_files(spark, sf_dir), multi_line=False)
-    return geojson.dim_area_geo(feats)
+    return _read(spark, sf_dir, "gold", DIM_AREA, schemas.DIM_AREA_GEO)
 
 
 @register("dim_area_geo", O.with_prefix("SELECT * FROM dim_area_geo", _geo_sql()))

@@ -19,6 +19,11 @@ def quote(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def _pad(expr: str, n: int) -> str:
+    """Zero-padded to n characters, longer text kept whole."""
+    return f"CASE WHEN length({expr}) >= {n} THEN {expr} ELSE lpad({expr}, {n}, '0') END"
+
+
 def _norm(c: str) -> str:
     return f"regexp_replace(trim({c}), '\\s+', ' ', 'g')"
 
@@ -35,11 +40,11 @@ bronze AS (
     (CASE WHEN p_size % 5 = 0 AND l_orderkey % 2 = 0 THEN l_orderkey % 6
           ELSE (l_partkey * 37 + l_linenumber * 11) % 25 END) * 100
     + (l_suppkey * 7 + l_orderkey) % 60 AS VARCHAR), 4, '0') END AS time_occ,
-  lpad(cast(n_nationkey AS VARCHAR), 2, '0') AS area,
+  {_pad('cast(n_nationkey AS VARCHAR)', 2)} AS area,
   CASE WHEN n_nationkey = 24 THEN NULL ELSE concat('  ', replace(n_name, '_', '   '), ' ') END AS area_name,
   lpad(cast(l_suppkey % 100 AS VARCHAR), 4, '0') AS rpt_dist_no,
   CASE l_returnflag WHEN 'A' THEN '1' WHEN 'N' THEN '2' ELSE '3' END AS part_1_2,
-  split_part('{CODE_BY_SIZE}', ',', p_size) AS crm_cd,
+  split_part('{",".join(map(str, CODE_BY_SIZE))}', ',', p_size) AS crm_cd,
   CASE WHEN l_partkey % 301 = 0 THEN NULL
        ELSE concat(p_type, '  TYPE ', cast(p_size AS VARCHAR),
                    CASE WHEN l_partkey % 97 = 0 THEN ' (RARE)' ELSE '' END) END AS crm_cd_desc,

@@ -6,25 +6,25 @@ the raw landing files) and lets dashboards read a year-partitioned fact whose
 date filters prune partitions.
 
 ``layers(spark, sf_dir)`` is the query catalogue's entry: for one input folder
-it writes bronze (the ingest step), the de-duplicated gold fact and the daily
-mart once per application, under the shared folder named by
-``spark.checkpoint.dir``.
+it writes bronze (the ingest step), the de-duplicated gold fact and the marts under
+the shared folder named by ``spark.checkpoint.dir``, and again whenever the input
+files have changed.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import clean, marts, model
+from ..operators import clean, marts, model, quality
 from ..session import app_id, shared_dir
-from ..sources import adapter, geojson, landing, schemas
+from ..sources import adapter, files, geojson, landing, schemas
 
 FACT_PARTITIONS = ["year"]
+DIM_AREA = "dim_area_geo"
 
 
 @dataclass(frozen=True)
@@ -34,6 +34,9 @@ class Layers:
     def fact(self, spark: SparkSession) -> DataFrame:
         return landing.read_layer(spark, self.root, "gold", "fact_crime_incidents", schemas.GOLD)
 
+    def dim_area_geo(self, spark: SparkSession) -> DataFrame:
+        return landing.read_layer(spark, self.root, "gold", DIM_AREA, schemas.DIM_AREA_GEO)
+
     def mart_daily_area(self, spark: SparkSession) -> DataFrame:
         return landing.read_layer(spark, self.root, "gold", "mart_crime_daily_area")
 
@@ -73,84 +76,112 @@ def write_fact(fact: DataFrame, root: str) -> str:
                                partition_by=FACT_PARTITIONS, sort_within=["occurrence_date"])
 
 
-def refresh(spark: SparkSession, bronze: DataFrame, root: str,
-            write_bronze: bool = True) -> Layers:
-    """The full batch: every layer and all five marts are written under ``root``."""
+class CheckFailed(RuntimeError):
+    """The written fact breaks a rule of the refresh."""
+
+
+def check_fact(fact: DataFrame) -> dict[str, int]:
+    """The refresh's own quality checks: ids are unique; null and coordinate counts are
+    reported. One pass for the counts, one for the ids."""
+    counts = {**quality.gold_counts(fact).first().asDict(),
+              **{f"null_{k}": v for k, v in quality.null_profile(fact).first().asDict().items()},
+              **quality.geo_coverage(fact).first().asDict()}
+    ids = counts["distinct_dr_no"] + (counts["null_dr_no"] > 0)
+    if counts["rows"] != ids:
+        raise CheckFailed(f"{counts['rows']} rows hold {ids} ids")
+    return counts
+
+
+def write_marts(fact: DataFrame, root: str) -> None:
+    for name, build in marts.MARTS.items():
+        landing.write_layer(build(fact), root, "gold", name)
+
+
+def write_dim_area(spark: SparkSession, areas: str | list[str], root: str, multi_line: bool = True) -> None:
+    """The area dimension from GeoJSON files."""
+    feats = geojson.read_area_features(spark, areas, multi_line)
+    landing.write_layer(geojson.dim_area_geo(feats), root, "gold", DIM_AREA)
+
+
+def refresh(spark: SparkSession, bronze: DataFrame, root: str, write_bronze: bool = True,
+            areas: str | list[str] | None = None, checks: bool = True) -> Layers:
+    """The full batch: every layer, all five marts and, given polygon files, the area
+    dimension are written under ``root``; the fact is checked before the marts are built."""
     out = Layers(root)
     if write_bronze:
-        landing.write_layer(bronze, root, "bronze", "crime")
+        landing.write_layer(bronze, root, "bronze", "crime", evolve=True)
         bronze = out.bronze(spark)
     landing.write_layer(clean.silver(bronze), root, "silver", "crime")
     write_fact(model.gold(out.silver(spark)), root)
     fact = out.fact(spark)
-    for name, build in marts.MARTS.items():
-        landing.write_layer(build(fact), root, "gold", name)
+    if checks:
+        check_fact(fact)
+    write_marts(fact, root)
+    if areas is not None:
+        write_dim_area(spark, areas, root)
     return out
 
 
-_BUILT: dict[tuple[str, str], Layers] = {}
-_EXTRAS: set[tuple[str, str, str]] = set()
+# (application, input folder) -> (state of the input files, layers)
+_BUILT: dict[tuple[str, str], tuple[str, Layers]] = {}
 _LOCK = threading.Lock()
 
 
-def _tag(sf_dir: str) -> str:
-    base = os.path.basename(sf_dir.rstrip("/")) or "data"
-    return f"{base}-{hashlib.sha1(sf_dir.encode()).hexdigest()[:8]}"
-
-
-def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    return app_id(spark), os.path.abspath(sf_dir)
+def _source_state(spark: SparkSession, sf_dir: str) -> str:
+    return files.state(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in adapter.TABLES])
 
 
 def layers_root(spark: SparkSession, sf_dir: str) -> str:
-    app, path = _key(spark, sf_dir)
-    return f"{shared_dir(spark)}/blotter-layers/{app}/{_tag(path)}"
+    tag = hashlib.sha256(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    return f"{shared_dir(spark)}/blotter-layers/{app_id(spark)}/{tag}"
 
 
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
-    """Fact + daily mart for the star-schema folder ``sf_dir`` (built once per app)."""
-    key = _key(spark, sf_dir)
+    """The layers of the star-schema folder ``sf_dir``, built when first asked for and
+    again after the folder's files have changed."""
+    key, state = (app_id(spark), sf_dir.rstrip("/")), _source_state(spark, sf_dir)
     with _LOCK:
-        if key not in _BUILT:
-            _BUILT[key] = build_layers(spark, sf_dir, layers_root(spark, sf_dir))
-        return _BUILT[key]
+        if _BUILT.get(key, ("",))[0] != state:
+            _BUILT[key] = state, build_layers(spark, sf_dir, layers_root(spark, sf_dir))
+        return _BUILT[key][1]
 
 
 def remember(spark: SparkSession, sf_dir: str, out: Layers) -> None:
     """Record layers already built for ``sf_dir`` (e.g. by a timed build)."""
     with _LOCK:
-        _BUILT[_key(spark, sf_dir)] = out
+        _BUILT[(app_id(spark), sf_dir.rstrip("/"))] = _source_state(spark, sf_dir), out
 
 
-def build_layers(spark: SparkSession, sf_dir: str, root: str) -> Layers:
-    """Write bronze (derived from the star schema), the gold fact and the daily mart."""
+def build_core(spark: SparkSession, sf_dir: str, root: str) -> Layers:
+    """Bronze, the gold fact and the daily mart: the shortest way to a dashboard."""
     out = Layers(root)
     landing.write_layer(adapter.bronze_from_star(spark, sf_dir), root, "bronze", "crime")
     write_fact(model.gold(clean.silver(out.bronze(spark))), root)
-    landing.write_layer(marts.mart_daily_area(out.fact(spark)), root, "gold",
-                        "mart_crime_daily_area")
+    landing.write_layer(marts.mart_daily_area(out.fact(spark)), root, "gold", "mart_crime_daily_area")
     return out
 
 
-def landing_files(spark: SparkSession, sf_dir: str) -> str:
-    """Raw JSON records derived from ``sf_dir`` (written once per app)."""
-    out = layers(spark, sf_dir)
-    key = (*_key(spark, sf_dir), "landing")
-    with _LOCK:
-        if key not in _EXTRAS:
-            landing.write_landing(out.bronze(spark), out.landing_dir)
-            _EXTRAS.add(key)
+def build_layers(spark: SparkSession, sf_dir: str, root: str) -> Layers:
+    """The whole batch for one input folder: raw landing files and polygon files derived
+    from the star schema, then every layer and mart."""
+    out = Layers(root)
+    landing.write_layer(adapter.bronze_from_star(spark, sf_dir), root, "bronze", "crime")
+    refresh(spark, out.bronze(spark), root, write_bronze=False)
+    landing_files(spark, out)
+    area_files(spark, out)
+    write_dim_area(spark, out.areas_dir, root, multi_line=False)
+    return out
+
+
+def landing_files(spark: SparkSession, out: Layers) -> str:
+    """Raw JSON page files derived from the bronze layer."""
+    adapter.landing_lines(out.bronze(spark)).write.mode("overwrite").text(out.landing_dir)
     return out.landing_dir
 
 
-def area_files(spark: SparkSession, sf_dir: str) -> str:
-    """GeoJSON collections (one per line) derived from ``sf_dir`` (written once per app)."""
-    out = layers(spark, sf_dir)
-    key = (*_key(spark, sf_dir), "areas")
-    with _LOCK:
-        if key not in _EXTRAS:
-            geojson.write_area_collections(out.fact(spark), out.areas_dir)
-            _EXTRAS.add(key)
+def area_files(spark: SparkSession, out: Layers) -> str:
+    """GeoJSON collections (one per line) derived from the fact."""
+    adapter.area_collections(out.fact(spark)).write.mode("overwrite").text(out.areas_dir)
     return out.areas_dir
 
 
@@ -161,12 +192,13 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(description="bronze -> silver -> gold -> marts refresh")
     ap.add_argument("--landing", required=True, help="folder of raw JSON record files")
     ap.add_argument("--root", required=True, help="lake root (shared storage)")
+    ap.add_argument("--areas", default=None, help="folder of GeoJSON polygon files")
     ap.add_argument("--year-from", type=int, default=None, help="source-side lower bound")
     ap.add_argument("--run-ts", default=None, help="lineage timestamp (default: now)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("blotter-refresh").getOrCreate()
     bronze = landing.ingest(spark, args.landing, year_from=args.year_from, run_ts=args.run_ts)
-    refresh(spark, bronze, args.root)
+    refresh(spark, bronze, args.root, areas=args.areas)
     return 0
 
 

@@ -9,12 +9,12 @@ Every joined line item becomes one record: the modulo rules below only derive
 field values (which record gets a null date, a blank descent, ...); no row is
 filtered out.
 
+The area polygons and the raw landing files that the queries read are derived here too.
+
 Scale notes: the join order is fact-first and every join is left to
 Catalyst/AQE, which broadcasts a side only when its size (statistics, then the
 measured runtime size) is under the threshold — ``nation``, 25 rows, always is —
-and otherwise sort-merges on the key, splitting hot keys. A line-item scan with fewer partitions than
-cores (one small file) is first spread round-robin (``spread``); large inputs
-are left as they are.
+and otherwise sort-merges on the key, splitting hot keys.
 """
 
 from __future__ import annotations
@@ -27,9 +27,10 @@ TABLES = ["lineitem", "orders", "supplier", "nation", "part"]
 
 # Crime code assigned to each part size 1..50 (position = size).
 CODE_BY_SIZE = (
-    "626,236,901,812,121,122,815,624,230,210,110,510,520,330,310,440,442,420,480,740,"
-    "354,662,649,653,951,347,661,940,888,886,933,437,438,439,949,353,432,926,845,904,"
-    "942,944,948,924,761,756,931,999,998,997"
+    626, 236, 901, 812, 121, 122, 815, 624, 230, 210, 110, 510, 520, 330, 310,
+    440, 442, 420, 480, 740, 354, 662, 649, 653, 951, 347, 661, 940, 888, 886,
+    933, 437, 438, 439, 949, 353, 432, 926, 845, 904, 942, 944, 948, 924, 761,
+    756, 931, 999, 998, 997,
 )
 
 
@@ -37,36 +38,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores only when its scan yields fewer
-    partitions than that (e.g. one small single-row-group file).
-
-    Large inputs already split into many file partitions and are returned
-    unchanged, so no shuffle is added at scale. Round-robin (not a key hash)
-    stays balanced even if one key holds a third of the rows; Spark sorts each
-    input partition first, so a retried task reproduces the same split.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: leave the plan as is
-        return df
-    return df if parts >= cores else df.repartition(cores)
-
-
 def _s(c: Column) -> Column:
     return c.cast("string")
 
 
 def _lpad(c: Column, n: int) -> Column:
-    return F.lpad(_s(c), n, "0")
+    """Zero-padded to ``n`` characters; longer text is kept whole."""
+    return F.lpad(_s(c), F.greatest(F.lit(n), F.length(_s(c))), "0")
 
 
 def bronze_from_star(spark: SparkSession, sf_dir: str,
                      ingest_date: str = "2024-01-01") -> DataFrame:
     """Bronze-shaped rows (all text + lineage) derived from the star schema."""
-    li = spread(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"))
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -101,7 +86,7 @@ def bronze_from_star(spark: SparkSession, sf_dir: str,
         F.when(F.col("l_returnflag") == "A", F.lit("1"))
          .when(F.col("l_returnflag") == "N", F.lit("2"))
          .otherwise(F.lit("3")).alias("part_1_2"),
-        F.split_part(F.lit(CODE_BY_SIZE), F.lit(","), size).alias("crm_cd"),
+        F.get(F.array(*[F.lit(str(c)) for c in CODE_BY_SIZE]), size - 1).alias("crm_cd"),
         F.when(pk % 301 == 0, F.lit(None))
          .otherwise(F.concat(F.col("p_type"), F.lit("  TYPE "), _s(size),
                              F.when(pk % 97 == 0, F.lit(" (RARE)")).otherwise(F.lit(""))))
@@ -126,4 +111,73 @@ def bronze_from_star(spark: SparkSession, sf_dir: str,
         F.date_add(F.lit("2000-01-01").cast("date"), pk.cast("int"))
          .cast("timestamp").alias("processing_datetime"),
         F.lit("star-schema adapter").alias("data_source"),
+        F.lit(None).cast("map<string,string>").alias("extra"),
     )
+
+
+# --- raw landing files ------------------------------------------------------------
+def landing_lines(bronze: DataFrame) -> DataFrame:
+    """Raw records as page files hold them: lines of JSON arrays. Some records carry a key
+    that is not declared, and some lines are cut off (a record of its own, lost)."""
+    raw = bronze.drop("ingest_date", "processing_datetime", "data_source", "extra")
+    more = F.when(F.col("dr_no").endswith("00-1"), F.lit("cross street")).alias("location_2")
+    text = F.to_json(F.struct(*raw.columns, more))
+    cut = F.when(F.col("dr_no").endswith("00-2"), F.substring(text, 1, 40))
+    return raw.select(F.explode(F.filter(F.array(
+        F.concat(F.lit("["), text, F.lit(",")), cut, F.lit("]")), lambda x: x.isNotNull())).alias("value"))
+
+
+# --- area polygons ----------------------------------------------------------------
+# Area keys with a special feature in the derived collections.
+NULL_PREC_AREA = 23
+NO_LABEL_AREA = 21
+
+
+def _jstr(c) -> Column:
+    return F.concat(F.lit('"'), c, F.lit('"'))
+
+
+def area_collections(fact: DataFrame) -> DataFrame:
+    """GeoJSON FeatureCollection texts (column ``value``), one for each area of the fact.
+
+    An area's polygon is the bounding box of its incidents' valid coordinates (one
+    aggregation, partial per task). The feature properties follow rules on the area key
+    so every branch of the key normaliser is hit: ``prec`` as ``8``, ``5.0``, ``"06"``,
+    ``"7"`` or null, other keys as they are; ``aprec`` empty (falls back to ``name``),
+    padded, or missing; one area without labels.
+    """
+    k = F.col("area_id").try_cast("int")
+    boxes = (fact.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()
+                        & F.col("area_id").isNotNull())
+                 .groupBy("area_id")
+                 .agg(F.min("lat").alias("y0"), F.max("lat").alias("y1"),
+                      F.min("lon").alias("x0"), F.max("lon").alias("x1"),
+                      F.max("area_name").alias("nm")))
+
+    def pt(x, y):
+        return F.format_string("[%.4f,%.4f]", F.col(x), F.col(y))
+
+    geometry = F.concat(F.lit('{"type":"Polygon","coordinates":[['),
+                        F.concat_ws(",", pt("x0", "y0"), pt("x1", "y0"), pt("x1", "y1"),
+                                    pt("x0", "y1"), pt("x0", "y0")),
+                        F.lit("]]}"))
+    ks = k.cast("string")
+    prec = (F.when(k.isNull(), _jstr("area_id"))
+             .when(k == NULL_PREC_AREA, F.lit("null"))
+             .when(k % 4 == 0, ks)
+             .when(k % 4 == 1, F.concat(ks, F.lit(".0")))
+             .when(k % 4 == 2, _jstr(_lpad(k, 2)))
+             .otherwise(_jstr(ks)))
+    no_label = F.coalesce(k == NO_LABEL_AREA, F.lit(False)) | F.col("nm").isNull()
+    aprec = (F.when(no_label, F.lit(None))
+              .when(k % 3 == 0, F.lit('""'))
+              .when(k % 3 == 1, _jstr(F.concat(F.lit(" "), F.col("nm"), F.lit(" "))))
+              .otherwise(F.lit(None)))
+    name = F.when(no_label, F.lit(None)).otherwise(_jstr(F.concat(F.col("nm"), F.lit(" DIVISION"))))
+    props = F.concat_ws(",", F.concat(F.lit('"prec":'), prec), F.concat(F.lit('"aprec":'), aprec),
+                        F.concat(F.lit('"name":'), name),
+                        F.concat(F.lit('"bureau":'), _jstr(F.concat(F.lit("BUREAU "), (k % 5).cast("string")))))
+    feature = F.concat(F.lit('{"type":"Feature","geometry":'), geometry,
+                       F.lit(',"properties":{'), props, F.lit("}}"))
+    return boxes.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), feature, F.lit("]}"))
+                        .alias("value"))

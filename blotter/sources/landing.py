@@ -1,32 +1,64 @@
 """Landing-zone reader and layer writers (bronze/silver/gold as Parquet).
 
-* ``read_landing``  – raw JSON record files (one record per line; a folder of
-  page files is read in parallel) with the declared all-text schema. Keys
-  missing from a record load as null, extra keys are ignored.
+* ``read_landing``  – raw JSON record files: one record per line, or page files that hold
+  an array (on one line, or with a record on each line). Every key survives: the declared
+  ones as text columns, all others in the map ``extra``. A line that is no record becomes
+  one row with its text in ``corrupt_record``; ``profile`` counts such rows.
 * ``since_year``    – the source-side lower bound on ``date_occ`` as an ISO text
   compare; it is a plain filter on the scan and drops null dates.
 * ``with_lineage``  – ``ingest_date`` / ``processing_datetime`` / ``data_source``;
   the run timestamp is an argument so re-runs are repeatable.
-* ``write_layer`` / ``read_layer`` – full overwrite of a layer table under a
-  root folder (``<root>/<layer>/<table>``), optionally partitioned.
+* ``write_layer`` / ``read_layer`` – full overwrite of a layer table under a root folder.
+  Every write makes a new version (``<root>/<layer>/<table>/<version>``); a version counts
+  once its job has committed (``_SUCCESS``), so readers see the last whole table while a
+  new one is written, and a failed job changes nothing.
 """
 
 from __future__ import annotations
 
-import threading
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import app_id
-from . import schemas
+from . import files, schemas
+
+#: versions kept of a layer table: the current one and the one a reader may still hold
+KEPT_VERSIONS = 2
+
+
+def parse_records(lines: DataFrame, schema: T.StructType = schemas.BRONZE_RAW) -> DataFrame:
+    """Lines (column ``value``) -> declared columns, ``extra``, ``corrupt_record``.
+
+    A line may be a record, an array of records, or one line of an array with a record on
+    each line: an outer bracket or a comma at the end is taken off first.
+    """
+    bare = F.regexp_replace(F.regexp_replace(F.col("value"), r"^\s*\[?", ""), r"[\s,]*\]?[\s,]*$", "")
+    parsed = F.from_json(F.concat(F.lit("["), F.col("bare"), F.lit("]")), "array<map<string,string>>")
+    # a record holds at least one key; anything else on a line is corrupt
+    ok = F.col("parsed").isNotNull() & F.forall("parsed", lambda m: F.coalesce(F.size(m), F.lit(0)) > 0)
+    kept = F.when(ok, F.col("parsed")).otherwise(F.array(F.lit(None).cast("map<string,string>")))
+    rows = (lines.select("value", bare.alias("bare")).where("bare <> ''")
+            .withColumn("parsed", parsed).select("value", F.explode(kept).alias("m")))
+    declared = schema.fieldNames()
+    extra = F.map_filter("m", lambda k, _: ~k.isin(*declared))
+    return rows.select(
+        *[F.col("m")[c].alias(c) for c in declared],
+        F.when(F.size(extra) > 0, extra).alias("extra"),
+        F.when(F.col("m").isNull(), F.col("value")).alias("corrupt_record"))
 
 
 def read_landing(spark: SparkSession, path: str | list[str],
                  schema: T.StructType = schemas.BRONZE_RAW) -> DataFrame:
-    paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(paths)
+    return parse_records(spark.read.text([path] if isinstance(path, str) else list(path)), schema)
+
+
+def profile(raw: DataFrame) -> DataFrame:
+    """Counts of a landing read: records, corrupt lines, records with undeclared keys."""
+    corrupt = F.col("corrupt_record").isNotNull()
+    return raw.agg(F.count_if(~corrupt).alias("records"), F.count_if(corrupt).alias("corrupt_lines"),
+                   F.count_if(F.col("extra").isNotNull()).alias("records_with_extra"))
 
 
 def since_year(df: DataFrame, year_from: int | None, column: str = "date_occ") -> DataFrame:
@@ -47,11 +79,18 @@ def with_lineage(df: DataFrame, run_ts: Column | str | None = None,
     })
 
 
+def bronze_columns(raw: DataFrame, year_from: int | None = None,
+                   run_ts: Column | str | None = None, source: str = "landing") -> DataFrame:
+    """Parsed landing rows -> bronze: raw text columns, lineage, ``extra``. Corrupt lines
+    are no records (``profile`` counts them)."""
+    records = since_year(raw.where(F.col("corrupt_record").isNull()), year_from)
+    return with_lineage(records, run_ts, source).select(*schemas.BRONZE.fieldNames())
+
+
 def ingest(spark: SparkSession, landing: str | list[str], year_from: int | None = None,
            run_ts: Column | str | None = None, source: str = "landing") -> DataFrame:
-    """Landing JSON -> bronze DataFrame (raw text columns + lineage)."""
-    raw = since_year(read_landing(spark, landing), year_from)
-    return with_lineage(raw, run_ts, source).select(*schemas.BRONZE.fieldNames())
+    """Landing JSON -> bronze DataFrame (raw text columns + lineage + other keys)."""
+    return bronze_columns(read_landing(spark, landing), year_from, run_ts, source)
 
 
 def write_landing(df: DataFrame, path: str) -> None:
@@ -63,47 +102,60 @@ def layer_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 
 
+def versions(spark: SparkSession, table_path: str) -> list[str]:
+    """Committed versions of a table, oldest first."""
+    return [v for v in files.names(spark, table_path)
+            if v.startswith("v") and files.exists(spark, f"{table_path}/{v}/_SUCCESS")]
+
+
+def current(spark: SparkSession, root: str, layer: str, table: str) -> str:
+    """Path of the newest committed version of a layer table."""
+    path = layer_path(root, layer, table)
+    found = versions(spark, path)
+    if not found:
+        raise FileNotFoundError(f"no committed version of {path}")
+    return f"{path}/{found[-1]}"
+
+
+def evolved(df: DataFrame, before: T.StructType) -> DataFrame:
+    """Adds the columns that the table had before and ``df`` lacks, as nulls."""
+    return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in before
+                            if f.name not in df.columns])
+
+
 def write_layer(df: DataFrame, root: str, layer: str, table: str,
                 partition_by: list[str] | None = None,
-                sort_within: list[str] | None = None) -> str:
-    """Full overwrite of ``<root>/<layer>/<table>``; the schema is replaced.
+                sort_within: list[str] | None = None, evolve: bool = False) -> str:
+    """Full overwrite of ``<root>/<layer>/<table>`` as a new version; the schema is
+    replaced, or with ``evolve`` keeps every column that the table ever had.
 
-    ``sort_within`` orders rows inside each task (no shuffle) so Parquet
-    row-group statistics on that column become selective for later filters.
+    ``sort_within`` orders rows inside each task (no shuffle) so Parquet row-group
+    statistics on that column become selective for later filters. Returns the new
+    version's path; versions before the last ``KEPT_VERSIONS`` are removed.
     """
-    path = layer_path(root, layer, table)
-    _forget(path)
+    spark, path = df.sparkSession, layer_path(root, layer, table)
+    found = versions(spark, path)
+    if evolve and found:
+        df = evolved(df, spark.read.parquet(f"{path}/{found[-1]}").schema)
     if sort_within:
         df = df.sortWithinPartitions(*((partition_by or []) + sort_within))
-    w = df.write.mode("overwrite")
+    w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
-
-
-_READERS: dict[tuple[str, str, int, tuple[str, ...] | None], DataFrame] = {}
-_READERS_LOCK = threading.Lock()
-
-
-def _forget(path: str) -> None:
-    with _READERS_LOCK:
-        for k in [k for k in _READERS if k[1] == path]:  # key: (app, path, session, cols)
-            del _READERS[k]
+    new = f"{path}/v{time.time_ns():020d}"
+    w.parquet(new)
+    for old in found[:len(found) + 1 - KEPT_VERSIONS]:
+        files.remove(spark, f"{path}/{old}")
+    return new
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, table: str,
                schema: T.StructType | None = None) -> DataFrame:
-    """Read a written layer. The DataFrame (and its file listing) is reused per
-    session until ``write_layer`` rewrites that path."""
-    path = layer_path(root, layer, table)
-    key = (app_id(spark), path, id(spark),
-           tuple(schema.fieldNames()) if schema is not None else None)
-    with _READERS_LOCK:
-        if key not in _READERS:
-            r = spark.read
-            if schema is not None:
-                r = r.schema(schema)
-            df = r.parquet(path)
-            _READERS[key] = df.select(*schema.fieldNames()) if schema is not None else df
-        return _READERS[key]
+    """Read the newest committed version of a layer table."""
+    return read_version(spark, current(spark, root, layer, table), schema)
+
+
+def read_version(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())

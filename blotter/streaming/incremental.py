@@ -11,32 +11,35 @@ wins" rewrites earlier output, which an append-only file sink cannot do.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import clean
 from ..session import shared_dir
-from ..sources import landing, schemas
+from ..sources import landing
 
 
 def silver_stream(spark: SparkSession, landing_dir: str, year_from: int | None = None,
                   run_ts: Column | str | None = None,
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schemas.BRONZE_RAW)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(int(max_files_per_trigger)))
-    raw = landing.since_year(reader.json(landing_dir), year_from)
-    bronze = landing.with_lineage(raw, run_ts, source="landing").select(*schemas.BRONZE.fieldNames())
-    return clean.silver(bronze)
+    raw = landing.parse_records(reader.text(landing_dir))
+    return clean.silver(landing.bronze_columns(raw, year_from, run_ts))
 
 
 def start_silver_refresh(spark: SparkSession, landing_dir: str, out_dir: str,
                          checkpoint_dir: str | None = None, **kw) -> StreamingQuery:
     """Append silver rows for landing files not yet processed; stops when caught up.
 
-    The checkpoint defaults to a folder under the shared ``spark.checkpoint.dir``.
+    The checkpoint defaults to a folder under the shared ``spark.checkpoint.dir`` that
+    belongs to this pair of landing and output folder, so every output gets all files.
     """
-    ckpt = checkpoint_dir or f"{shared_dir(spark)}/blotter-streams/silver"
+    pair = hashlib.sha256(f"{landing_dir.rstrip('/')}\n{out_dir.rstrip('/')}".encode()).hexdigest()[:32]
+    ckpt = checkpoint_dir or f"{shared_dir(spark)}/blotter-streams/silver-{pair}"
     return (silver_stream(spark, landing_dir, **kw)
             .writeStream.format("parquet")
             .option("path", out_dir)

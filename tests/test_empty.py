@@ -5,7 +5,7 @@ import pytest
 from blotter.functions import codes
 from blotter.operators import anomaly, areas, explore, marts, metrics, quality
 from blotter.operators.filters import Filters, default_period
-from blotter.sources import geojson, schemas
+from blotter.sources import adapter, schemas
 
 F_ALL = Filters("2024-01-01", "2024-12-31")
 F_SOME = Filters("2024-01-01", "2024-12-31", violence=codes.VIOLENCE_ONLY,
@@ -48,7 +48,7 @@ OPS = {
                              metrics.dist_descent(f, F_ALL), metrics.weapon_share(f, F_ALL),
                              metrics.top_weapons(f, F_ALL), metrics.top_premises(f, F_ALL)],
     "areas": lambda f, m: [areas.area_map_geo(metrics.area_map(f, m, F_ALL),
-                                              geojson.area_collections_from_fact(f)
+                                              adapter.area_collections(f)
                                               .selectExpr("'' AS area_id", "'' AS area_name",
                                                           "value AS geojson"))],
 }

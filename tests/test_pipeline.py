@@ -29,7 +29,7 @@ def test_refresh_writes_every_layer(spark, built):
     for name, build in marts.MARTS.items():
         written = out.mart(spark, name)
         assert _same(written.select(*build(fact).columns), build(fact))
-    daily = spark.read.parquet(landing.layer_path(root, "gold", "mart_crime_daily_area"))
+    daily = spark.read.parquet(landing.current(spark, root, "gold", "mart_crime_daily_area"))
     assert daily.agg(F.sum("crime_count")).first()[0] == fact.count()
 
 
@@ -157,8 +157,8 @@ def test_fact_write_rebalances_only_with_aqe(spark, sf_small):
             root = scratch(spark, "blotter-rebal-")
             R.write_fact(gold, root)
             assert _same(R.Layers(root).fact(spark), gold.select(*schemas.GOLD_COLUMNS))
-            years = glob.glob(f"{root}/gold/fact_crime_incidents/year=*")
-            files[aqe] = len(glob.glob(f"{root}/gold/fact_crime_incidents/year=*/*.parquet")) / len(years)
+            years = glob.glob(f"{root}/gold/fact_crime_incidents/v*/year=*")
+            files[aqe] = len(glob.glob(f"{root}/gold/fact_crime_incidents/v*/year=*/*.parquet")) / len(years)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", prev)
     # AQE on: one right-sized file per year at this size; off: the hint is skipped
