@@ -847,3 +847,42 @@ LEFT JOIN dim_area_geo g ON m.k = g.area_id""",
 def q_area_map_geo_filtered(spark, sf_dir):
     m = metrics.area_map(fact(spark, sf_dir), mart(spark, sf_dir), VIOLENT_ONLY)
     return areas.area_map_geo(m, _dim(spark, sf_dir))
+
+
+# Row order of the results that have one: "-c" descending, "c" ascending (nulls last in
+# both), "^c" ascending with nulls first. ``weekday`` is in calendar order.
+ORDERS: dict[str, tuple[str, ...]] = {
+    "daily_counts": ("^occurrence_date",),
+    "hourly_counts": ("^hour_occ",),
+    "hourly_category_pivot": ("^hour_occ",),
+    "code_freq": ("-crime_count", "crime_code", "crime_description"),
+    "macro_distribution": ("-crime_count", "macro_category"),
+    "other_breakdown": ("-crime_count", "crime_code", "crime_description"),
+    "area_summary": ("-crime_count", "area_id", "area_name"),
+    "area_violent_share": ("-violent_share", "area_name"),
+    "area_night_share": ("-night_crime_share", "area_name"),
+    "area_share_top10_flagged": ("share_rank",),
+    "type_reporting_delay": ("-median_reporting_delay_days", "crime_code", "crime_description"),
+    "night_leaning": ("-crime_count", "crime_code", "crime_description"),
+    "night_fast_report": ("^median_reporting_delay_days", "crime_code", "crime_description"),
+    "night_slow_report": ("-median_reporting_delay_days", "crime_code", "crime_description"),
+    "type_stats_top10": ("-crime_count", "crime_code", "crime_description"),
+    "silver_sex_freq": ("-count", "victim_sex"),
+    "area_daily_series": ("occurrence_date",),
+    "monthly_trend": ("month_start", "crime_description"),
+    "monthly_trend_topn": ("month_start", "crime_description"),
+    "monthly_trend_smooth": ("month_start", "crime_description"),
+    "monthly_total": ("month_start",),
+    "monthly_total_smooth": ("month_start",),
+    "area_list": ("area_name", "area_id"),
+    "top_types": ("-incidents", "crime_description"),
+    "top_types_violent": ("-incidents", "crime_description"),
+    "top_types_nonviolent": ("-incidents", "crime_description"),
+    "area_top_types": ("-incidents", "crime_description"),
+    "dist_sex": ("-incidents", "victim_sex"),
+    "dist_age_group": ("-incidents", "victim_age_group"),
+    "dist_descent": ("-incidents", "victim_descent"),
+    "top_weapons": ("-incidents", "weapon_description"),
+    "top_premises": ("-incidents", "premise_description"),
+    "anomaly_by_dom": ("day_of_month",),
+}
