@@ -62,7 +62,7 @@ o AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.weight, t.w0, t.w1,
       FROM docs d JOIN t USING (skey)),
 taken AS (SELECT *, greatest(least(floor(target) - start, size), 0) AS t0,
                  greatest(least(floor(target) - (start + source_size), size), 0) AS t1,
-                 CAST(start AS DOUBLE) / target * weight AS y FROM o)
+                 CAST(start AS DOUBLE) / nullif(target, 0) * weight AS y FROM o)
 SELECT doc_id, size, source_size, target, CAST(t0 + t1 AS BIGINT) AS taken,
        CASE WHEN t0 > 0 THEN round(CASE WHEN y >= (w0 + w1) / 2 THEN 1
             WHEN y > 0 THEN 2 * y / (w0 + sqrt(w0 * w0 + 2 * (w1 - w0) * y)) ELSE 0 END, 9)
@@ -73,7 +73,7 @@ FROM taken
 
 @register("op1_mix_curriculum", OP1_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.document_mix(mixing.plan_mix(table(spark, sf_dir, "documents")))
+    return mixing.document_mix(mixing.plan_mix(table(spark, sf_dir, "documents"), carry=["doc_id"]))
 
 
 # --- 2: sharding --------------------------------------------------------------------
