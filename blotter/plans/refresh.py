@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import clean, marts, model, quality
-from ..session import app_id, shared_dir
+from ..session import SETTINGS, app_id, shared_dir
 from ..sources import adapter, files, geojson, landing, schemas
 
 FACT_PARTITIONS = ["year"]
@@ -196,7 +196,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--year-from", type=int, default=None, help="source-side lower bound")
     ap.add_argument("--run-ts", default=None, help="lineage timestamp (default: now)")
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("blotter-refresh").getOrCreate()
+    spark = SparkSession.builder.appName("blotter-refresh").config(map=SETTINGS).getOrCreate()
     bronze = landing.ingest(spark, args.landing, year_from=args.year_from, run_ts=args.run_ts)
     refresh(spark, bronze, args.root, areas=args.areas)
     return 0

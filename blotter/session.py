@@ -13,6 +13,20 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+#: Settings of every session this project starts: tests, bench and the refresh job alike.
+SETTINGS = {
+    # HotSpot never JIT-compiles methods over 8000 bytes of bytecode; with this limit Spark
+    # falls back to per-expression codegen for such stages instead of running one huge
+    # interpreted method (Spark's documented HotSpot advice).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # many distinct dashboard queries: keep their compiled classes (default 100)
+    "spark.sql.codegen.cache.maxEntries": "2000",
+    # medians keep a small map for each group: sort only above this many groups in a task
+    # (default 128), instead of sorting all rows of a few hundred types
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
+}
+
+
 def local_session(cores: int | str = "*", app: str = "blotter",
                   shuffle_partitions: int = 8, task_attempts: int = 4,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -34,14 +48,8 @@ def local_session(cores: int | str = "*", app: str = "blotter",
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BLOTTER_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # HotSpot never JIT-compiles methods over 8000 bytes of bytecode; with this
-        # limit Spark falls back to per-expression codegen for such stages instead
-        # of running one huge interpreted method (Spark's documented HotSpot advice).
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
-        # many distinct dashboard queries: keep their compiled classes (default 100)
-        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
-    for k, v in (extra or {}).items():
+    for k, v in {**SETTINGS, **(extra or {})}.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
 
