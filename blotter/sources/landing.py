@@ -34,7 +34,12 @@ def parse_records(lines: DataFrame, schema: T.StructType = schemas.BRONZE_RAW) -
     A line may be a record, an array of records, or one line of an array with a record on
     each line: an outer bracket or a comma at the end is taken off first.
     """
-    bare = F.regexp_replace(F.regexp_replace(F.col("value"), r"^\s*\[?", ""), r"[\s,]*\]?[\s,]*$", "")
+    blank = F.lit(" \t\r\n")
+    opened = F.btrim("value", blank)
+    opened = F.when(F.startswith(opened, F.lit("[")), F.substr(opened, F.lit(2))).otherwise(opened)
+    closed = F.rtrim(opened, F.lit(" \t\r\n,"))
+    bare = F.btrim(F.when(F.endswith(closed, F.lit("]")), F.left(closed, F.length(closed) - 1))
+                   .otherwise(closed), blank)
     parsed = F.from_json(F.concat(F.lit("["), F.col("bare"), F.lit("]")), "array<map<string,string>>")
     # a record holds at least one key; anything else on a line is corrupt
     ok = F.col("parsed").isNotNull() & F.forall("parsed", lambda m: F.coalesce(F.size(m), F.lit(0)) > 0)
