@@ -25,7 +25,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def saved(df: DataFrame) -> DataFrame:
     """Cut the lineage: the rows are written to the shared checkpoint folder."""
-    shared_dir(df.sparkSession)
+    sc, folder = df.sparkSession.sparkContext, shared_dir(df.sparkSession)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
