@@ -50,8 +50,11 @@ def _lpad(c: Column, n: int) -> Column:
 def bronze_from_star(spark: SparkSession, sf_dir: str,
                      ingest_date: str = "2024-01-01") -> DataFrame:
     """Bronze-shaped rows (all text + lineage) derived from the star schema."""
+    # a table may come as one file with one row group, which one task reads: deal its rows out,
+    # at any size, by a key that no group of rows shares
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"
+    ).repartition("l_orderkey", "l_linenumber")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
