@@ -179,9 +179,9 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 def identify(rows: DataFrame, names: list[str], prototypes: np.ndarray) -> DataFrame:
-    """``rows`` (doc, text) or (doc with a field text) -> (doc, lang_pred, score)."""
-    schema = T.StructType([rows.schema["doc"], T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+    """``rows`` (doc, text) or (doc with a field text) -> (doc, has_letter, lang_pred, score)."""
+    schema = T.StructType([rows.schema["doc"], T.StructField("has_letter", T.BooleanType()),
+                           T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     inner = rows.columns == ["doc"]
     at = rows.schema["doc"].dataType.names.index("text") if inner else None
 
@@ -189,22 +189,20 @@ def identify(rows: DataFrame, names: list[str], prototypes: np.ndarray) -> DataF
         for b in batches:
             doc = b.column(0)
             texts = _texts(doc.field(at) if inner else b.column(1))
+            letter = np.array([t is not None and any(map(str.isalpha, t.lower())) for t in texts], bool)
             pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            for i in range(0, len(texts), TEXTS):
+            for i in range(0, len(texts) if names else 0, TEXTS):
                 some = texts[i:i + TEXTS]
                 v = bundles(some, list(range(len(some))), len(some))
                 norm = np.linalg.norm(v, axis=1)
                 # rounded: the last bits of a product depend on a text's place in its batch
                 cos = np.round((v @ prototypes.T) / np.where(norm > 0, norm, 1)[:, None], 12)
-                if not names:
-                    continue
                 best = cos.argmax(axis=1)
-                for j in np.flatnonzero([t is not None and any(map(str.isalpha, t.lower()))
-                                         for t in some]):
+                for j in np.flatnonzero(letter[i:i + TEXTS]):
                     pred[i + j] = names[best[j]]
                     score[i + j] = min(1.0, max(0.0, cos[j, best[j]]))
-            yield pa.RecordBatch.from_arrays([doc, pa.array(pred), pa.array(score)],
-                                             names=["doc", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([doc, pa.array(letter), pa.array(pred, pa.string()), pa.array(score)],
+                                             names=["doc", "has_letter", "lang_pred", "score"])
 
     return rows.mapInArrow(run, schema)
 
@@ -218,7 +216,8 @@ def predictions(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The documents that have a language, all columns kept: texts without any letter go."""
+    """The documents with a letter in their text, all columns kept; also if no language was
+    learned, or one is labelled ``UNKNOWN``."""
     names, prototypes = train(docs)
     found = identify(docs.select(F.struct("*").alias("doc")), names, prototypes)
-    return found.where(F.col("lang_pred") != UNKNOWN).select("doc.*")
+    return found.where("has_letter").select("doc.*")

@@ -104,3 +104,12 @@ def test_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "")
     assert docs.count() == 0
+
+
+def test_no_language_is_labelled(spark):
+    docs = spark.createDataFrame([(i, f"word{i} and{i} more{i}", None, "a", 10) for i in range(12)], SCHEMA)
+    first = corpus_pipeline.STAGES[0][1](spark, docs, "")
+    assert rows(first) == rows(docs)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, "")
+    assert docs.count() > 0

@@ -70,6 +70,16 @@ def test_nothing_to_learn_from(spark):
     assert (got.lang_pred, got.score) == ("und", 0.0)
 
 
+def test_texts_with_letters_are_kept_whatever_was_learned(spark):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2)
+    texts = ["a b", None, "12 --", "", "Été"]
+    for langs in ([None] * 5, ["en"] * 5, ["und"] * 5):  # no label, held-out labels, a label of that name
+        first = 0 if langs[0] == "und" else held
+        rows = [(first, t, x, str(n)) for n, (t, x) in enumerate(zip(texts, langs))]
+        kept = langid.keep_identified(frame(spark, rows))
+        assert sorted(map(tuple, kept.collect())) == [rows[0], rows[4]]
+
+
 def test_held_out_accuracy_and_partitions(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     got = langid.predictions(docs).join(docs.select("doc_id", "lang"), "doc_id")
