@@ -20,9 +20,13 @@ holds one chunk and about ``QUERY_ROWS`` of the queries sent to its part. Copies
 vector are scored once. Scores are summed in component order in double precision, so equal
 vectors score equally wherever they stand.
 
-Defined cases: vectors that are null, empty, zero, of another length than the first valid
-one by id, or that hold null or non-finite components take no part, neither as queries nor
-as candidates; equal scores are ordered by id; a repeated id is one candidate per row, and
+Vectors of different lengths have no inner product, so each length is searched apart: the
+most frequent one and every other of more than ``chunk_rows`` rows with an index of its own,
+fitted one after another, the rest as one part each, in which every row is ranked.
+
+Defined cases: vectors that are null, empty, zero, or that hold null or non-finite
+components take no part, neither as queries nor as candidates; a vector finds only vectors
+of its own length; equal scores are ordered by id; a repeated id is one candidate per row, and
 no query finds a row of its own id; fewer candidates than asked for are all returned as
 found; an empty table gives an empty result; other columns are ignored, whatever their names.
 """
@@ -248,49 +252,59 @@ def search(table: DataFrame, is_query: Column, k: int = NEIGHBOURS, parts: int =
     spark = table.sparkSession
     result = "query_id long, rank int, vec_id long, score double"
     rows = valid(table).withColumn("h", unit_hash(F.col("vec_id")))
-    first = rows.orderBy("vec_id").select(F.size("v").alias("n")).first()
-    if first is None:
+    counts = saved(rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")))
+    most = counts.orderBy(F.desc("n"), F.desc("dim")).first()
+    if most is None:
         return spark.createDataFrame([], result)
-    dim = first["n"]
-    rows = rows.where(F.size("v") == dim)
-    fitted = rows.orderBy("h", "vec_id").limit(sample).select("v").toPandas()["v"]
-    index = Index(_matrix(fitted, dim), parts, k, target)
-    search_parts, model = index.search, index.model
+    large = {r["dim"] for r in counts.where(F.col("n") > chunk_rows).collect()}
+    indexes = {}
+    for dim in sorted(large | {most["dim"]}):
+        fitted = rows.where(F.size("v") == dim).orderBy("h", "vec_id").limit(sample).select("v").toPandas()["v"]
+        indexes[dim] = Index(_matrix(fitted, dim), parts, k, target)
 
-    def route(count: int):
+    def route(home: bool):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 if len(b):
-                    b["parts"] = list(model.ranked(_matrix(b["v"], dim), count).astype(np.int32))
+                    dims, ranked = b["v"].map(len).to_numpy(), np.empty(len(b), object)
+                    for dim in np.unique(dims).tolist():
+                        at, index = np.flatnonzero(dims == dim), indexes.get(dim)
+                        found = (index.model.ranked(_matrix(b["v"].iloc[at], dim), 1 if home else index.search)
+                                 if index else np.zeros((len(at), 1)))
+                        for i, x in zip(at, found.astype(np.int32)):
+                            ranked[i] = x
+                    b["parts"] = list(ranked)
                     yield b
         return run
 
     schema = "vec_id long, v array<double>, h long, is_query boolean, parts array<int>"
     marked = rows.withColumn("is_query", F.coalesce(is_query, F.lit(False)))
-    homes = saved(marked.mapInPandas(route(1), schema).withColumn("part", F.get("parts", F.lit(0))))
+    homes = saved(marked.mapInPandas(route(True), schema)
+                  .select("vec_id", "v", "h", "is_query", F.size("v").alias("dim"), F.get("parts", F.lit(0)).alias("part")))
     # repeated rows are one query; ``qh`` tells different vectors of one id apart
     queries = saved(homes.where("is_query").select("vec_id", "v", "h", "is_query")
-                    .mapInPandas(route(search_parts), schema)
-                    .select("vec_id", "v", F.xxhash64("v").alias("qh"), F.explode("parts").alias("part"))
-                    .dropDuplicates(["vec_id", "qh", "part"]))
-    # at most ``parts`` rows each: chunks of candidates and blocks of queries of a part
+                    .mapInPandas(route(False), schema)
+                    .select("vec_id", "v", F.size("v").alias("dim"), F.xxhash64("v").alias("qh"), F.explode("parts").alias("part"))
+                    .dropDuplicates(["vec_id", "dim", "qh", "part"]))
+    # at most ``parts`` rows a length: chunks of candidates and blocks of queries of a part
     grid = F.broadcast(
-        homes.groupBy("part").agg(F.ceil(F.count("*") / chunk_rows).cast("int").alias("chunks")).join(
-            queries.groupBy("part").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("blocks")), "part"))
+        homes.groupBy("dim", "part").agg(F.ceil(F.count("*") / chunk_rows).cast("int").alias("chunks")).join(
+            queries.groupBy("dim", "part").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("blocks")), ["dim", "part"]))
     dealt = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    c = (homes.join(grid, "part").withColumn("chunk", dealt("chunks")).withColumn("block", every("blocks"))
-         .select("part", "chunk", "block", "vec_id", "v"))
-    q = (queries.join(grid, "part").withColumn("block", dealt("blocks")).withColumn("chunk", every("chunks"))
-         .select("part", "chunk", "block", "vec_id", "qh", "v"))
+    c = (homes.join(grid, ["dim", "part"]).withColumn("chunk", dealt("chunks")).withColumn("block", every("blocks"))
+         .select("dim", "part", "chunk", "block", "vec_id", "v"))
+    q = (queries.join(grid, ["dim", "part"]).withColumn("block", dealt("blocks")).withColumn("chunk", every("chunks"))
+         .select("dim", "part", "chunk", "block", "vec_id", "qh", "v"))
 
     def rank(cs: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
         if not len(cs) or not len(qs):
             return pd.DataFrame({"query_id": [], "qh": [], "vec_id": [], "score": []})
+        dim = len(qs["v"].iloc[0])
         return best_in_chunk(qs["vec_id"].to_numpy(), qs["qh"].to_numpy(), _matrix(qs["v"], dim),
                              cs["vec_id"].to_numpy(), _matrix(cs["v"], dim), k)
 
-    keys = ["part", "chunk", "block"]
+    keys = ["dim", "part", "chunk", "block"]
     near = (c.groupBy(*keys).cogroup(q.groupBy(*keys))
             .applyInPandas(rank, "query_id long, qh long, vec_id long, score double"))
     order = Window.partitionBy("query_id", "qh").orderBy(F.desc("score"), "vec_id")

@@ -61,6 +61,14 @@ def test_edge_vectors(spark):
     assert found(spark, []) == {} and found(spark, [(1, None)]) == {} and found(spark, [(0, [1.0])]) == {}
 
 
+def test_each_length_is_searched_apart(spark):
+    rows = [(0, [1.0, 2.0, 3.0])] + [(i + 1, v) for i, v in vectors(60, 4)]  # a stray one at the smallest id
+    assert found(spark, rows, target=1.01) == brute(rows[1:], lambda q: q % 5 == 0, 20)
+    rows = vectors(60, 4) + [(100 + i, v) for i, v in vectors(40, 6)] + [(200 + i, v) for i, v in vectors(9, 3)]
+    apart = [brute(r, lambda q: q % 5 == 0, 20) for r in (rows[:60], rows[60:100], rows[100:])]
+    assert found(spark, rows, target=1.01, chunk_rows=16) == apart[0] | apart[1] | apart[2]
+
+
 def test_parts_are_balanced_and_follow_the_graph():
     rng = np.random.default_rng(2)
     centres = rng.standard_normal((8, 16)) * 3
