@@ -203,18 +203,25 @@ def best_in_chunk(qid: np.ndarray, qh: np.ndarray, q: np.ndarray, cid: np.ndarra
     """The k best candidates of each query, by (score descending, id)."""
     order = np.argsort(cid, kind="stable")
     cid, c = cid[order], np.ascontiguousarray(c[order])
-    # of the copies of one vector, the k + 1 smallest ids can matter (one may be the query's own)
     distinct, at = np.unique(c.view(np.dtype((np.void, c.dtype.itemsize * c.shape[1]))).ravel(), return_inverse=True)
     members = np.argsort(at, kind="stable")
-    starts = np.searchsorted(at[members], np.arange(len(distinct) + 1))
-    vectors = c[members[starts[:-1]]]
+    vectors = c[members[np.searchsorted(at[members], np.arange(len(distinct)))]]
+    # repeated rows of one (id, vector) are one member that counts ``times``
+    at, ids_at = at[members], cid[members]
+    new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (ids_at[1:] != ids_at[:-1])]))
+    times = np.diff(new, append=len(at))
+    at, ids_at = at[new], ids_at[new]
+    # of the copies of one vector, the k + 1 smallest ids can matter (one may be the query's own)
+    starts = np.searchsorted(at, np.arange(len(distinct) + 1))
+    single, only = np.diff(starts) == 1, ids_at[starts[:-1]]
     rows, cols = [], []
     for a in range(0, len(q), 256):
         s = q[a:a + 256] @ vectors.T
-        m = min(k + 1, s.shape[1])  # the query's own row may be one of them
-        edge = np.partition(s, s.shape[1] - m, axis=1)[:, s.shape[1] - m]
+        m = min(k, s.shape[1])
         slack = 1e-9 * (1 + np.abs(s).max(axis=1))
-        r, col = np.nonzero(s >= (edge - slack)[:, None])
+        s[single & (only == qid[a:a + 256, None])] = -np.inf  # vectors of the query's own id alone
+        edge = np.partition(s, s.shape[1] - m, axis=1)[:, s.shape[1] - m]
+        r, col = np.nonzero((s >= (edge - slack)[:, None]) & (s > -np.inf))
         rows.append(r + a)
         cols.append(col)
     rows, cols = np.concatenate(rows), np.concatenate(cols)
@@ -222,13 +229,17 @@ def best_in_chunk(qid: np.ndarray, qh: np.ndarray, q: np.ndarray, cid: np.ndarra
     sizes = np.minimum(np.diff(starts), k + 1)[cols]
     pick = np.repeat(starts[:-1][cols], sizes) + (np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes))
     rows, score = np.repeat(rows, sizes), np.repeat(score, sizes)
-    ids = cid[members[pick]]
-    keep = ids != qid[rows]
-    rows, score, ids = rows[keep], score[keep], ids[keep]
-    order = np.lexsort((ids, -score, rows))
-    rows, score, ids = rows[order], score[order], ids[order]
+    keep = ids_at[pick] != qid[rows]
+    rows, score, pick = rows[keep], score[keep], pick[keep]
+    order = np.lexsort((ids_at[pick], -score, rows))
+    rows, score, pick = rows[order], score[order], pick[order]
+    # at most k rows of a query, repeated ones each on its own
+    count = times[pick]
+    before = np.cumsum(count) - count
     first = np.searchsorted(rows, np.arange(len(q)))
-    best = np.arange(len(rows)) - first[rows] < k
+    before = before - np.concatenate([before, [0]])[first[rows]]
+    best = np.repeat(np.arange(len(rows)), np.clip(k - before, 0, count))
+    ids = ids_at[pick]
     return pd.DataFrame({"query_id": qid[rows[best]], "qh": qh[rows[best]], "vec_id": ids[best], "score": score[best]})
 
 

@@ -69,6 +69,19 @@ def test_each_length_is_searched_apart(spark):
     assert found(spark, rows, target=1.01, chunk_rows=16) == apart[0] | apart[1] | apart[2]
 
 
+def test_rows_of_a_query_s_own_id_take_no_places(spark):
+    one, two, *other = [v for _, v in vectors(40)]
+    rows = [(0, one)] * 30 + [(100 + i, one) for i in range(3)]  # one vector, repeated
+    rows += [(7, other[i]) for i in range(5)] + [(7, other[5])] * 6 + [(200 + i, v) for i, v in enumerate(other)]
+    assert found(spark, rows, every=100, k=4, target=1.01) == brute(rows, lambda q: q % 100 == 0, 4)
+    q = np.array([two])  # one id with many vectors, all nearer than the others
+    near = np.concatenate([np.array(two) * s for s in (9, 8, 7, 6, 5, 4, 3, 2)]).reshape(8, -1)
+    cid, c = np.array([5] * 8 + [1, 1, 2]), np.concatenate([near, [two, two, two]])
+    got = ann.best_in_chunk(np.array([5]), np.array([1]), q, cid, c, 3)
+    assert got["vec_id"].tolist() == [1, 1, 2] and got["score"].nunique() == 1
+    assert ann.best_in_chunk(np.array([5]), np.array([1]), q, cid[:8], near, 3).empty
+
+
 def test_parts_are_balanced_and_follow_the_graph():
     rng = np.random.default_rng(2)
     centres = rng.standard_normal((8, 16)) * 3
