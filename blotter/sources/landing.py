@@ -2,8 +2,9 @@
 
 * ``read_landing``  – raw JSON record files: one record per line, or page files that hold
   an array (on one line, or with a record on each line). Every key survives: the declared
-  ones as text columns, all others in the map ``extra``. A line that is no record becomes
-  one row with its text in ``corrupt_record``; ``profile`` counts such rows.
+  ones as text columns, all others in the map ``extra``. A line that holds
+  anything but records gives one row with its text in ``corrupt_record`` besides those of its
+  records; ``profile`` counts such rows.
 * ``since_year``    – the source-side lower bound on ``date_occ`` as an ISO text
   compare; it is a plain filter on the scan and drops null dates.
 * ``with_lineage``  – ``ingest_date`` / ``processing_datetime`` / ``data_source``;
@@ -41,9 +42,12 @@ def parse_records(lines: DataFrame, schema: T.StructType = schemas.BRONZE_RAW) -
     bare = F.btrim(F.when(F.endswith(closed, F.lit("]")), F.left(closed, F.length(closed) - 1))
                    .otherwise(closed), blank)
     parsed = F.from_json(F.concat(F.lit("["), F.col("bare"), F.lit("]")), "array<map<string,string>>")
-    # a record holds at least one key; anything else on a line is corrupt
-    ok = F.col("parsed").isNotNull() & F.forall("parsed", lambda m: F.coalesce(F.size(m), F.lit(0)) > 0)
-    kept = F.when(ok, F.col("parsed")).otherwise(F.array(F.lit(None).cast("map<string,string>")))
+    # a record holds at least one key; a line with anything else besides its records has one
+    # corrupt row more, a line that does not parse is one corrupt row
+    records = F.filter("parsed", lambda m: F.coalesce(F.size(m), F.lit(0)) > 0)
+    none = F.array(F.lit(None).cast("map<string,string>"))
+    kept = (F.when(F.col("parsed").isNull(), none)
+            .when(F.size(records) < F.size("parsed"), F.concat(records, none)).otherwise(F.col("parsed")))
     rows = (lines.select("value", bare.alias("bare")).where("bare <> ''")
             .withColumn("parsed", parsed).select("value", F.explode(kept).alias("m")))
     declared = schema.fieldNames()
@@ -86,8 +90,8 @@ def with_lineage(df: DataFrame, run_ts: Column | str | None = None,
 
 def bronze_columns(raw: DataFrame, year_from: int | None = None,
                    run_ts: Column | str | None = None, source: str = "landing") -> DataFrame:
-    """Parsed landing rows -> bronze: raw text columns, lineage, ``extra``. Corrupt lines
-    are no records (``profile`` counts them)."""
+    """Parsed landing rows -> bronze: raw text columns, lineage, ``extra``. The rows of
+    corrupt lines are no records (``profile`` counts them)."""
     records = since_year(raw.where(F.col("corrupt_record").isNull()), year_from)
     return with_lineage(records, run_ts, source).select(*schemas.BRONZE.fieldNames())
 

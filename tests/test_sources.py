@@ -29,6 +29,17 @@ def test_every_key_survives(spark):
     assert rows["1"].extra == {"premise_note": "rear", "n": "5"} and rows["2"].extra is None
 
 
+def test_records_beside_empty_elements_of_a_page(spark):
+    d = scratch(spark, "holes-")
+    page = "[" + GOOD % (1, "") + ", {}, null, " + GOOD % (2, "") + "]"
+    write(d, "page.json", page + "\n" + GOOD % (3, "") + "\n[{}, null]\n")
+    raw = landing.read_landing(spark, d)
+    p = landing.profile(raw).first()
+    assert (p.records, p.corrupt_lines) == (3, 2)
+    assert sorted(r.dr_no for r in landing.ingest(spark, d).collect()) == ["1", "2", "3"]
+    assert {r.corrupt_record for r in raw.where("corrupt_record is not null").collect()} == {page, "[{}, null]"}
+
+
 def test_array_pages_and_corrupt_lines(spark):
     d = scratch(spark, "pages-")
     write(d, "lines.json", "[\n" + GOOD % (1, "") + ",\n" + GOOD % (2, "") + "\n]\n")
