@@ -24,8 +24,11 @@ _SAFE = re.compile(r"(?<=\S) (?=\S)")
 MEMORY = 400_000
 #: parts longer than this are not remembered
 LONGEST = 64
-#: stands for no part
-EMPTY = "\0 "
+#: stands for no part; no text can hold it
+EMPTY = object()
+#: white space as the vocabulary files' patterns have it (U+001C..U+001F are none)
+WHITE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                          0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 #: characters of the texts that are cut at once
 CHARS = 3_000_000
 

@@ -161,7 +161,7 @@ class PrefixCounter:
             counts.extend([base + c for c in own[1:]])
             if _CONTRACTION.fullmatch(piece):
                 counts[at + 2] = base + self.word(w[0])[-1] + self.word(w[1])[-1]
-            if piece[0].isspace():
+            if piece[0] in byte_bpe.WHITE:
                 runs.append((start, at, piece, w))
             at += len(w)
         # a prefix that ends in white space has the whole run as its last word
@@ -169,10 +169,10 @@ class PrefixCounter:
         while i < len(runs):
             start, first, piece, w = runs[i]
             run, spaces, j = w, piece, i
-            while spaces.isspace() and j + 1 < len(runs) and runs[j + 1][0] == start + len(spaces):
+            while not spaces.strip(byte_bpe.WHITE) and j + 1 < len(runs) and runs[j + 1][0] == start + len(spaces):
                 j += 1
                 run, spaces = run + runs[j][3], spaces + runs[j][2]
-            k = len(spaces) - len(spaces.lstrip())
+            k = len(spaces) - len(spaces.lstrip(byte_bpe.WHITE))
             white = run[:len(spaces[:k].encode())]
             if len(white) > 1:
                 base = counts[first]

@@ -32,7 +32,8 @@ def check(text):
 
 ODD = ["", " ", "  ", "   a", "a  b", "a \n b", "a\n\n\nb  ", "a\t", "we're they've I'll don't 's", "'re", "x'r", "''re", " 're",
        "<|endoftext|>", "a!<|endoftext|>!b", " <|endoftext|> <|endoftext|><|endoftext|>", "ab  <|endoftext|>", "\n<|endoftext|>\n",
-       "été 漢字🙂 का", "x　 y", "!!! ... ???", "12 345", "internationalization counterintuitively", "\r\n\r\n a", "a \xa0 b"]
+       "été 漢字🙂 का", "x　 y", "!!! ... ???", "12 345", "internationalization counterintuitively", "\r\n\r\n a", "a \xa0 b",
+       "a \0 ", "\0 ", "\0", "The \x85\x1c ", "The \xa0\x1c ", "a \x1d\x1e b \x1f", " \x1c\n"]
 
 
 @pytest.mark.parametrize("text", ODD)
@@ -46,6 +47,12 @@ def test_any_text(text):
     check(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("a \n\0\x1c\x1d\x1e\x1f\x85\xa0\u2028!'"), max_size=14))
+def test_control_characters(text):
+    check(text)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.sampled_from(["<|endoftext|>", " ", "  ", "'ll", "a", "!", "\n", "the", "<|", "é"]), max_size=9))
 def test_special_strings(pieces):

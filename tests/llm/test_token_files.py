@@ -29,7 +29,8 @@ def encoded(texts):
 
 ODD = ["", " ", "  ", "x,\ny. z", "a1, b2.. (c) d;e x×. É. 漢, a|b c|, x<|endoftext|>, y", "\na", "a\n", "a", " a", "a ", "a  b", "a   b", "\n", "a\nb", "a \nb", "a\n b", "\ta b\t", "x\x0b y", "x \x1cy",
        "a　 b", "a  b", "don't 'tis we're 's 've", "<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b",
-       " <|endoftext|>  x", "été 漢字 का 🙂 x", "՘ ࢏ a", "!!! ... ,a", "1 22 a1", "x" * 200 + " y", "\x00 a"]
+       " <|endoftext|>  x", "été 漢字 का 🙂 x", "՘ ࢏ a", "!!! ... ,a", "1 22 a1", "x" * 200 + " y", "\x00 a",
+       "a \0 ", "\0 ", "\0", "The \x85\x1c ", "a \x1d\x1e b \x1f"]
 
 
 def test_odd_texts():
@@ -37,7 +38,7 @@ def test_odd_texts():
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.text(st.sampled_from("ab '\n\t s1,.!é字　\xa0\x1c<|") | st.characters(exclude_categories=["Cs"]), max_size=30), max_size=5))
+@given(st.lists(st.text(st.sampled_from("ab '\n\t s1,.!é字　\0\x1c\x1d\x1e\x1f\x85\xa0<|") | st.characters(exclude_categories=["Cs"]), max_size=30), max_size=5))
 def test_any_text(texts):
     assert encoded(texts) == [ids(t) for t in texts]
 
