@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import ann, bm25, langid, mixing, packing, prefix_counts, sharding, simhash, token_files, warc
+from . import (ann, bm25, langid, mixing, packing, prefix_counts, resampling, sharding, simhash,
+               token_files, warc)
 from .common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,3 +150,56 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return g.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"),
                     "component_id")
+
+
+# --- 11: importance resampling ------------------------------------------------------
+OP11_SQL = r"""
+WITH tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+           CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS crc),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+goal AS (
+  SELECT unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+seen AS (SELECT r, unnest(words) AS w FROM docs),
+vocabulary AS (
+  SELECT w, xor(list_reduce(list_transform(range(strlen(w)), lambda i:
+              16 * (instr('0123456789ABCDEF', substr(hex(w), CAST(2 * i + 1 AS INTEGER), 1)) - 1)
+              + instr('0123456789ABCDEF', substr(hex(w), CAST(2 * i + 2 AS INTEGER), 1)) - 1),
+            lambda c, b: xor(c // 256, crc[1 + xor(c % 256, b)]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM (SELECT w FROM seen UNION SELECT w FROM goal), tab),
+s AS (SELECT bucket, count(*) AS s FROM seen JOIN vocabulary USING (w) GROUP BY 1),
+t AS (SELECT bucket, count(*) AS t FROM goal JOIN vocabulary USING (w) GROUP BY 1),
+n AS (SELECT (SELECT count(*) FROM seen) + 10000.0::DOUBLE AS s_all,
+             (SELECT count(*) FROM goal) + 10000.0::DOUBLE AS t_all),
+gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * s_all
+                                 / ((s + 1)::DOUBLE * t_all))) AS g
+  FROM s LEFT JOIN t USING (bucket), n),
+weight AS (SELECT r, count(*) AS n, floor(sum(g) / count(*)) AS weight
+           FROM seen JOIN vocabulary USING (w) JOIN gain USING (bucket) GROUP BY 1),
+scored AS (
+  SELECT doc_id, len(words) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((list_reduce(list_transform(range(1, 9),
+           lambda i: instr('0123456789abcdef', substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')),
+                           CAST(i AS INTEGER), 1)) - 1), lambda a, d: a * 16 + d) + 0.5::DOUBLE)
+           / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM docs LEFT JOIN weight USING (r)),
+drawn AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (
+            PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, weight DESC, n_features DESC)
+          END AS place FROM scored)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+       CASE WHEN place <= (SELECT 10 * count(*) // 100 FROM scored WHERE n_features >= 20)
+            THEN place END AS rank
+FROM drawn
+"""
+
+
+@register("op11_importance_resampling", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")

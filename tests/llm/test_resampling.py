@@ -1,0 +1,100 @@
+"""Importance resampling against the definition, row by row."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from blotter.llm import queries, resampling
+from oracle_check import compare, duck
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+COLUMNS = "doc_id long, text string, rank int, weight string, `_row` int, score double"
+
+
+def grams(text, runs):
+    w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return w, [" ".join(w[i:i + n]) for n in range(runs[0], runs[1] + 1) for i in range(len(w) - n + 1)]
+
+
+def plain(rows, target, percent, min_words, runs, buckets, seed):
+    def of(feature):
+        return zlib.crc32(feature.encode()) % buckets
+
+    def counted(texts):
+        c = [0] * buckets
+        for t in texts:
+            for g in grams(t, runs)[1]:
+                c[of(g)] += 1
+        return c
+
+    s, t = counted(r[1] for r in rows), counted(target)
+    gain = [math.floor(1000 * math.log((b + 1) * (sum(s) + buckets) / ((a + 1) * (sum(t) + buckets)))) for a, b in zip(s, t)]
+    out = []
+    for doc_id, text, *_ in rows:
+        w, g = grams(text, runs)
+        weight = sum(gain[of(x)] for x in g) // len(g) if g else 0
+        h = int(hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([doc_id, len(g), weight, score, None, len(w)])
+    able = sorted((r for r in out if r[5] >= min_words), key=lambda r: (-r[3], r[0] is None, r[0] or 0, -r[2], -r[1]))
+    for i, r in enumerate(able[:percent * len(able) // 100]):
+        r[4] = i + 1
+    return sorted((tuple(r[:5]) for r in out), key=str)
+
+
+def corpus(n=300):
+    rnd = random.Random(11)
+    vocabulary = ["Wort%d" % i for i in range(60)] + ["é", "naïve", "x1", "漢字"]
+    rows = [(i, rnd.choice([" ", "-", "\n", "\0"]).join(rnd.choices(vocabulary, k=rnd.choice([3, 19, 20, 60])))) for i in range(n)]
+    rows += [(None, None), (None, "a b"), (5, ""), (7, " .\n"), (8, "Z" * 400), *[(9, "same " * 25)] * 40, *[(None, "same " * 25)] * 40]
+    return [(*r, 1, "w", 2, 0.5) for r in rows]
+
+
+@pytest.mark.parametrize("percent, min_words, runs, buckets", [(10, 20, (1, 1), 10_000), (50, 1, (1, 3), 97), (100, 0, (2, 2), 10), (1, 60, (1, 1), 7)])
+def test_equals_the_definition(spark, monkeypatch, percent, min_words, runs, buckets):
+    monkeypatch.setattr(resampling, "MEMORY", 20)
+    rows, target = corpus(), ["Wort1 Wort2 Wort3 " * 30, None, "x1 é", ""]
+    docs = spark.createDataFrame(rows, COLUMNS).repartition(5)
+    goal = spark.createDataFrame([(t,) for t in target], "text string")
+    got = resampling.resample(docs, goal, percent, min_words, runs, buckets, 77)
+    assert got.columns == ["doc_id", "n_words", "n_features", "weight", "score", "rank"]
+    got = sorted((tuple(r) for r in got.drop("n_words").collect()), key=str)
+    assert got == plain(rows, target, percent, min_words, runs, buckets, 77)
+
+
+def test_long_texts_are_cut_between_words(monkeypatch):
+    text = " ".join("word%d" % i for i in range(500)).encode()
+    whole = resampling.features(text, (1, 3), resampling.BucketOf(999))
+    monkeypatch.setattr(resampling, "PIECE", 40)
+    cut = resampling.features(text, (1, 3), resampling.BucketOf(999))
+    assert whole[0] == cut[0] == 500
+    assert sorted(np.concatenate(whole[1]).tolist()) == sorted(np.concatenate(cut[1]).tolist())
+
+
+def test_a_bracket_that_misses_is_widened(spark):
+    scored = spark.range(5000).select((F.col("id") % 37).alias("score"))
+    scores = sorted((i % 37 for i in range(5000)), reverse=True)
+    for k in (1, 2, 700, 4999, 5000):
+        low, high, above = resampling.bracket(scored, 5000, k, accuracy=50)
+        assert (low is None or low <= scores[k - 1]) and (high is None or scores[k - 1] <= high)
+        assert above == sum(high is not None and s > high for s in scores) < k
+
+
+def test_empty(spark):
+    none, some = spark.createDataFrame([], COLUMNS), spark.createDataFrame(corpus(20), COLUMNS)
+    assert resampling.resample(none, some).count() == 0
+    got = resampling.resample(some, none, percent=50)
+    assert got.count() == some.count() and got.where("rank is not null").count() == got.where("n_words >= 20").count() // 2
+    assert resampling.resample(some.limit(5), none).where("rank is not null").count() == 0
+
+
+def test_query_equals_its_sql(spark, sf_small):
+    name = "op11_importance_resampling"
+    got = queries.QUERIES[name](spark, sf_small).toPandas()
+    assert compare(got, duck(sf_small).execute(queries.ORACLES[name]).df())["ok"]
