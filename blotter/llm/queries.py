@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import (ann, bm25, langid, mixing, packing, prefix_counts, resampling, sharding, simhash,
-               token_files, warc)
+from . import (ann, bm25, conversations, langid, mixing, packing, prefix_counts, resampling,
+               sharding, simhash, token_files, warc)
 from .common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,3 +203,83 @@ FROM drawn
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
         "doc_id", "n_features", "weight", "score", "rank")
+
+
+# --- 12: conversation repair --------------------------------------------------------
+OP12_SQL = r"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+           CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS crc),
+keyed AS (
+  SELECT dense_rank() OVER (ORDER BY conv_id) AS conv, conv_id, turn, coalesce(role, ' ') AS role,
+         coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+  FROM conversations),
+fated AS (
+  SELECT *, xor(list_reduce(list_transform(range(1, strlen(key) + 1), lambda i:
+                  ascii(substr(key, CAST(i AS INTEGER), 1))),
+                lambda c, b: xor(c // 256, crc[1 + xor(c % 256, b)]), 4294967295), 4294967295) % 20 AS fate
+  FROM keyed, tab),
+damaged AS (
+  SELECT conv, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, fate,
+         unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM fated WHERE fate <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last FROM damaged),
+marked AS (
+  SELECT *, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'x' END AS letter,
+         CASE WHEN last = '' THEN 'b'
+              WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 THEN 'd'
+              WHEN last NOT IN ('.', '!', '?') THEN 't' ELSE 'f' END AS mark FROM placed),
+neighbours AS (SELECT *, lag(letter) OVER (PARTITION BY conv ORDER BY i) || letter AS pair FROM marked),
+counts AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (mark = 'b') AS blank, count(*) FILTER (mark = 'd') AS duplicate,
+         count(*) FILTER (mark = 't') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM neighbours GROUP BY 1),
+inserts(p, j, q, said) AS (VALUES
+  (0, 0, 0, []), (0, 1, 2, ['user:']), (0, 2, 3, ['user:', 'assistant:']),
+  (1, 0, 1, []), (1, 1, 2, ['user:']), (1, 2, 3, ['user:', 'assistant:']),
+  (2, 0, 2, []), (2, 1, 3, ['assistant:']), (2, 2, 2, ['assistant:', 'user:']),
+  (3, 0, 3, []), (3, 1, 2, ['user:']), (3, 2, 3, ['user:', 'assistant:'])),
+edits(q, s, edit, letter, cost) AS (VALUES
+  (0, 1, 'K', 's', 0), (0, 2, 'K', 'u', 0), (1, 2, 'K', 'u', 0), (2, 3, 'K', 'a', 0), (3, 2, 'K', 'u', 0),
+  (0, 2, 'R', NULL, 1), (1, 2, 'R', NULL, 1), (2, 3, 'R', NULL, 1), (3, 2, 'R', NULL, 1),
+  (0, 0, 'D', NULL, 2), (1, 1, 'D', NULL, 2), (2, 2, 'D', NULL, 2), (3, 3, 'D', NULL, 2)),
+walk AS (
+  SELECT conv, CAST(0 AS BIGINT) AS i, 0 AS state,
+         struct_pack(cost := CAST(0 AS BIGINT), audit := '', said := CAST([] AS VARCHAR[])) AS best
+  FROM (SELECT DISTINCT conv FROM damaged)
+  UNION ALL
+  SELECT w.conv, w.i + 1, e.s, min(struct_pack(
+           cost := CAST(w.best.cost + 5 * n.j + e.cost
+                        + CASE WHEN m.mark = 't' AND e.edit <> 'D' THEN 5 ELSE 0 END AS BIGINT),
+           audit := w.best.audit || repeat('I', n.j) || e.edit,
+           said := w.best.said || n.said || CASE e.edit WHEN 'D' THEN [] WHEN 'K' THEN [m.role || ':' || m.text]
+             ELSE [CASE e.s WHEN 2 THEN 'user:' ELSE 'assistant:' END || m.text] END))
+  FROM walk w JOIN marked m ON m.conv = w.conv AND m.i = w.i + 1 JOIN inserts n ON n.p = w.state
+       JOIN edits e ON e.q = n.q AND (e.letter IS NULL OR e.letter = m.letter)
+            AND (m.mark NOT IN ('b', 'd') OR e.edit = 'D')
+  GROUP BY ALL),
+ended AS (
+  SELECT w.conv, min(struct_pack(
+           cost := w.best.cost + CASE w.state WHEN 1 THEN 10 WHEN 2 THEN 5 ELSE 0 END,
+           audit := w.best.audit || CASE w.state WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+           said := w.best.said || CASE w.state WHEN 1 THEN ['user:', 'assistant:']
+                                  WHEN 2 THEN ['assistant:'] ELSE [] END)) AS best
+  FROM walk w WHERE w.i = (SELECT max(m.i) FROM marked m WHERE m.conv = w.conv) GROUP BY 1)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(best.cost, 0) AS cost, coalesce(best.audit, '') AS audit,
+       sha256(coalesce(array_to_string(best.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv, conv_id FROM keyed) LEFT JOIN counts USING (conv) LEFT JOIN ended USING (conv)
+"""
+
+
+@register("op12_conversation_repair", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, copies = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.with_digests(*conversations.repair(rows, copies))
