@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import (ann, bm25, conversations, langid, mixing, packing, prefix_counts, resampling,
-               sharding, simhash, token_files, warc)
+from . import (ann, bm25, conversations, langid, mixing, mixture_packing, packing, prefix_counts,
+               resampling, sharding, simhash, token_files, warc)
 from .common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -283,3 +283,13 @@ FROM (SELECT DISTINCT conv, conv_id FROM keyed) LEFT JOIN counts USING (conv) LE
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, copies = conversations.damage(table(spark, sf_dir, "conversations"))
     return conversations.with_digests(*conversations.repair(rows, copies))
+
+
+# --- 13: mixture-controlled packing -------------------------------------------------
+WORD_VOCABULARY = "word_bpe_49k.json"
+
+
+@register("op13_mixture_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture_packing.digests(mixture_packing.pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY)))
