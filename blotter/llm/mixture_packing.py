@@ -136,7 +136,8 @@ def encoded(docs: DataFrame, vocabulary: str, chunk: int = CHUNK) -> DataFrame:
                      pa.array(parts, pa.binary())], names=schema.names)
 
     path = scratch_path(docs.sparkSession, "packed-ids")
-    d.mapInArrow(run, schema).write.parquet(path)
+    # small row groups: a writer holds one in memory
+    d.mapInArrow(run, schema).write.option("parquet.block.size", 16 << 20).parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 

@@ -9,27 +9,30 @@ texts are then gathered by the numbers of their parts.
 
 from __future__ import annotations
 
+import json
 import os
-import re
-import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .byte_bpe import Remembered
 from .token_files import BYTE_ALPHABET
 
 #: a word of Latin letters that are their own normal form
-_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 #: marks that are a word of their own if only such letters, digits, spaces and line feeds stand
 #: beside them (other letters may end in a mark once they are normalized)
 _MARKS = (".", ",")
 _BESIDE = "[^ \n0-9A-Za-zÀ-ÖØ-öø-ÿ]"
 _CROWDED = f"[.,]{_BESIDE}|{_BESIDE}[.,]"
 #: bytes of the texts that are split at once
-BYTES = 16 << 20
+BYTES = 8 << 20
+#: parts that are remembered, and the longest one in bytes
+MEMORY, LONGEST = 500_000, 64
+#: words in one call of the library
+WORDS = 1000
+_ALPHABET = {**BYTE_ALPHABET, 0x20: 0x20}
 
 _ENCODERS: dict[str, "Encoder"] = {}
 
@@ -43,21 +46,58 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known = Remembered(self._encoded, "")
-        letter = {2: "H", 4: "I"}[self.dtype.itemsize]
-        self.packers = [struct.Struct(f"<{n}{letter}").pack for n in range(256)]
-
-    def _encoded(self, parts: list[str], lead: str, known) -> list[bytes]:
-        out, rest, tokenize, packers = [], [], self.tokenizer.model.tokenize, self.packers
-        for p in parts:
-            if _PLAIN.fullmatch(p):  # one word to the model
-                got = tokenize(p.lower().encode().decode("latin-1").translate(BYTE_ALPHABET))
-                out.append(packers[len(got)](*[t.id for t in got]))
-            else:
-                rest.append(p)
-                out.append(None)
-        odd = iter(self.tokenizer.encode_batch(rest, add_special_tokens=False) if rest else ())
-        return [np.array(next(odd).ids, self.dtype).tobytes() if v is None else v for v in out]
+        # the same vocabulary for words that are already normalized, in the alphabet of bytes
+        spec = json.loads(self.tokenizer.to_str())
+        spec.update(normalizer=None, pre_tokenizer={"type": "WhitespaceSplit"}, added_tokens=[])
+        self.model = Tokenizer.from_str(json.dumps(spec))
+        self.ends_word = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends_word[i] = token.endswith(spec["model"]["end_of_word_suffix"])
+        # remembered parts, their ids, and which of them were met since the last clearing
+        self.parts, self.ids = pa.array([], pa.string()), self._lists([0], [])
+        self.met = np.zeros(0, bool)
+
+    def _lists(self, ends, ids) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.asarray(ids, self.dtype)))
+
+    def _encoded(self, parts: pa.Array) -> pa.ListArray:
+        """Ids of new parts."""
+        plain = pc.match_substring_regex(parts, _PLAIN)
+        words = parts.filter(plain).to_pylist()
+        flat, sizes = [], []
+        for i in range(0, len(words), WORDS):  # many words in one call; the last token of each ends a word
+            line = " ".join(words[i:i + WORDS]).lower().encode().decode("latin-1").translate(_ALPHABET)
+            ids = np.array(self.model.encode(line, add_special_tokens=False).ids, self.dtype)
+            flat.append(ids)
+            sizes.append(np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1))
+        odd = self.tokenizer.encode_batch(parts.filter(pc.invert(plain)).to_pylist(), add_special_tokens=False)
+        for e in odd:
+            flat.append(np.array(e.ids, self.dtype))
+        sizes.append(np.array([len(x) for x in flat[len(flat) - len(odd):]], np.int64))
+        lists = self._lists(np.cumsum(np.concatenate([[0], *sizes])), np.concatenate([np.zeros(0, self.dtype), *flat]))
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        order = np.empty(len(parts), np.int64)
+        order[is_plain], order[~is_plain] = np.arange(len(words)), np.arange(len(words), len(parts))
+        return lists.take(pa.array(order))
+
+    def _learn(self, parts: pa.Array) -> tuple[np.ndarray, pa.ListArray]:
+        """(numbers, lists): the ids of the i-th part are lists[numbers[i]]."""
+        at = pc.fill_null(pc.index_in(parts, value_set=self.parts), -1).to_numpy().copy()
+        known = at >= 0
+        self.met[at[known]] = True
+        new = parts.filter(pa.array(~known))
+        lists = pa.concat_arrays([self.ids, self._encoded(new)])
+        at[~known] = np.arange(len(self.parts), len(lists))
+        # new parts are remembered, unless they are long; above the bound only what was met stays
+        stay = np.concatenate([self.met if len(lists) > MEMORY else np.ones(len(self.met), bool),
+                               (pc.binary_length(new).to_numpy() <= LONGEST) & (len(new) <= MEMORY)])
+        if len(lists) > MEMORY and stay.sum() > MEMORY:
+            stay[:len(self.met)] = False
+        keep = pa.array(stay)
+        self.parts, self.ids = pa.concat_arrays([self.parts, new]).filter(keep), lists.filter(keep)
+        self.met = np.zeros(len(self.parts), bool) if len(lists) > MEMORY else np.concatenate(
+            [self.met, np.zeros(len(new), bool)])[stay]
+        return at, lists
 
     def __call__(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids, ends) of groups of texts in order: the ids of all texts of the group in a
@@ -84,14 +124,8 @@ class Encoder:
         texts = pc.if_else(pc.match_substring_regex(texts, _CROWDED), texts, apart)
         cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         numbered = cut.flatten().dictionary_encode()
-        parts = numbered.dictionary.to_pylist()
-        known = self.known.learn(set(parts))
-        ids = [known[p] for p in parts]
-        size = self.dtype.itemsize
-        ends = np.cumsum([0, *map(len, ids)]) // size
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                         pa.array(np.frombuffer(b"".join(ids), self.dtype)))
-        taken = lists.take(numbered.indices)
+        number, lists = self._learn(numbered.dictionary)
+        taken = lists.take(pa.array(number[numbered.indices.to_numpy()]))
         at = taken.offsets.to_numpy()[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
         return taken.flatten().to_numpy(), at[1:] - taken.offsets[0].as_py()
 

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from blotter.llm import byte_bpe, mixture_packing, queries, word_bpe
+from blotter.llm import mixture_packing, queries, word_bpe
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -48,7 +48,7 @@ def test_any_text(texts):
 def test_bounded_memory(monkeypatch):
     monkeypatch.setattr(word_bpe, "_ENCODERS", {})
     monkeypatch.setattr(word_bpe, "BYTES", 60)
-    monkeypatch.setattr(byte_bpe, "MEMORY", 5)
+    monkeypatch.setattr(word_bpe, "MEMORY", 5)
     rnd = random.Random(1)
     texts = [" ".join(rnd.choice("abcdefgh") * rnd.randrange(1, 90) for _ in range(9)) for _ in range(40)] + ODD
     assert encoded(texts) == [ids(t) for t in texts]
