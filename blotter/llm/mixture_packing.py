@@ -219,42 +219,35 @@ def plan(chunks: DataFrame, shares: dict[str | None, float] | None = None, capac
 
 
 def pack(docs: DataFrame, vocabulary: str, shares: dict[str | None, float] | None = None, capacity: int = CAPACITY,
-         grain: int = GRAIN, partition_tokens: int = PARTITION_TOKENS, chunk: int = CHUNK) -> DataFrame:
-    """(doc_id, doc_tokens, start, length, sequence_id, offset, ids): every piece with its ids."""
+         grain: int = GRAIN, partition_tokens: int = PARTITION_TOKENS, chunk: int = CHUNK,
+         checksums: bool = False) -> DataFrame:
+    """(doc_id, doc_tokens, start, length, sequence_id, offset, ids): every piece with its ids
+    (32-bit little-endian), or with their ``ids_crc32`` in place of them."""
     chunks = encoded(docs, vocabulary, chunk)
     pieces = plan(chunks, shares, capacity, grain, partition_tokens).groupBy("row", "chunk").agg(
         F.array_sort(F.collect_list(F.struct("first", "length", "sequence_id", "offset"))).alias("pieces"))
     d = chunks.join(pieces, ["row", "chunk"]).select("doc_id", "doc_tokens", "chunk", "size", "ids", "pieces")
+    last = T.StructField("ids_crc32", T.LongType()) if checksums else T.StructField("ids", T.BinaryType())
     schema = T.StructType([d.schema["doc_id"], d.schema["doc_tokens"], *[T.StructField(c, T.LongType()) for c in
-                           ("start", "length", "sequence_id", "offset")], T.StructField("ids", T.BinaryType())])
+                           ("start", "length", "sequence_id", "offset")], last])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lists = b.column(5)
             first, length, sequence, offset = lists.flatten().flatten()
-            counts = np.diff(lists.offsets.to_numpy())
-            row = np.repeat(np.arange(b.num_rows), counts)
-            width = np.array([len(x) for x in b.column(4).to_pylist()]) // b.column(3).to_numpy()
-            raw = b.column(4).to_pylist()
-            a, n, w = first.to_numpy(), length.to_numpy(), width[row]
-            ids = [np.frombuffer(raw[r][x * k:(x + m) * k], f"<u{k}").astype("<u4").tobytes()
-                   for r, x, m, k in zip(row.tolist(), a.tolist(), n.tolist(), w.tolist())]
+            row = np.repeat(np.arange(b.num_rows), np.diff(lists.offsets.to_numpy()))
+            values: list = [None] * len(row)
+            at, a, n, sizes = 0, first.to_numpy(), length.to_numpy(), b.column(3).to_pylist()
+            for r, raw in enumerate(b.column(4)):
+                raw = raw.as_buffer()
+                ids = np.frombuffer(raw, f"<u{raw.size // sizes[r]}").astype("<u4")
+                while at < len(row) and row[at] == r:
+                    piece = ids[a[at]:a[at] + n[at]].tobytes()
+                    values[at] = zlib.crc32(piece) if checksums else piece
+                    at += 1
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(take), b.column(1).take(take), pa.array(b.column(2).to_numpy()[row] * chunk + a), length,
-                 sequence, offset, pa.array(ids, pa.binary())], names=schema.names)
+                 sequence, offset, pa.array(values, pa.int64() if checksums else pa.binary())], names=schema.names)
 
     return d.mapInArrow(run, schema)
-
-
-def digests(pieces: DataFrame) -> DataFrame:
-    """The pieces with ``ids_crc32`` in place of their ids (32-bit little-endian)."""
-    schema = T.StructType([f for f in pieces.schema if f.name != "ids"] + [T.StructField("ids_crc32", T.LongType())])
-    at = pieces.columns.index("ids")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            crc = pa.array([zlib.crc32(x) for x in b.column(at).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(b.columns) if i != at), crc], names=schema.names)
-
-    return pieces.mapInArrow(run, schema)

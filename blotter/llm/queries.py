@@ -291,5 +291,5 @@ WORD_VOCABULARY = "word_bpe_49k.json"
 
 @register("op13_mixture_packing")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixture_packing.digests(mixture_packing.pack(
-        table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY)))
+    return mixture_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY),
+                                checksums=True)

@@ -27,9 +27,9 @@ _MARKS = (".", ",")
 _BESIDE = "[^ \n0-9A-Za-zÀ-ÖØ-öø-ÿ]"
 _CROWDED = f"[.,]{_BESIDE}|{_BESIDE}[.,]"
 #: bytes of the texts that are split at once
-BYTES = 8 << 20
+BYTES = 4 << 20
 #: parts that are remembered, and the longest one in bytes
-MEMORY, LONGEST = 500_000, 64
+MEMORY, LONGEST = 400_000, 64
 #: words in one call of the library
 WORDS = 1000
 _ALPHABET = {**BYTE_ALPHABET, 0x20: 0x20}
