@@ -47,6 +47,7 @@ AREA = "03"
 TYPES = ("MEDIUM TYPE 19", "MEDIUM TYPE 15")
 TOP_N_SERIES = 8
 LANDING_YEAR_FROM = 1996
+INDEXED_YEAR_FROM = 2000
 RUN_TS = "2024-01-01 00:00:00"
 
 ALL = Filters(*PERIOD)
@@ -105,23 +106,48 @@ def mart(spark: SparkSession, sf_dir: str, name: str = "mart_crime_daily_area")
 
 # === sources and layers ========================================================
 
-_EXTRA_SQL = "CASE WHEN dr_no LIKE '%00-1' THEN '{\"location_2\":\"cross street\"}' END"
+_HAS_EXTRA = "cast(split_part(dr_no, '-', 1) AS BIGINT) % 51 = 0 AND dr_no LIKE '%-1'"
+_EXTRA_SQL = (f"CASE WHEN {_HAS_EXTRA} THEN '{{\"location_2\":{{\"number\":' || split_part(dr_no, '-', 1)"
+              " || ',\"street\":\"cross street\"}}' END")
 
-@register("bronze_ingest", O.with_prefix(f"""
+_INGEST_SQL = O.with_prefix(f"""
 SELECT dr_no, date_rptd, date_occ, time_occ, area, area_name, rpt_dist_no, part_1_2, crm_cd,
   crm_cd_desc, vict_age, vict_sex, vict_descent, premis_desc, weapon_desc, status_desc, lat, lon,
   DATE '{RUN_TS[:10]}' AS ingest_date, TIMESTAMP '{RUN_TS}' AS processing_datetime,
   'landing' AS data_source, {_EXTRA_SQL} AS extra
-FROM bronze WHERE date_occ >= '{LANDING_YEAR_FROM}-01-01T00:00:00'"""))
+FROM bronze WHERE date_occ >= 'YEAR_FROM-01-01T00:00:00'""")
+
+
+@register("bronze_ingest", _INGEST_SQL.replace("YEAR_FROM", str(LANDING_YEAR_FROM)))
 def q_bronze_ingest(spark, sf_dir):
     found = landing.ingest(spark, layers(spark, sf_dir).landing_dir, year_from=LANDING_YEAR_FROM,
                            run_ts=RUN_TS, source="landing")
     return found.withColumn("extra", F.to_json("extra"))
 
 
+@register("bronze_ingest_indexed", _INGEST_SQL.replace("YEAR_FROM", str(INDEXED_YEAR_FROM)))
+def q_bronze_ingest_indexed(spark, sf_dir):
+    """As ``bronze_ingest``; the skip index keeps files that end before the year from being read."""
+    out = layers(spark, sf_dir)
+    found = landing.ingest(spark, out.landing_dir, year_from=INDEXED_YEAR_FROM, run_ts=RUN_TS,
+                           source="landing", index=out.landing_index)
+    return found.withColumn("extra", F.to_json("extra"))
+
+
+@register("landing_zones", O.with_prefix("""
+SELECT count(*) AS records, min(date_occ) AS first_date, max(date_occ) AS last_date,
+  count(*) FILTER (WHERE dr_no LIKE '%00-2') AS corrupt
+FROM bronze"""))
+def q_landing_zones(spark, sf_dir):
+    """The skip index as a whole: what its files hold together."""
+    zones = landing.read_index(spark, layers(spark, sf_dir).landing_index)
+    return zones.agg(F.sum("records").alias("records"), F.min("first_date").alias("first_date"),
+                     F.max("last_date").alias("last_date"), F.sum("corrupt").alias("corrupt"))
+
+
 @register("dq_landing", O.with_prefix("""
 SELECT count(*) AS records, count(*) FILTER (WHERE dr_no LIKE '%00-2') AS corrupt_lines,
-  count(*) FILTER (WHERE dr_no LIKE '%00-1') AS records_with_extra FROM bronze"""))
+  count(*) FILTER (WHERE """ + _HAS_EXTRA + ''') AS records_with_extra FROM bronze'''))
 def q_dq_landing(spark, sf_dir):
     return landing.profile(landing.read_landing(spark, layers(spark, sf_dir).landing_dir))
 

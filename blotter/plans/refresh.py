@@ -56,6 +56,10 @@ class Layers:
     def landing_dir(self) -> str:
         return f"{self.root}/landing/crime"
 
+    @property
+    def landing_index(self) -> str:
+        return f"{self.root}/landing/crime_index"
+
     @property
     def areas_dir(self) -> str:
         return f"{self.root}/landing/areas"
@@ -174,8 +178,13 @@ def build_layers(spark: SparkSession, sf_dir: str, root: str) -> Layers:
 
 
 def landing_files(spark: SparkSession, out: Layers) -> str:
-    """Raw JSON page files derived from the bronze layer."""
-    adapter.landing_lines(out.bronze(spark)).write.mode("overwrite").text(out.landing_dir)
+    """Raw JSON page files of all layouts, derived from the bronze layer, and their skip index."""
+    mode = "overwrite"
+    for texts, file_each in adapter.landing_files(out.bronze(spark)):
+        w = texts.write.mode(mode)
+        (w.option("maxRecordsPerFile", 1) if file_each else w).text(out.landing_dir)
+        mode = "append"
+    landing.update_index(spark, out.landing_dir, out.landing_index)
     return out.landing_dir
 
 

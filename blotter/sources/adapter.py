@@ -114,20 +114,44 @@ def bronze_from_star(spark: SparkSession, sf_dir: str,
         F.date_add(F.lit("2000-01-01").cast("date"), pk.cast("int"))
          .cast("timestamp").alias("processing_datetime"),
         F.lit("star-schema adapter").alias("data_source"),
-        F.lit(None).cast("map<string,string>").alias("extra"),
+        F.lit(None).cast("variant").alias("extra"),
     )
 
 
 # --- raw landing files ------------------------------------------------------------
-def landing_lines(bronze: DataFrame) -> DataFrame:
-    """Raw records as page files hold them: lines of JSON arrays. Some records carry a key
-    that is not declared, and some lines are cut off (a record of its own, lost)."""
+def _okey() -> Column:
+    return F.substring_index("dr_no", "-", 1).cast("long")
+
+
+def landing_files(bronze: DataFrame) -> list[tuple[DataFrame, bool]]:
+    """Raw records in the four layouts of page files, a quarter of the orders in each: texts
+    (column ``value``), and whether each text is a file of its own.
+
+    Arrays with the comma at the end of the line, in which some lines are cut off (a record of
+    its own, lost); arrays with the comma at the start of the line; arrays on one line;
+    pretty-printed pages, one for each year (and range of orders). Some records carry a key
+    that is not declared.
+    """
     raw = bronze.drop("ingest_date", "processing_datetime", "data_source", "extra")
-    more = F.when(F.col("dr_no").endswith("00-1"), F.lit("cross street")).alias("location_2")
-    text = F.to_json(F.struct(*raw.columns, more))
-    cut = F.when(F.col("dr_no").endswith("00-2"), F.substring(text, 1, 40))
-    return raw.select(F.explode(F.filter(F.array(
-        F.concat(F.lit("["), text, F.lit(",")), cut, F.lit("]")), lambda x: x.isNotNull())).alias("value"))
+    more = F.when((_okey() % 51 == 0) & F.col("dr_no").endswith("-1"), F.struct(
+        F.lit("cross street").alias("street"), _okey().alias("number"))).alias("location_2")
+    record = F.struct(*raw.columns, more)
+    text, part = F.to_json(record), _okey() % 4
+    rows = raw.select(text.alias("text"), part.alias("part"), "dr_no", "date_occ", _okey().alias("okey"))
+    cut = F.when(F.col("dr_no").endswith("00-2"), F.substring("text", 1, 40))
+    ends = rows.where("part = 0").select(F.explode(F.filter(F.array(
+        F.concat(F.lit("["), "text", F.lit(",")), cut, F.lit("]")), lambda x: x.isNotNull())).alias("value"))
+    starts = rows.where("part = 1").select(
+        F.when(F.col("okey") % 20 == 1, F.concat(F.lit("["), "text"))
+        .when(F.col("okey") % 20 == 5, F.concat(F.lit("  , "), "text", F.lit(" ]")))
+        .otherwise(F.concat(F.lit(","), "text")).alias("value"))
+    one = (rows.where("part = 2").groupBy(F.expr("okey div 32")).agg(F.collect_list("text").alias("texts"))
+           .select(F.concat(F.lit("["), F.array_join("texts", ", "), F.lit("]")).alias("value")))
+    pretty = raw.where(part == 3).select(F.to_json(record, {"pretty": "true"}).alias("text"),
+                                         F.substring("date_occ", 1, 4).alias("year"), _okey().alias("okey"))
+    pages = (pretty.groupBy("year", F.expr("okey div 100000")).agg(F.collect_list("text").alias("texts"))
+             .select(F.concat(F.lit("[\n"), F.array_join("texts", ",\n"), F.lit("\n]")).alias("value")))
+    return [(ends, False), (starts, False), (one, False), (pages, True)]
 
 
 # --- area polygons ----------------------------------------------------------------

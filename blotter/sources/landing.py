@@ -1,10 +1,10 @@
 """Landing-zone reader and layer writers (bronze/silver/gold as Parquet).
 
 * ``read_landing``  – raw JSON record files: one record per line, or page files that hold
-  an array (on one line, or with a record on each line). Every key survives: the declared
-  ones as text columns, all others in the map ``extra``. A line that holds
-  anything but records gives one row with its text in ``corrupt_record`` besides those of its
-  records; ``profile`` counts such rows.
+  an array (on one line, with a record on each line, or pretty-printed). Every key survives: the
+  declared ones as text columns, all others typed in the VARIANT ``extra``. A line or page that
+  holds anything but records gives one row with its text in ``corrupt_record`` besides those
+  of its records; ``profile`` counts such rows.
 * ``since_year``    – the source-side lower bound on ``date_occ`` as an ISO text
   compare; it is a plain filter on the scan and drops null dates.
 * ``with_lineage``  – ``ingest_date`` / ``processing_datetime`` / ``data_source``;
@@ -17,7 +17,9 @@
 
 from __future__ import annotations
 
+import re
 import time
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,38 +31,121 @@ from . import files, schemas
 KEPT_VERSIONS = 2
 
 
-def parse_records(lines: DataFrame, schema: T.StructType = schemas.BRONZE_RAW) -> DataFrame:
-    """Lines (column ``value``) -> declared columns, ``extra``, ``corrupt_record``.
+#: white space, and what stands between and around the records of an array
+_AROUND = " \t\r\n\ufeff,[]"
+#: columns of a record that is looked at closely
+_KEYS, _SOUND, _WHOLE = " other keys", " is a record", " has all keys"
 
-    A line may be a record, an array of records, or one line of an array with a record on
-    each line: an outer bracket or a comma at the end is taken off first.
+
+def _look_closer(declared: list[str]) -> str:
+    """Pattern of texts that may hold a key that is not declared, an empty record or a null.
+    None is missed; a value that looks like one costs a closer look at its text."""
+    names = "|".join(re.escape(c) for c in declared)
+    key = rf'"(?!(?:{names})"\s*:)[^"\\]*+(?:\\.[^"\\]*+)*+"\s*:'
+    return rf"[{{,\[]\s*(?:{key}|null\s*[,\]]|\{{\s*\}})"
+
+
+def parse_records(texts: DataFrame, schema: T.StructType = schemas.BRONZE_RAW, pages: bool = False,
+                  others: bool = True, carry: list[str] = []) -> DataFrame:
+    """Lines or whole pages (column ``value``) -> declared columns, ``extra``, ``corrupt_record``.
+
+    A text may be a record, an array of records, or a line of an array that has a record
+    on each line, with the comma at the end of the line or at the start of the next. Declared
+    keys are parsed straight to their columns. Only a text that may hold other keys, an empty
+    record or anything that is no record is looked at record by record: its other keys become
+    the VARIANT ``extra``, in which nested values and numbers keep their type. ``pages`` says
+    that texts have several lines; without ``others`` only declared keys are wanted; the
+    columns of ``texts`` named in ``carry`` stand beside each record.
     """
-    blank = F.lit(" \t\r\n")
-    opened = F.btrim("value", blank)
-    opened = F.when(F.startswith(opened, F.lit("[")), F.substr(opened, F.lit(2))).otherwise(opened)
-    closed = F.rtrim(opened, F.lit(" \t\r\n,"))
-    bare = F.btrim(F.when(F.endswith(closed, F.lit("]")), F.left(closed, F.length(closed) - 1))
-                   .otherwise(closed), blank)
-    parsed = F.from_json(F.concat(F.lit("["), F.col("bare"), F.lit("]")), "array<map<string,string>>")
-    # a record holds at least one key; a line with anything else besides its records has one
-    # corrupt row more, a line that does not parse is one corrupt row
-    records = F.filter("parsed", lambda m: F.coalesce(F.size(m), F.lit(0)) > 0)
-    none = F.array(F.lit(None).cast("map<string,string>"))
-    kept = (F.when(F.col("parsed").isNull(), none)
-            .when(F.size(records) < F.size("parsed"), F.concat(records, none)).otherwise(F.col("parsed")))
-    rows = (lines.select("value", bare.alias("bare")).where("bare <> ''")
-            .withColumn("parsed", parsed).select("value", F.explode(kept).alias("m")))
     declared = schema.fieldNames()
-    extra = F.map_filter("m", lambda k, _: ~k.isin(*declared))
-    return rows.select(
-        *[F.col("m")[c].alias(c) for c in declared],
-        F.when(F.size(extra) > 0, extra).alias("extra"),
-        F.when(F.col("m").isNull(), F.col("value")).alias("corrupt_record"))
+    inner = F.btrim("value", F.lit(_AROUND))
+    if pages:  # records that follow each other without a comma stand on lines of their own
+        inner = F.regexp_replace(inner, r"\}[ \t\r]*\n\s*\{", "},{")
+    page = F.concat(F.lit("["), inner, F.lit("]"))
+    plain = T.StructType([T.StructField(c, T.StringType()) for c in declared])
+    record = T.StructType([*plain, T.StructField(_KEYS, T.MapType(T.StringType(), T.VariantType())),
+                           T.StructField(_SOUND, T.BooleanType()), T.StructField(_WHOLE, T.BooleanType())])
+    parsed = (texts.where(F.btrim("value", F.lit(_AROUND)) != "")
+              .select("value", page.alias("page"), *carry)
+              .withColumn("records", F.from_json("page", T.ArrayType(record))))
+    closer = F.col("records").isNull()
+    if others:
+        closer = closer | F.rlike("page", F.lit(_look_closer(declared)))
+
+    def one(text: Column) -> Column:
+        keys, fields = F.json_object_keys(text), F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
+        r = F.from_json(text, plain)
+        return F.struct(*[r[c].alias(c) for c in declared],
+                        F.map_filter(fields, lambda k, _: ~k.isin(*declared)).alias(_KEYS),
+                        (F.coalesce(F.size(keys), F.lit(0)) > 0).alias(_SOUND),
+                        fields.isNotNull().alias(_WHOLE))  # a key that stands twice leaves no VARIANT
+
+    split = F.transform(F.from_json("page", "array<string>"), one)
+    # whatever is no sound record gives one corrupt row of its text besides those of its records
+    none = F.array(F.lit(None).cast(record))
+    bad = F.exists("split", lambda e: ~e[_SOUND] | ~e[_WHOLE])
+    looked = F.when(F.col("split").isNull(), none).otherwise(F.concat(
+        F.filter("split", lambda e: e[_SOUND]), F.when(bad, none).otherwise(F.slice(none, 1, 0))))
+    found = (parsed.withColumn("closer", closer)
+             .withColumn("split", F.when(F.col("closer"), split))
+             .select(*carry, F.when(F.col("closer"), F.col("value")).alias("value"),
+                     F.explode(F.when(F.col("closer"), looked).otherwise(F.col("records"))).alias("e")))
+    other = F.col("e")[_KEYS]
+    return found.select(
+        *carry, *[F.col("e")[c].alias(c) for c in declared],
+        F.when(F.size(other) > 0, F.to_variant_object(other)).alias("extra"),
+        F.when(F.col("e").isNull(), F.col("value")).alias("corrupt_record"))
+
+
+#: a line that begins with a key stands inside a record that goes over several lines
+_INSIDE_RECORD = rf'^[\s,]*"[^"\\]*+(?:\\.[^"\\]*+)*+"\s*:'
+
+
+def spread_files(lines: DataFrame) -> list[str]:
+    """Files whose records go over several lines (pretty-printed pages), from one cheap pass
+    over the lines. The driver holds their names, as it holds those of all files it reads."""
+    found = lines.where(F.rlike("value", F.lit(_INSIDE_RECORD))).select(file_path().alias("f"))
+    return sorted(r["f"] for r in found.distinct().collect())
+
+
+def file_path() -> Column:
+    """Path of the file that a row is read from (the metadata column holds it as a URI)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def list_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, modified, size) of the files; their contents are not read."""
+    return spark.read.format("binaryFile").load(paths).select(
+        "path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"))
+
+
+def landing_texts(spark: SparkSession, paths: list[str], layout: str = "auto") -> list[tuple[DataFrame, bool]]:
+    """The texts of landing files (column ``value``), and whether they are whole pages."""
+    if layout not in ("auto", "lines", "pages"):
+        raise ValueError(f"unknown layout {layout!r}")
+    if not paths:
+        return []
+    lines = spark.read.text(paths)
+    if layout == "pages":
+        return [(spark.read.text(paths, wholetext=True), True)]
+    spread = spread_files(lines) if layout == "auto" else []
+    if not spread:
+        return [(lines, False)]
+    pages, known = spark.read.text(spread, wholetext=True), set(spread)
+    others = [r["path"] for r in list_files(spark, paths).select("path").collect() if r["path"] not in known]
+    return ([(spark.read.text(others), False)] if others else []) + [(pages, True)]
 
 
 def read_landing(spark: SparkSession, path: str | list[str],
-                 schema: T.StructType = schemas.BRONZE_RAW) -> DataFrame:
-    return parse_records(spark.read.text([path] if isinstance(path, str) else list(path)), schema)
+                 schema: T.StructType = schemas.BRONZE_RAW, layout: str = "auto") -> DataFrame:
+    """Raw record files of any layout. ``layout`` says how texts are cut: ``lines`` (records
+    or arrays on single lines; files are split over tasks), ``pages`` (a file is one page,
+    read by one task) or ``auto``, which reads as pages those files whose records go over
+    several lines."""
+    parts = landing_texts(spark, [path] if isinstance(path, str) else list(path), layout)
+    if not parts:
+        parts = [(spark.createDataFrame([], "value string"), False)]
+    return reduce(DataFrame.unionByName, [parse_records(t, schema, pages) for t, pages in parts])
 
 
 def profile(raw: DataFrame) -> DataFrame:
@@ -97,9 +182,69 @@ def bronze_columns(raw: DataFrame, year_from: int | None = None,
 
 
 def ingest(spark: SparkSession, landing: str | list[str], year_from: int | None = None,
-           run_ts: Column | str | None = None, source: str = "landing") -> DataFrame:
-    """Landing JSON -> bronze DataFrame (raw text columns + lineage + other keys)."""
-    return bronze_columns(read_landing(spark, landing), year_from, run_ts, source)
+           run_ts: Column | str | None = None, source: str = "landing",
+           layout: str = "auto", index: str | None = None) -> DataFrame:
+    """Landing JSON -> bronze DataFrame (raw text columns + lineage + other keys). With the
+    path of a skip ``index`` (see ``update_index``) files that end before ``year_from`` are
+    not read."""
+    paths = [landing] if isinstance(landing, str) else list(landing)
+    if index is not None and year_from is not None:
+        paths = files_since(spark, paths, index, year_from)
+    return bronze_columns(read_landing(spark, paths, layout=layout), year_from, run_ts, source)
+
+
+# --- skip index of landing files ------------------------------------------------------
+INDEX = T.StructType([T.StructField(n, t) for n, t in (
+    ("path", T.StringType()), ("modified", T.TimestampType()), ("size", T.LongType()),
+    ("first_date", T.StringType()), ("last_date", T.StringType()), ("records", T.LongType()),
+    ("corrupt", T.LongType()))])
+
+
+def zones(spark: SparkSession, paths: list[str], layout: str = "auto") -> DataFrame:
+    """(path, first_date, last_date, records, corrupt): the range of ``date_occ`` in each
+    file, as text. Files without a line have no row."""
+    date = T.StructType([T.StructField("date_occ", T.StringType())])
+    parts = [parse_records(t.select("value", file_path().alias("path")), date, pages, others=False, carry=["path"])
+             for t, pages in landing_texts(spark, paths, layout)]
+    corrupt = F.col("corrupt_record").isNotNull()
+    return reduce(DataFrame.unionByName, parts).groupBy("path").agg(
+        F.min("date_occ").alias("first_date"), F.max("date_occ").alias("last_date"),
+        F.count_if(~corrupt).alias("records"), F.count_if(corrupt).alias("corrupt"))
+
+
+def read_index(spark: SparkSession, index: str) -> DataFrame:
+    found = versions(spark, index)
+    return (read_version(spark, f"{index}/{found[-1]}", INDEX) if found
+            else spark.createDataFrame([], INDEX))
+
+
+_SAME_FILE = ["path", "modified", "size"]
+
+
+def update_index(spark: SparkSession, landing: str | list[str], index: str, layout: str = "auto") -> DataFrame:
+    """Brings the skip index (a table with a row per file) up to the files of a landing
+    folder: only new and changed files are parsed. Returns the index."""
+    there = list_files(spark, [landing] if isinstance(landing, str) else list(landing))
+    old = read_index(spark, index)
+    new = [r["path"] for r in there.join(old, _SAME_FILE, "left_anti").select("path").collect()]
+    rows = old.join(there, _SAME_FILE, "left_semi")
+    if new:
+        zone = zones(spark, new, layout).join(there, "path", "right").where(F.col("path").isin(new))
+        rows = rows.unionByName(zone.select(*[
+            F.coalesce(c, F.lit(0)).alias(c) if c in ("records", "corrupt") else F.col(c) for c in INDEX.fieldNames()]))
+    root, layer, table = index.rstrip("/").rsplit("/", 2)
+    write_layer(rows, root, layer, table)
+    return read_index(spark, index)
+
+
+def files_since(spark: SparkSession, landing: list[str], index: str, year_from: int) -> list[str]:
+    """Files that may hold a record since the year: those whose last date reaches it, and all
+    that the index does not know as they are now."""
+    bound = f"{int(year_from):04d}-01-01T00:00:00"
+    known = read_index(spark, index).select(*_SAME_FILE, "last_date", F.lit(True).alias("known"))
+    kept = (list_files(spark, landing).join(known, _SAME_FILE, "left")
+            .where(F.col("known").isNull() | (F.col("last_date") >= bound)))
+    return sorted(r["path"] for r in kept.select("path").collect())
 
 
 def write_landing(df: DataFrame, path: str) -> None:

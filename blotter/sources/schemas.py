@@ -13,7 +13,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 
 # Raw record keys as landed (all text). Keys missing from a record load as null,
-# keys not listed here are kept in the map ``extra``.
+# keys not listed here are kept in the VARIANT ``extra``.
 BRONZE_RAW_COLUMNS = [
     "dr_no", "date_rptd", "date_occ", "time_occ", "area", "area_name", "rpt_dist_no",
     "part_1_2", "crm_cd", "crm_cd_desc", "vict_age", "vict_sex", "vict_descent",
@@ -24,7 +24,7 @@ BRONZE_RAW = _struct(*[(c, S) for c in BRONZE_RAW_COLUMNS])
 # Bronze = raw + lineage columns + every other key of the record.
 BRONZE = _struct(*[(c, S) for c in BRONZE_RAW_COLUMNS],
                  ("ingest_date", DATE), ("processing_datetime", TS), ("data_source", S),
-                 ("extra", T.MapType(S, S)))
+                 ("extra", T.VariantType()))
 
 # Occurrence dates/times are local wall-clock values (TIMESTAMP_NTZ); the
 # processing time is an instant (TIMESTAMP).

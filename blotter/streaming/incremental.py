@@ -23,11 +23,12 @@ from ..sources import landing
 
 def silver_stream(spark: SparkSession, landing_dir: str, year_from: int | None = None,
                   run_ts: Column | str | None = None,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream
+                  max_files_per_trigger: int | None = None, pages: bool = False) -> DataFrame:
+    """``pages`` reads each file as one page, for records that go over several lines."""
+    reader = spark.readStream.option("wholetext", str(pages).lower())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(int(max_files_per_trigger)))
-    raw = landing.parse_records(reader.text(landing_dir))
+    raw = landing.parse_records(reader.text(landing_dir), pages=pages)
     return clean.silver(landing.bronze_columns(raw, year_from, run_ts))
 
 
