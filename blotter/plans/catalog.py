@@ -24,7 +24,8 @@ from ..operators import anomaly, areas, clean, explore, marts, metrics, model, q
 from ..operators.filters import Filters, default_period
 from ..sources import adapter, landing, schemas
 from . import oracle as O
-from .refresh import DIM_AREA, layers
+from . import upsert
+from .refresh import BRONZE, DIM_AREA, FACT, layers, upserted
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,30 +79,30 @@ def _sql_where(f: Filters) -> str:
 
 # A version of a layer never changes, so a reader of its path (and its file listing) can be
 # used again; the oldest are dropped.
-_READERS: dict[tuple[int, str], DataFrame] = {}
+_READERS: dict[tuple, DataFrame] = {}
 
 
-def _read(spark: SparkSession, sf_dir: str, layer: str, table: str, schema=None) -> DataFrame:
-    path = landing.current(spark, layers(spark, sf_dir).root, layer, table)
-    key = (id(spark), path)
+def _read(spark: SparkSession, sf_dir: str, table: str, schema=None) -> DataFrame:
+    found = layers(spark, sf_dir).now(spark)
+    key = (id(spark), *found.paths(table))
     if key not in _READERS:
         while len(_READERS) >= 32:
             _READERS.pop(next(iter(_READERS)))
-        _READERS[key] = landing.read_version(spark, path, schema)
+        _READERS[key] = found.read(spark, table, schema)
     return _READERS[key]
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The written bronze layer (derived from the star schema by the ingest step)."""
-    return _read(spark, sf_dir, "bronze", "crime", schemas.BRONZE)
+    return _read(spark, sf_dir, BRONZE, schemas.BRONZE)
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "gold", "fact_crime_incidents", schemas.GOLD)
+    return _read(spark, sf_dir, FACT, schemas.GOLD)
 
 
 def mart(spark: SparkSession, sf_dir: str, name: str = "mart_crime_daily_area") -> DataFrame:
-    return _read(spark, sf_dir, "gold", name)
+    return _read(spark, sf_dir, f"gold/{name}")
 
 
 # === sources and layers ========================================================
@@ -846,7 +847,7 @@ dim_area_geo AS (
 
 
 def _dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "gold", DIM_AREA, schemas.DIM_AREA_GEO)
+    return _read(spark, sf_dir, f"gold/{DIM_AREA}", schemas.DIM_AREA_GEO)
 
 
 @register("dim_area_geo", O.with_prefix("SELECT * FROM dim_area_geo", _geo_sql()))
@@ -912,3 +913,40 @@ ORDERS: dict[str, tuple[str, ...]] = {
     "top_premises": ("-incidents", "premise_description"),
     "anomaly_by_dom": ("day_of_month",),
 }
+
+
+# === incremental refresh ===========================================================
+# the fact and marts after three batches: records, changed records, late and tied versions
+
+@register("fact_after_batches", O.with_batches("SELECT * FROM fact"))
+def q_fact_after_batches(spark, sf_dir):
+    return upsert.fact(spark, upserted(spark, sf_dir))
+
+
+@register("daily_mart_after_batches", O.with_batches("SELECT * FROM mart_daily_area"))
+def q_daily_mart_after_batches(spark, sf_dir):
+    return upserted(spark, sf_dir).read(spark, "gold/mart_crime_daily_area")
+
+
+@register("monthly_mart_after_batches", O.with_batches("""
+SELECT area_id, area_name, CAST(year(occurrence_date) AS INTEGER) AS year,
+  CAST(month(occurrence_date) AS INTEGER) AS month, count(*) AS crime_count,
+  CAST(sum(CASE WHEN is_violent THEN 1 ELSE 0 END) AS BIGINT) AS violent_count,
+  avg(reporting_delay_days) AS avg_reporting_delay_days,
+  quantile_cont(reporting_delay_days, 0.5) AS median_reporting_delay_days,
+  CAST(sum(CASE WHEN is_violent THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS violent_share
+FROM fact GROUP BY ALL"""))
+def q_monthly_mart_after_batches(spark, sf_dir):
+    return upserted(spark, sf_dir).read(spark, "gold/mart_crime_monthly_area")
+
+
+@register("period_median_delay", O.with_batches(f"""
+SELECT area_id, crime_category, count(*) AS crime_count,
+  avg(reporting_delay_days) AS avg_reporting_delay_days,
+  quantile_cont(reporting_delay_days, 0.5) AS median_reporting_delay_days
+FROM fact WHERE occurrence_date BETWEEN DATE '{PERIOD[0]}' AND DATE '{PERIOD[1]}'
+GROUP BY area_id, crime_category"""))
+def q_period_median_delay(spark, sf_dir):
+    """Exact medians of a period from the counted delays of the marts' state."""
+    state = upserted(spark, sf_dir).read(spark, upsert.STATE)
+    return upsert.period_median(state, *PERIOD, ["area_id", "crime_category"])

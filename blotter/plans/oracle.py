@@ -187,3 +187,24 @@ def with_prefix(tail: str, extra_ctes: str = "") -> str:
     """``WITH <shared prefix>[, extra CTEs] <tail>``."""
     ctes = PREFIX + ("," + extra_ctes if extra_ctes.strip() else "")
     return f"WITH {ctes}\n{tail}"
+
+
+#: the bronze layer and the batches that follow it (``adapter.later_batches``)
+_OKEY = "cast(split_part(dr_no, '-', 1) AS BIGINT)"
+BATCHES = BRONZE.replace("bronze AS (", "base AS (", 1) + f""",
+bronze AS (
+ SELECT * FROM base
+ UNION ALL SELECT * REPLACE (processing_datetime + INTERVAL 10 DAY AS processing_datetime, '1' AS part_1_2,
+   {_pad(f'cast({_OKEY} % 21 AS VARCHAR)', 2)} AS area,
+   substr(date_occ, 1, 8) || '15T00:00:00.000' AS date_occ,
+   '34.5' AS lat, '-118.25' AS lon)
+  FROM base WHERE {_OKEY} % 7 = 0
+ UNION ALL SELECT * REPLACE (processing_datetime - INTERVAL 10 DAY AS processing_datetime, 'LATE' AS crm_cd_desc,
+   '34.5' AS lat, '-118.25' AS lon) FROM base WHERE {_OKEY} % 11 = 0
+ UNION ALL SELECT * REPLACE ('AXE' AS weapon_desc, '05' AS area) FROM base WHERE {_OKEY} % 13 = 0
+)"""
+
+
+def with_batches(tail: str) -> str:
+    """As ``with_prefix``, over the bronze layer and all batches."""
+    return f"WITH {','.join([BATCHES, SILVER, GOLD, MART_DAILY])}\n{tail}"

@@ -15,42 +15,61 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import clean, marts, model, quality
 from ..session import SETTINGS, app_id, shared_dir
-from ..sources import adapter, files, geojson, landing, schemas
+from ..sources import adapter, files, geojson, landing, schemas, snapshots
+from ..sources.snapshots import Snapshot, Transaction
+from . import upsert
 
 FACT_PARTITIONS = ["year"]
 DIM_AREA = "dim_area_geo"
 
 
+BRONZE, SILVER, FACT = "bronze/crime", "silver/crime", "gold/fact_crime_incidents"
+
+
 @dataclass(frozen=True)
 class Layers:
+    """The tables under a root, as of the newest commit; or, once ``pinned``, of one commit
+    whatever is written later."""
+
     root: str
+    snapshot: Snapshot | None = None
+
+    def pinned(self, spark: SparkSession) -> Layers:
+        return Layers(self.root, snapshots.newest(spark, self.root))
+
+    def now(self, spark: SparkSession) -> Snapshot:
+        return self.snapshot or snapshots.newest(spark, self.root)
+
+    def read(self, spark: SparkSession, table: str, schema=None) -> DataFrame:
+        return self.now(spark).read(spark, table, schema)
 
     def fact(self, spark: SparkSession) -> DataFrame:
-        return landing.read_layer(spark, self.root, "gold", "fact_crime_incidents", schemas.GOLD)
+        return self.read(spark, FACT, schemas.GOLD)
 
     def dim_area_geo(self, spark: SparkSession) -> DataFrame:
-        return landing.read_layer(spark, self.root, "gold", DIM_AREA, schemas.DIM_AREA_GEO)
+        return self.read(spark, f"gold/{DIM_AREA}", schemas.DIM_AREA_GEO)
 
     def mart_daily_area(self, spark: SparkSession) -> DataFrame:
-        return landing.read_layer(spark, self.root, "gold", "mart_crime_daily_area")
+        return self.read(spark, "gold/mart_crime_daily_area")
 
     def mart(self, spark: SparkSession, name: str) -> DataFrame:
         """A mart written by ``refresh`` (one of ``marts.MARTS``)."""
         if name not in marts.MARTS:
             raise KeyError(f"unknown mart {name!r}; one of {sorted(marts.MARTS)}")
-        return landing.read_layer(spark, self.root, "gold", name)
+        return self.read(spark, f"gold/{name}")
 
     def bronze(self, spark: SparkSession) -> DataFrame:
-        return landing.read_layer(spark, self.root, "bronze", "crime", schemas.BRONZE)
+        return self.read(spark, BRONZE, schemas.BRONZE)
 
     def silver(self, spark: SparkSession) -> DataFrame:
-        return landing.read_layer(spark, self.root, "silver", "crime", schemas.SILVER)
+        return self.read(spark, SILVER, schemas.SILVER)
 
     @property
     def landing_dir(self) -> str:
@@ -65,7 +84,7 @@ class Layers:
         return f"{self.root}/landing/areas"
 
 
-def write_fact(fact: DataFrame, root: str) -> str:
+def write_fact(t: Transaction, fact: DataFrame) -> None:
     """Gold fact, partitioned by year and date-ordered inside each file.
 
     The ``rebalance`` hint lets AQE cut each year into files of the advisory size
@@ -76,8 +95,7 @@ def write_fact(fact: DataFrame, root: str) -> str:
     aqe = fact.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
     # without AQE the hint would be a plain hash on year (one task per year): skip it
     out = fact.hint("rebalance", *FACT_PARTITIONS) if aqe else fact
-    return landing.write_layer(out, root, "gold", "fact_crime_incidents",
-                               partition_by=FACT_PARTITIONS, sort_within=["occurrence_date"])
+    t.write(out, FACT, partition_by=FACT_PARTITIONS, sort_within=["occurrence_date"])
 
 
 class CheckFailed(RuntimeError):
@@ -96,34 +114,33 @@ def check_fact(fact: DataFrame) -> dict[str, int]:
     return counts
 
 
-def write_marts(fact: DataFrame, root: str) -> None:
-    for name, build in marts.MARTS.items():
-        landing.write_layer(build(fact), root, "gold", name)
-
-
-def write_dim_area(spark: SparkSession, areas: str | list[str], root: str, multi_line: bool = True) -> None:
+def write_dim_area(t: Transaction, areas: str | list[str], multi_line: bool = True) -> None:
     """The area dimension from GeoJSON files."""
-    feats = geojson.read_area_features(spark, areas, multi_line)
-    landing.write_layer(geojson.dim_area_geo(feats), root, "gold", DIM_AREA)
+    feats = geojson.read_area_features(t.spark, areas, multi_line)
+    t.write(geojson.dim_area_geo(feats), f"gold/{DIM_AREA}")
 
 
 def refresh(spark: SparkSession, bronze: DataFrame, root: str, write_bronze: bool = True,
-            areas: str | list[str] | None = None, checks: bool = True) -> Layers:
+            areas: str | list[str] | None = None, checks: bool = True, grace: float = snapshots.GRACE,
+            areas_multi_line: bool = True) -> Layers:
     """The full batch: every layer, all five marts and, given polygon files, the area
-    dimension are written under ``root``; the fact is checked before the marts are built."""
-    out = Layers(root)
-    if write_bronze:
-        landing.write_layer(bronze, root, "bronze", "crime", evolve=True)
-        bronze = out.bronze(spark)
-    landing.write_layer(clean.silver(bronze), root, "silver", "crime")
-    write_fact(model.gold(out.silver(spark)), root)
-    fact = out.fact(spark)
-    if checks:
-        check_fact(fact)
-    write_marts(fact, root)
-    if areas is not None:
-        write_dim_area(spark, areas, root)
-    return out
+    dimension are written under ``root`` and committed together once the fact has passed its
+    checks. Readers see the tables of the commit before until then, and if a step fails."""
+    with Transaction(spark, root) as t:
+        if write_bronze:
+            t.write(bronze, BRONZE, evolve=True)
+            bronze = t.read(BRONZE, schemas.BRONZE)
+        t.write(clean.silver(bronze), SILVER)
+        write_fact(t, model.gold(t.read(SILVER, schemas.SILVER)))
+        fact = t.read(FACT, schemas.GOLD)
+        if checks:
+            t.notes["checks"] = check_fact(fact)
+        for name, build in marts.MARTS.items():
+            t.write(build(fact), f"gold/{name}")
+        if areas is not None:
+            write_dim_area(t, areas, areas_multi_line)
+    snapshots.vacuum(spark, root, grace=grace)
+    return Layers(root.rstrip("/"))
 
 
 # (application, input folder) -> (state of the input files, layers)
@@ -158,25 +175,46 @@ def remember(spark: SparkSession, sf_dir: str, out: Layers) -> None:
 
 def build_core(spark: SparkSession, sf_dir: str, root: str) -> Layers:
     """Bronze, the gold fact and the daily mart: the shortest way to a dashboard."""
-    out = Layers(root)
-    landing.write_layer(adapter.bronze_from_star(spark, sf_dir), root, "bronze", "crime")
-    write_fact(model.gold(clean.silver(out.bronze(spark))), root)
-    landing.write_layer(marts.mart_daily_area(out.fact(spark)), root, "gold", "mart_crime_daily_area")
-    return out
+    with Transaction(spark, root) as t:
+        t.write(adapter.bronze_from_star(spark, sf_dir), BRONZE)
+        write_fact(t, model.gold(clean.silver(t.read(BRONZE, schemas.BRONZE))))
+        t.write(marts.mart_daily_area(t.read(FACT, schemas.GOLD)), "gold/mart_crime_daily_area")
+    snapshots.vacuum(spark, root, grace=0)
+    return Layers(root)
 
 
 def build_layers(spark: SparkSession, sf_dir: str, root: str) -> Layers:
     """The whole batch for one input folder: raw landing files and polygon files derived
     from the star schema, then every layer and mart."""
     out = Layers(root)
-    landing.write_layer(adapter.bronze_from_star(spark, sf_dir), root, "bronze", "crime")
-    refresh(spark, out.bronze(spark), root, write_bronze=False)
+    with Transaction(spark, root) as t:
+        t.write(adapter.bronze_from_star(spark, sf_dir), BRONZE)
+    refresh(spark, out.bronze(spark), root, write_bronze=False, grace=0)
     landing_files(spark, out)
     area_files(spark, out)
-    write_dim_area(spark, out.areas_dir, root, multi_line=False)
+    with Transaction(spark, root) as t:
+        write_dim_area(t, out.areas_dir, multi_line=False)
     return out
 
 
+# (application, input folder) -> (state of the input files, snapshot)
+_UPSERTED: dict[tuple[str, str], tuple[str, Snapshot]] = {}
+
+
+def upserted(spark: SparkSession, sf_dir: str) -> Snapshot:
+    """The fact and marts after the bronze layer and the batches that follow it have been
+    merged one by one; built when first asked for, and again after the inputs have changed."""
+    bronze = layers(spark, sf_dir).bronze(spark)
+    key, state = (app_id(spark), sf_dir.rstrip("/")), _source_state(spark, sf_dir)
+    with _LOCK:
+        if _UPSERTED.get(key, ("",))[0] != state:
+            root = f"{layers_root(spark, sf_dir)}-batches/{uuid.uuid4().hex}"
+            for batch in [bronze, *adapter.later_batches(bronze)]:
+                done = upsert.apply_batch(spark, batch, root, buckets=16)
+            _UPSERTED[key] = state, done
+        return _UPSERTED[key][1]
+
+
 def landing_files(spark: SparkSession, out: Layers) -> str:
     """Raw JSON page files of all layouts, derived from the bronze layer, and their skip index."""
     mode = "overwrite"

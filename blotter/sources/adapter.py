@@ -154,6 +154,20 @@ def landing_files(bronze: DataFrame) -> list[tuple[DataFrame, bool]]:
     return [(ends, False), (starts, False), (one, False), (pages, True)]
 
 
+def later_batches(bronze: DataFrame) -> list[DataFrame]:
+    """Batches that follow the bronze layer: changed records and, in a second one, late (older)
+    versions and versions of equal time. Records that the first run dropped get coordinates."""
+    when = lambda days: F.col("processing_datetime") + F.make_dt_interval(F.lit(days))
+    changed = bronze.where(_okey() % 7 == 0).withColumns({
+        "processing_datetime": when(10), "part_1_2": F.lit("1"), "area": _lpad(_okey() % 21, 2),
+        "date_occ": F.concat(F.substring("date_occ", 1, 8), F.lit("15T00:00:00.000")),
+        "lat": F.lit("34.5"), "lon": F.lit("-118.25")})
+    late = bronze.where(_okey() % 11 == 0).withColumns({
+        "processing_datetime": when(-10), "crm_cd_desc": F.lit("LATE"), "lat": F.lit("34.5"), "lon": F.lit("-118.25")})
+    tied = bronze.where(_okey() % 13 == 0).withColumns({"weapon_desc": F.lit("AXE"), "area": F.lit("05")})
+    return [changed, late.unionByName(tied)]
+
+
 # --- area polygons ----------------------------------------------------------------
 # Area keys with a special feature in the derived collections.
 NULL_PREC_AREA = 23

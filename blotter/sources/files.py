@@ -1,9 +1,11 @@
-"""Listing and removing files through Hadoop's file systems (any store Spark reads)."""
+"""Listing, reading, putting and removing files through Hadoop's file systems (any store Spark reads)."""
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -37,3 +39,35 @@ def state(spark: SparkSession, paths: list[str]) -> str:
         for s in sorted(fs.listStatus(p), key=lambda s: s.getPath().getName()) if fs.exists(p) else []:
             h.update(f"{s.getPath()} {s.getLen()} {s.getModificationTime()}\n".encode())
     return h.hexdigest()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    fs, p = _at(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Puts a small file in place as a whole; False if there is a file already."""
+    fs, p = _at(spark, path)
+    if fs.exists(p):
+        return False
+    draft = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}")
+    stream = fs.create(draft)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(fs.makeQualified(draft), fs.makeQualified(p), options)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" not in e.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        fs.delete(draft, False)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from blotter.operators import clean, explore, marts, model
 from blotter.plans import refresh as R
-from blotter.sources import adapter, geojson, landing, schemas
+from blotter.sources import adapter, geojson, landing, schemas, snapshots
 from blotter.streaming import incremental
 from conftest import scratch
 
@@ -29,7 +29,7 @@ def test_refresh_writes_every_layer(spark, built):
     for name, build in marts.MARTS.items():
         written = out.mart(spark, name)
         assert _same(written.select(*build(fact).columns), build(fact))
-    daily = spark.read.parquet(landing.current(spark, root, "gold", "mart_crime_daily_area"))
+    daily = out.mart_daily_area(spark)
     assert daily.agg(F.sum("crime_count")).first()[0] == fact.count()
 
 
@@ -155,7 +155,8 @@ def test_fact_write_rebalances_only_with_aqe(spark, sf_small):
         for aqe in ["true", "false"]:
             spark.conf.set("spark.sql.adaptive.enabled", aqe)
             root = scratch(spark, "blotter-rebal-")
-            R.write_fact(gold, root)
+            with snapshots.Transaction(spark, root) as t:
+                R.write_fact(t, gold)
             assert _same(R.Layers(root).fact(spark), gold.select(*schemas.GOLD_COLUMNS))
             years = glob.glob(f"{root}/gold/fact_crime_incidents/v*/year=*")
             files[aqe] = len(glob.glob(f"{root}/gold/fact_crime_incidents/v*/year=*/*.parquet")) / len(years)
