@@ -84,18 +84,21 @@ class Layers:
         return f"{self.root}/landing/areas"
 
 
-def write_fact(t: Transaction, fact: DataFrame) -> None:
+def write_fact(t: Transaction, fact: DataFrame) -> dict[str, int]:
     """Gold fact, partitioned by year and date-ordered inside each file.
 
     The ``rebalance`` hint lets AQE cut each year into files of the advisory size
     (splitting a hot year across tasks, merging small ones) instead of every
     post-dedup task writing one small file per year: at scale that is millions of
-    small files less for every dashboard query to list and open.
+    small files less for every dashboard query to list and open. Returns the quality counts,
+    taken as the rows are written.
     """
     aqe = fact.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
     # without AQE the hint would be a plain hash on year (one task per year): skip it
     out = fact.hint("rebalance", *FACT_PARTITIONS) if aqe else fact
+    out, seen = quality.observed_fact(out)
     t.write(out, FACT, partition_by=FACT_PARTITIONS, sort_within=["occurrence_date"])
+    return seen.get
 
 
 class CheckFailed(RuntimeError):
@@ -103,7 +106,7 @@ class CheckFailed(RuntimeError):
 
 
 def check_fact(fact: DataFrame) -> dict[str, int]:
-    """The refresh's own quality checks: ids are unique; null and coordinate counts are
+    """The fact's quality checks in full: ids are unique; null and coordinate counts are
     reported. One pass for the counts, one for the ids."""
     counts = {**quality.gold_counts(fact).first().asDict(),
               **{f"null_{k}": v for k, v in quality.null_profile(fact).first().asDict().items()},
@@ -130,10 +133,12 @@ def refresh(spark: SparkSession, bronze: DataFrame, root: str, write_bronze: boo
         if write_bronze:
             t.write(bronze, BRONZE, evolve=True)
             bronze = t.read(BRONZE, schemas.BRONZE)
-        t.write(clean.silver(bronze), SILVER)
-        write_fact(t, model.gold(t.read(SILVER, schemas.SILVER)))
+        typed, seen = quality.observed_silver(clean.typed(bronze))
+        t.write(clean.silver_from_typed(typed), SILVER)
+        counts = write_fact(t, model.gold(t.read(SILVER, schemas.SILVER)))
         fact = t.read(FACT, schemas.GOLD)
-        if checks:
+        t.notes.update(silver=seen.get, fact=counts)
+        if checks and quality.sketch_doubts(counts):
             t.notes["checks"] = check_fact(fact)
         for name, build in marts.MARTS.items():
             t.write(build(fact), f"gold/{name}")

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from blotter.operators import clean, explore, marts, model
+from blotter.operators import clean, explore, marts, model, quality
 from blotter.plans import refresh as R
 from blotter.sources import adapter, geojson, landing, schemas, snapshots
 from blotter.streaming import incremental
@@ -33,6 +33,22 @@ def test_refresh_writes_every_layer(spark, built):
     assert daily.agg(F.sum("crime_count")).first()[0] == fact.count()
 
 
+def test_checks_are_counted_as_layers_are_written(spark, sf_small, built):
+    out, root = built
+    notes, fact = out.now(spark).notes, out.fact(spark)
+    full = R.check_fact(fact)
+    assert {k: v for k, v in notes["fact"].items() if k != "dr_no_sketch"} == {
+        k: v for k, v in full.items() if k not in ("distinct_dr_no", "columns")}
+    want = quality.silver_checks(out.bronze(spark)).first().asDict()
+    assert want.pop("rows_dropped_geo") == want["rows_before_geo"] - want["rows_after_geo"]
+    assert notes["silver"] == want and "checks" not in notes
+    assert not quality.sketch_doubts(notes["fact"])
+    assert quality.sketch_doubts({**notes["fact"], "dr_no_sketch": int(full["rows"] * 0.9)})
+    twice, seen = quality.observed_fact(fact.unionByName(fact))
+    twice.write.format("noop").mode("overwrite").save()
+    assert quality.sketch_doubts(seen.get)
+
+
 def test_refresh_is_idempotent(spark, sf_small, built):
     out, root = built
     before = out.fact(spark).collect()
