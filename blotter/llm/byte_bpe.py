@@ -19,7 +19,12 @@ _RARE = re.compile("[" + "".join(map(chr, [0x0B, 0x0C, *range(0x1C, 0x20), 0x85,
                                              *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
                                              0x205F, 0x3000])) + "]")
 _PAIRS = ("  ", " \n", "\n ", "\n\n", "\t", "\r")
-_SAFE = re.compile(r"(?<=\S) (?=\S)")
+SAFE = re.compile(r"(?<=\S) (?=\S)")
+
+#: byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow 255
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_ALPHABET = {b: b for b in _PRINTED} | {
+    b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 
 MEMORY = 400_000
 #: parts longer than this are not remembered
@@ -39,7 +44,7 @@ def parts(text: str) -> list[str]:
     space and is a token of its own."""
     if (text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or any(p in text for p in _PAIRS)
             or _RARE.search(text)):
-        return _SAFE.split(text)
+        return SAFE.split(text)
     return text.replace("\n", " \n").split(" ")
 
 

@@ -23,30 +23,29 @@ ignored, whatever their names.
 
 from __future__ import annotations
 
-import os
-import re
-import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import byte_bpe
+from . import byte_bpe, word_bpe
 
 END_ID = 2
-NEWLINE = "\n"
-#: Latin letters and the ASCII marks after them: the marks are a word of their own
-PLAIN = re.compile("(\n?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
-#: byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow 255
-_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-BYTE_ALPHABET = {b: b for b in _PRINTED} | {
-    b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
-#: texts that are decoded at once
-ROWS = 1024
+#: separates the parts of a text; texts that hold it are not cut
+_CUT = "\x01"
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: white space that is more than single spaces and line feeds between other characters
+_ODD = ("^[ \n]|[ \n]$|[ \n][ \n]|[\t\x0b\x0c\r\x01\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a"
+        "\u2028\u2029\u202f\u205f\u3000]")
+#: marks that are a word of their own between letters or digits and those, a space or a line feed
+_MARKS = (".", ",")
+_CROWDED = f"(?:^|[^0-9{_LETTERS}])[.,]|[.,][^ \n0-9{_LETTERS}]"
+_PLAIN = f"^ ?[{_LETTERS}]+$"
 ROW_GROUP, PAGE = 32 << 20, 64 << 10
 LAYOUT = {
     "parquet.writer.version": "v2",
@@ -59,65 +58,54 @@ LAYOUT = {
     "compression": "snappy",
 }
 
-_ENCODERS: dict[str, byte_bpe.ByParts] = {}
+_ENCODERS: dict[str, "Encoder"] = {}
 
 
-def encoder(path: str) -> byte_bpe.ByParts:
-    """Little-endian 32-bit ids of texts, by the tokenizers library (one per process)."""
+class Encoder(word_bpe.PartEncoder):
+    """Little-endian 32-bit ids by a byte-level vocabulary file. Its pre-tokenizer never joins
+    what stands before and after a single space or line feed between two other characters (a space
+    starts the next word, a line feed is a word), so texts are cut there."""
+
+    safe = byte_bpe.SAFE
+
+    def __init__(self, path: str):
+        super().__init__(path, "<u4")
+        self.alphabet = {**byte_bpe.BYTE_ALPHABET, 0: 0x20}
+
+    def _cut(self, texts: pa.Array) -> pa.ListArray:
+        odd = pc.match_substring_regex(texts, _ODD)
+        apart = texts
+        for m in _MARKS:
+            apart = pc.replace_substring(apart, m, _CUT + m)
+        even = pc.if_else(pc.match_substring_regex(texts, _CROWDED), texts, apart).filter(pc.invert(odd))
+        even = pc.replace_substring(pc.replace_substring(even, "\n", _CUT + "\n" + _CUT), " ", _CUT + " ")
+        cut = pc.split_pattern(even, _CUT)
+        if len(even) == len(texts):
+            return cut
+        rest = [[t] if _CUT in t else (_CUT + " ").join(byte_bpe.SAFE.split(t)).split(_CUT)
+                for t in texts.filter(odd).to_pylist()]
+        is_odd, place = odd.to_numpy(zero_copy_only=False), np.empty(len(texts), np.int64)
+        place[~is_odd], place[is_odd] = np.arange(len(even)), np.arange(len(even), len(texts))
+        return pa.concat_arrays([cut, pa.array(rest, cut.type)]).take(pa.array(place))
+
+    def _plain(self, parts: pa.Array) -> pa.Array:
+        return pc.match_substring_regex(parts, _PLAIN)
+
+    def _word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        line = "\0".join(words).encode().decode("latin-1").translate(self.alphabet)
+        got = self.model.encode(line, add_special_tokens=False)
+        return np.array(got.ids, self.dtype), np.bincount(np.array(got.word_ids), minlength=len(words))
+
+    def of_texts(self, texts: list[str]) -> Iterator[list[bytes]]:
+        """The ids of every text, as a list of one or more runs."""
+        for ids, ends in self(pa.array(texts, pa.string())):
+            yield from ([x.tobytes()] for x in np.split(ids, ends[:-1]))
+
+
+def encoder(path: str) -> Encoder:
+    """One encoder per process and vocabulary file."""
     if path not in _ENCODERS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        (newline,) = tokenizer.encode(NEWLINE, add_special_tokens=False).ids
-
-        new_line = np.array([newline], "<u4").tobytes()
-        marks: dict[str, bytes] = {}
-
-        def whole(texts: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes()
-                    for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-        def lines(texts: list[str]) -> list[bytes]:
-            """Texts without white space inside, in one call: each on a line of its own."""
-            flat = np.array(tokenizer.encode(NEWLINE.join([*texts, ""]),
-                                             add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(flat == newline)
-            starts, raw = np.concatenate([[0], ends[:-1] + 1]), flat.tobytes()
-            return [raw[4 * a:4 * z] for a, z in zip(starts.tolist(), ends.tolist())]
-
-        def word(text: str) -> bytes:
-            """A word of Latin letters is one word to the model."""
-            got = tokenizer.model.tokenize(text.encode().decode("latin-1").translate(BYTE_ALPHABET))
-            return struct.pack(f"<{len(got)}I", *[t.id for t in got])
-
-        def after(text: str) -> bytes:
-            if text not in marks:
-                if len(marks) > byte_bpe.MEMORY:
-                    marks.clear()
-                marks[text] = whole([text])[0]
-            return marks[text]
-
-        def ids(parts: list[str], lead: str, known) -> list[bytes]:
-            out: list[bytes | None] = []
-            rest: list[str] = []
-            for p in parts:
-                plain = PLAIN.fullmatch(p)
-                if not plain:
-                    rest.append(p)
-                    out.append(None)
-                    continue
-                feed, letters, end = plain.groups()
-                v = word(letters if feed else lead + letters) if feed or not end else (
-                    known(letters) or word(lead + letters))
-                out.append((new_line if feed else b"") + v + (after(end) if end else b""))
-            one = [p for p in rest if "|" not in p and p[:1] != NEWLINE and byte_bpe.one_line(lead + p)]
-            done = dict(zip(one, lines([lead + p for p in one]))) if one else {}
-            odd = [p for p in rest if p not in done]
-            done.update(zip(odd, whole([p if p[:1] == NEWLINE else lead + p for p in odd])))
-            return [done[p] if v is None else v for p, v in zip(parts, out)]
-
-        _ENCODERS[path] = byte_bpe.ByParts(ids)
+        _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
 
@@ -129,21 +117,21 @@ def tokenized(docs: DataFrame, vocabulary: str) -> DataFrame:
     schema = T.StructType([d.schema["doc_id"], T.StructField("first", T.LongType()),
                            T.StructField("n_tokens", T.LongType()),
                            T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, place = encoder(vocabulary), 0
         for b in batches:
-            rows = [b"".join([*p, end]) for i in range(0, b.num_rows, ROWS)
-                    for p in encode(byte_bpe.texts_of(b.column(1).slice(i, ROWS)))]
-            n = np.array([len(r) // 4 for r in rows], np.int64)
-            offsets = np.concatenate([[0], np.cumsum(n)])
-            ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)),
-                                           pa.array(np.frombuffer(b"".join(rows), "<i4")))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(place + offsets[:-1]), pa.array(n), ids],
-                names=["doc_id", "first", "n_tokens", "ids"])
-            place += int(offsets[-1])
+            done = 0
+            for ids, ends in encode(b.column(1).cast(pa.string())):
+                ends = ends + np.arange(1, len(ends) + 1)
+                rows = np.insert(ids, ends - np.arange(1, len(ends) + 1), END_ID).astype("<i4")
+                offsets = np.concatenate([[0], ends])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(done, len(ends)), pa.array(place + offsets[:-1]), pa.array(np.diff(offsets)),
+                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(rows))],
+                    names=["doc_id", "first", "n_tokens", "ids"])
+                done += len(ends)
+                place += int(offsets[-1])
 
     return ordered.select("doc_id", "text").mapInArrow(run, schema)
 

@@ -1,23 +1,26 @@
-"""Whole texts through a word BPE vocabulary file, word by word.
+"""Whole texts through a BPE vocabulary file, part by part.
 
-The file's normalizer and pre-tokenizer drop white space and never join what stands before
-and after it, so the ids of a text are the ids of its parts between spaces and line feeds, in a
-row. Texts are split, and their parts numbered, by Arrow for a whole batch; each distinct part
+Texts are split, and their parts numbered, by Arrow for a whole batch; each distinct part
 is looked up once per batch, encoded if it is new, and remembered within a bound. The ids of the
 texts are then gathered by the numbers of their parts.
+
+``Encoder`` is for files of words: their normalizer and pre-tokenizer drop white space and never
+join what stands before and after it, so the ids of a text are the ids of its parts between spaces
+and line feeds, in a row. (``token_files.Encoder`` is for files of bytes.)
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .token_files import BYTE_ALPHABET
+from .byte_bpe import BYTE_ALPHABET
 
 #: a word of Latin letters that are their own normal form
 _PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
@@ -37,39 +40,50 @@ _ALPHABET = {**BYTE_ALPHABET, 0x20: 0x20}
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
-class Encoder:
+class PartEncoder:
     """Ids of texts as numbers of ``dtype``, by the tokenizers library."""
 
-    def __init__(self, path: str):
+    #: where a long text may be cut
+    safe: re.Pattern
+
+    def __init__(self, path: str, dtype: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.dtype = np.dtype(dtype or ("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"))
         # the same vocabulary for words that are already normalized, in the alphabet of bytes
-        spec = json.loads(self.tokenizer.to_str())
-        spec.update(normalizer=None, pre_tokenizer={"type": "WhitespaceSplit"}, added_tokens=[])
-        self.model = Tokenizer.from_str(json.dumps(spec))
-        self.ends_word = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.ends_word[i] = token.endswith(spec["model"]["end_of_word_suffix"])
+        self.spec = json.loads(self.tokenizer.to_str())
+        self.spec.update(normalizer=None, pre_tokenizer={"type": "WhitespaceSplit"}, post_processor=None, added_tokens=[])
+        self.model = Tokenizer.from_str(json.dumps(self.spec))
         # remembered parts, their ids, and which of them were met since the last clearing
         self.parts, self.ids = pa.array([], pa.string()), self._lists([0], [])
         self.met = np.zeros(0, bool)
 
+    def _cut(self, texts: pa.Array) -> pa.ListArray:
+        """The parts of texts."""
+        raise NotImplementedError
+
+    def _plain(self, parts: pa.Array) -> pa.Array:
+        """Which parts are one word to the model."""
+        raise NotImplementedError
+
+    def _word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of plain parts in a row, and the number of ids of each."""
+        raise NotImplementedError
+
     def _lists(self, ends, ids) -> pa.ListArray:
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.asarray(ids, self.dtype)))
 
     def _encoded(self, parts: pa.Array) -> pa.ListArray:
         """Ids of new parts."""
-        plain = pc.match_substring_regex(parts, _PLAIN)
+        plain = self._plain(parts)
         words = parts.filter(plain).to_pylist()
         flat, sizes = [], []
-        for i in range(0, len(words), WORDS):  # many words in one call; the last token of each ends a word
-            line = " ".join(words[i:i + WORDS]).lower().encode().decode("latin-1").translate(_ALPHABET)
-            ids = np.array(self.model.encode(line, add_special_tokens=False).ids, self.dtype)
+        for i in range(0, len(words), WORDS):  # many words in one call
+            ids, n = self._word_ids(words[i:i + WORDS])
             flat.append(ids)
-            sizes.append(np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1))
+            sizes.append(n)
         odd = self.tokenizer.encode_batch(parts.filter(pc.invert(plain)).to_pylist(), add_special_tokens=False)
         for e in odd:
             flat.append(np.array(e.ids, self.dtype))
@@ -107,7 +121,7 @@ class Encoder:
         while i < len(texts):
             j, held = i + 1, int(sizes[i])
             if held > BYTES:
-                ids = np.concatenate([g for piece in _pieces(texts[i].as_py())
+                ids = np.concatenate([g for piece in self._pieces(texts[i].as_py())
                                       for g, _ in [self._group(pa.array([piece]))]])
                 yield ids, np.array([len(ids)])
             else:
@@ -118,28 +132,50 @@ class Encoder:
             i = j
 
     def _group(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        apart = texts
-        for m in _MARKS:
-            apart = pc.replace_substring(apart, m, " " + m)
-        texts = pc.if_else(pc.match_substring_regex(texts, _CROWDED), texts, apart)
-        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        cut = self._cut(texts)
         numbered = cut.flatten().dictionary_encode()
         number, lists = self._learn(numbered.dictionary)
         taken = lists.take(pa.array(number[numbered.indices.to_numpy()]))
         at = taken.offsets.to_numpy()[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
         return taken.flatten().to_numpy(), at[1:] - taken.offsets[0].as_py()
 
+    def _pieces(self, text: str) -> Iterator[str]:
+        """A long text in pieces that end where it may be cut."""
+        at, step = 0, BYTES // 4
+        while len(text) - at > step:
+            found = self.safe.search(text, at + step)
+            if not found:
+                break
+            yield text[at:found.start()]
+            at = found.start()
+        yield text[at:]
+
+
+class Encoder(PartEncoder):
+    """For vocabulary files of words that end in a mark of their own."""
+
+    safe = re.compile("[ \n]")
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.ends_word = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends_word[i] = token.endswith(self.spec["model"]["end_of_word_suffix"])
+
+    def _cut(self, texts: pa.Array) -> pa.ListArray:
+        apart = texts
+        for m in _MARKS:
+            apart = pc.replace_substring(apart, m, " " + m)
+        texts = pc.if_else(pc.match_substring_regex(texts, _CROWDED), texts, apart)
+        return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+
+    def _plain(self, parts: pa.Array) -> pa.Array:
+        return pc.match_substring_regex(parts, _PLAIN)
 
-def _pieces(text: str) -> Iterator[str]:
-    """A long text in pieces that end before a space or line feed."""
-    at, step = 0, BYTES // 4
-    while len(text) - at > step:
-        cuts = [c for c in (text.find(" ", at + step), text.find("\n", at + step)) if c >= 0]
-        if not cuts:
-            break
-        yield text[at:min(cuts)]
-        at = min(cuts)
-    yield text[at:]
+    def _word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        line = " ".join(words).lower().encode().decode("latin-1").translate(_ALPHABET)
+        ids = np.array(self.model.encode(line, add_special_tokens=False).ids, self.dtype)
+        return ids, np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1)
 
 
 def encoder(path: str) -> Encoder:

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from blotter.llm import byte_bpe, token_files
+from blotter.llm import token_files, word_bpe
 from conftest import scratch
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,7 +24,7 @@ def ids(text):
 
 
 def encoded(texts):
-    return [np.frombuffer(b"".join(p), "<u4").tolist() for p in token_files.encoder(PATH)(texts)]
+    return [np.frombuffer(b"".join(p), "<u4").tolist() for p in token_files.encoder(PATH).of_texts(texts)]
 
 
 ODD = ["", " ", "  ", "x,\ny. z", "a1, b2.. (c) d;e x×. É. 漢, a|b c|, x<|endoftext|>, y", "\na", "a\n", "a", " a", "a ", "a  b", "a   b", "\n", "a\nb", "a \nb", "a\n b", "\ta b\t", "x\x0b y", "x \x1cy",
@@ -45,8 +45,8 @@ def test_any_text(texts):
 
 def test_bounded_memory(monkeypatch):
     monkeypatch.setattr(token_files, "_ENCODERS", {})
-    monkeypatch.setattr(byte_bpe, "MEMORY", 5)
-    monkeypatch.setattr(byte_bpe, "CHARS", 40)
+    monkeypatch.setattr(word_bpe, "MEMORY", 5)
+    monkeypatch.setattr(word_bpe, "BYTES", 40)
     rnd = random.Random(1)
     texts = [" ".join(rnd.choice("abcdefgh") * rnd.randrange(1, 90) for _ in range(9)) for _ in range(40)]
     assert encoded(texts) == [ids(t) for t in texts]
