@@ -13,9 +13,10 @@ to the driver; their size is languages x ``DIMENSIONS``. Prediction is a map ove
 rows. Sums are of integers, so the result does not depend on partitions or order.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; rows without
-label are not learned from; without any label every text is ``und``; equal cosines go to
-the first language by name; a negative cosine gives score 0; a null doc_id is not held
-out; repeated rows count as often as they stand; other columns are carried or ignored,
+label are not learned from; more than ``LANGUAGES`` labels raise an error; without any
+label every text is ``und``; equal cosines go to the first language by name; a negative
+cosine gives score 0; a null doc_id is not held out; repeated rows count as often as they
+stand; texts of any script take bounded memory; other columns are carried or ignored,
 whatever their names.
 """
 
@@ -34,6 +35,10 @@ SEED = 9
 UNKNOWN = "und"
 #: characters bundled at once, texts bundled at once, largest table of letter triples
 CHARS, TEXTS, TRIPLES = 500_000, 256, 4_000_000
+#: distinct trigrams bound at once, letters whose vectors are remembered
+BOUND, LETTERS = 4096, 4096
+#: labels that can be learned; a column with more is refused
+LANGUAGES = 1000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -47,6 +52,8 @@ _LETTERS: dict[int, np.ndarray] = {}
 def letter_vector(code: int) -> np.ndarray:
     """The +1/-1 vector of a code point; 0 is the mark at the ends of words."""
     if code not in _LETTERS:
+        if len(_LETTERS) >= LETTERS:
+            _LETTERS.clear()
         bits = np.random.default_rng([SEED, code]).integers(0, 2, DIMENSIONS)
         _LETTERS[code] = (2 * bits - 1).astype(np.float32)
     return _LETTERS[code]
@@ -92,7 +99,10 @@ def _bound(trigrams: np.ndarray) -> np.ndarray:
     letters, at = np.unique(trigrams, return_inverse=True)
     at = at.reshape(-1, 3)
     v = np.stack([letter_vector(int(c)) for c in letters])
-    return np.roll(v, 2, axis=1)[at[:, 0]] * np.roll(v, 1, axis=1)[at[:, 1]] * v[at[:, 2]]
+    bound = v[at[:, 2]]
+    for turn, letter in ((1, at[:, 1]), (2, at[:, 0])):  # the smaller of the two is turned
+        bound *= np.roll(v, turn, axis=1)[letter] if len(v) < len(at) else np.roll(v[letter], turn, axis=1)
+    return bound
 
 
 def _bundle(texts: list[str], owners: np.ndarray, n: int) -> np.ndarray:
@@ -100,9 +110,13 @@ def _bundle(texts: list[str], owners: np.ndarray, n: int) -> np.ndarray:
     row, which, trigrams = _trigrams(texts)
     if not len(which):
         return np.zeros((n, DIMENSIONS), np.float64)
-    u = len(trigrams)
-    counts = np.bincount(owners[row] * u + which, minlength=n * u).reshape(n, u)
-    return (counts.astype(np.float32) @ _bound(trigrams)).astype(np.float64)
+    total, owner = np.zeros((n, DIMENSIONS), np.float64), owners[row]
+    for i in range(0, len(trigrams), BOUND):  # the tables of a slice take a fixed space
+        some = trigrams[i:i + BOUND]
+        there = slice(None) if len(some) == len(trigrams) else (which >= i) & (which < i + BOUND)
+        counts = np.bincount(owner[there] * len(some) + which[there] - i, minlength=n * len(some))
+        total += counts.reshape(n, len(some)).astype(np.float32) @ _bound(some)
+    return total
 
 
 def _pieces(text: str) -> Iterator[str]:
@@ -153,6 +167,9 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()
                           & ~held_out(F.col("doc_id"))).select("lang", "text")
 
+    if labelled.select("lang").distinct().limit(LANGUAGES + 1).count() > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages are labelled")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for b in batches:

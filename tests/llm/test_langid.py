@@ -1,8 +1,13 @@
 """Hyperdimensional language ID: brute-force bundles, held-out accuracy, edge rows."""
 
+import os
+import subprocess
+import sys
 import zlib
 
 import numpy as np
+import pytest
+
 from blotter.llm import langid
 
 
@@ -42,6 +47,39 @@ def test_long_texts_are_bundled_whole(monkeypatch):
     assert (langid.bundles([text, None], [1, 0], 2) == np.stack([0 * want, want])).all()
 
 
+DENSE = """
+import random, resource
+from blotter.llm import langid
+rnd = random.Random(1)
+han = [chr(c) for c in range(0x4E00, 0x9FA5)]
+texts = ["".join(rnd.choices(han, k=%d)) for _ in range(%d)]
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+langid.bundles(texts, list(range(len(texts))), len(texts))
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+
+
+@pytest.mark.parametrize("size, count", [(500_000, 1), (1900, 256)])
+def test_dense_scripts_take_bounded_memory(size, count):
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    run = subprocess.run([sys.executable, "-c", DENSE % (size, count)], cwd=root, capture_output=True, text=True, check=True)
+    assert int(run.stdout) < 500
+
+
+def test_slices_equal_the_definition(monkeypatch):
+    want = np.stack([plain_bundle(t) for t in TEXTS])
+    monkeypatch.setattr(langid, "BOUND", 3)
+    monkeypatch.setattr(langid, "LETTERS", 2)
+    monkeypatch.setattr(langid, "_LETTERS", {})
+    assert (langid.bundles(TEXTS, list(range(len(TEXTS))), len(TEXTS)) == want).all()
+
+
+def test_too_many_labels_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 3)
+    with pytest.raises(ValueError):
+        langid.predictions(frame(spark, [(i, "a text", f"l{i}", "") for i in range(40)]))
+
+
 def frame(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, score string")
 
