@@ -3,7 +3,7 @@
 The fact is first reduced to one row per day (hash aggregation), so the
 ordered window runs over calendar days (a few thousand rows), not incidents.
 Pass ``partition_cols`` (e.g. ``["area_id"]``) to score each series in
-parallel.
+parallel, or ``block_days`` to score one long series in blocks of so many days.
 
 Semantics: mean and sample std of the *previous* 7 rows (current row
 excluded, row-based, only rows with a full window are scored); z = (x - mean)
@@ -13,29 +13,33 @@ mean (its z would be ±inf) and leaves z null.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..functions import columns as C
-from . import explore
+from .series import halo_window
 
 
 def daily_zscore(fact: DataFrame, window: int = codes.ROLLING_DAYS,
                  threshold: float = codes.Z_THRESHOLD,
-                 partition_cols: list[str] | None = None) -> DataFrame:
+                 partition_cols: list[str] | None = None, block_days: int | None = None) -> DataFrame:
     keys = list(partition_cols or [])
     daily = (fact.where(F.col("occurrence_date").isNotNull())
                  .groupBy(*keys, "occurrence_date").agg(F.count(F.lit(1)).alias("crime_count")))
-    w = (Window.partitionBy(*keys) if keys else Window).orderBy("occurrence_date") \
-        .rowsBetween(-window, -1)
     x = F.col("crime_count")
-    scored = daily.select(
-        "*",
-        F.avg(x).over(w).alias("rolling_mean"),
-        F.stddev_samp(x).over(w).alias("rolling_std"),
-        F.count(x).over(w).alias("_n"),
-    ).where(F.col("_n") == window).drop("_n")
+
+    def measures(w: WindowSpec) -> dict[str, Column]:
+        before = w.rowsBetween(-window, -1)
+        return {"rolling_mean": F.avg(x).over(before), "rolling_std": F.stddev_samp(x).over(before),
+                "_n": F.count(x).over(before)}
+
+    if block_days is None:
+        scored = daily.withColumns(measures((Window.partitionBy(*keys) if keys else Window).orderBy("occurrence_date")))
+    else:
+        block = F.floor(F.unix_date("occurrence_date") / block_days)
+        scored = halo_window(daily, "occurrence_date", block, window, measures, keys)
+    scored = scored.where(F.col("_n") == window).drop("_n")
     mean, sd = F.col("rolling_mean"), F.col("rolling_std")
     z = F.when(sd > 0, (x - mean) / sd)
     return scored.select(
@@ -93,7 +97,3 @@ def anomaly_by_dom(fact: DataFrame, **kw) -> DataFrame:
     """Anomaly days per day of month 1..31 (0 when none)."""
     return _dense_counts(daily_anomalies(fact, **kw), "day_of_month", list(range(1, 32)),
                          "anomaly_days")
-
-
-# re-exported so callers find the daily series next to its scoring
-daily_counts = explore.daily_counts

@@ -37,6 +37,27 @@ def types_predicate(types: list[str] | tuple[str, ...] | None) -> Column | None:
     return F.col("crime_description").isin(*vals) if vals else None
 
 
+#: descriptions that a filter lists as literals; a longer list is joined
+MOST_LITERALS = 100
+
+
+def in_types(fact: DataFrame, types: DataFrame | list[str] | tuple[str, ...],
+             column: str = "crime_description") -> DataFrame:
+    """Rows whose description is in a list or table (first column) of any length; null and
+    empty entries are skipped, and without any entry nothing is filtered. A short list is
+    a literal; anything else is a semi join, which the planner broadcasts or shuffles by its
+    size, with a Bloom filter of the list at the fact's scan where that pays."""
+    if not isinstance(types, DataFrame):
+        vals = list(dict.fromkeys(t for t in types if t))
+        if len(vals) <= MOST_LITERALS:
+            return fact.where(F.col(column).isin(*vals)) if vals else fact
+        types = fact.sparkSession.createDataFrame([(v,) for v in vals], "v string")
+    listed = types.select(F.col(types.columns[0]).alias(column)).where(F.col(column) != "").distinct()
+    if listed.isEmpty():
+        return fact
+    return fact.join(listed, column, "left_semi").select(*fact.columns)
+
+
 @dataclass(frozen=True)
 class Filters:
     date_from: str | date
@@ -76,7 +97,10 @@ class Filters:
         return out
 
     def apply(self, fact: DataFrame) -> DataFrame:
-        return fact.where(self.predicate())
+        """The fact's rows that pass; a long list of types is joined."""
+        if len(self.crime_types) <= MOST_LITERALS:
+            return fact.where(self.predicate())
+        return in_types(fact.where(self.without_types().predicate()), self.crime_types)
 
 
 def default_period(mart_or_fact: DataFrame, days: int = 365,

@@ -52,7 +52,7 @@ def top_types(fact: DataFrame, f: Filters, limit: int = 60) -> DataFrame:
 
 # Q04 – incident-weighted measures, approximate median (fact path)
 def map_agg_fact(fact: DataFrame, f: Filters) -> DataFrame:
-    return (fact.where(f.without_area().predicate())
+    return (f.without_area().apply(fact)
                 .groupBy("area_id", "area_name")
                 .agg(F.count(F.lit(1)).alias("crime_count"),
                      _violent().alias("violent_count"),
@@ -73,7 +73,7 @@ def area_map(fact: DataFrame, mart: DataFrame, f: Filters) -> DataFrame:
 
 # Q05
 def area_daily_series(fact: DataFrame, f: Filters) -> DataFrame:
-    return (fact.where(f.predicate())
+    return (f.apply(fact)
                 .groupBy("occurrence_date")
                 .agg(F.count(F.lit(1)).alias("crime_count"), _violent().alias("violent_count"))
                 .withColumn("violent_share", C.share("violent_count", "crime_count"))
@@ -82,7 +82,7 @@ def area_daily_series(fact: DataFrame, f: Filters) -> DataFrame:
 
 # Q06
 def area_top_types(fact: DataFrame, f: Filters, limit: int = 12) -> DataFrame:
-    g = (fact.where(f.predicate() & F.col("crime_description").isNotNull())
+    g = (f.apply(fact).where(F.col("crime_description").isNotNull())
              .groupBy("crime_description")
              .agg(F.count(F.lit(1)).alias("incidents"), _violent().alias("violent_incidents")))
     return _top(g, "incidents", "crime_description", limit)
@@ -90,7 +90,7 @@ def area_top_types(fact: DataFrame, f: Filters, limit: int = 12) -> DataFrame:
 
 # Q07
 def _monthly_by_type(fact: DataFrame, f: Filters) -> DataFrame:
-    return (fact.where(f.predicate() & F.col("crime_description").isNotNull())
+    return (f.apply(fact).where(F.col("crime_description").isNotNull())
                 .groupBy(C.month_start("occurrence_ts").alias("month_start"), "crime_description")
                 .agg(F.count(F.lit(1)).alias("incidents"), _violent().alias("violent_incidents")))
 
@@ -109,7 +109,7 @@ def monthly_trend_topn(fact: DataFrame, f: Filters, n: int = 8) -> DataFrame:
 
 # Q08
 def weekday_hour(fact: DataFrame, f: Filters) -> DataFrame:
-    return (fact.where(f.predicate())
+    return (f.apply(fact)
                 .groupBy("weekday", "hour_occ")
                 .agg(F.count(F.lit(1)).alias("incidents")))
 
@@ -120,7 +120,7 @@ def weekday_hour_matrix(fact: DataFrame, f: Filters) -> DataFrame:
     weekday (one shuffle; no distinct-values job). ``h_other`` counts the incidents of
     any other hour, null included, so every incident is in one cell."""
     hour = F.col("hour_occ")
-    wide = (fact.where(f.predicate())
+    wide = (f.apply(fact)
                 .groupBy("weekday")
                 .agg(*[F.count_if(hour == F.lit(h)).alias(f"h{h:02d}") for h in range(24)],
                      F.count_if(~F.coalesce(hour.between(0, 23), F.lit(False))).alias("h_other")))
@@ -141,7 +141,7 @@ def area_id_for_name(areas: DataFrame, area_name: str) -> DataFrame:
 
 # Q10
 def _monthly(fact: DataFrame, f: Filters) -> DataFrame:
-    return (fact.where(f.predicate())
+    return (f.apply(fact)
                 .groupBy(C.month_start("occurrence_ts").alias("month_start"))
                 .agg(F.count(F.lit(1)).alias("incidents"), _violent().alias("violent_incidents")))
 
@@ -173,14 +173,13 @@ def monthly_trend_smooth(fact: DataFrame, f: Filters) -> DataFrame:
 
 # Q11
 def total_incidents(fact: DataFrame, f: Filters) -> DataFrame:
-    return fact.where(f.predicate()).agg(F.count(F.lit(1)).alias("incidents"))
+    return f.apply(fact).agg(F.count(F.lit(1)).alias("incidents"))
 
 
 # Q12-Q14, Q16, Q17
 def distribution(fact: DataFrame, f: Filters, column: str, limit: int | None = None,
                  extra: Column | None = None) -> DataFrame:
-    p = f.predicate() if extra is None else f.predicate() & extra
-    g = (fact.where(p)
+    g = (f.apply(fact if extra is None else fact.where(extra))
              .groupBy(C.blank_to_unknown(column).alias(column))
              .agg(F.count(F.lit(1)).alias("incidents")))
     if limit is None:
@@ -210,7 +209,7 @@ def top_premises(fact: DataFrame, f: Filters, limit: int = 15) -> DataFrame:
 
 # Q15
 def weapon_share(fact: DataFrame, f: Filters) -> DataFrame:
-    g = fact.where(f.predicate()).agg(
+    g = f.apply(fact).agg(
         F.coalesce(F.sum(F.when(F.col("has_weapon"), 1).otherwise(0)), F.lit(0))
          .cast("bigint").alias("with_weapon"),
         F.count(F.lit(1)).alias("total"))

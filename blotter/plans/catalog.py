@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..operators import anomaly, areas, clean, explore, marts, metrics, model, quality
-from ..operators.filters import Filters, default_period
+from ..operators.filters import Filters, default_period, in_types
 from ..sources import adapter, landing, schemas
 from . import oracle as O
 from . import upsert
@@ -950,3 +950,29 @@ def q_period_median_delay(spark, sf_dir):
     """Exact medians of a period from the counted delays of the marts' state."""
     state = upserted(spark, sf_dir).read(spark, upsert.STATE)
     return upsert.period_median(state, *PERIOD, ["area_id", "crime_category"])
+
+
+# === long series, long lists ========================================================
+@register("daily_zscore_blocks", O.with_prefix(
+    f"SELECT {_Z_COLS}, is_anomaly, weekday, day_of_month FROM zscore", _ZSCORE))
+def q_daily_zscore_blocks(spark, sf_dir):
+    """As ``daily_zscore``, in blocks of 30 days that each get the days before as a halo."""
+    return _zcols(anomaly.daily_zscore(fact(spark, sf_dir), block_days=30))
+
+
+_LISTED = "SELECT DISTINCT crime_description FROM fact WHERE is_violent AND victim_age >= 90"
+
+
+@register("trend_of_listed_types", O.with_prefix(f"""
+SELECT cast(date_trunc('month', occurrence_ts) AS DATE) AS month_start, crime_description,
+  count(*) AS incidents, CAST(sum(CASE WHEN is_violent THEN 1 ELSE 0 END) AS BIGINT) AS violent_incidents
+FROM fact WHERE {_sql_where(ALL)} AND crime_description IN ({_LISTED})
+GROUP BY 1, 2 ORDER BY 1, 2"""))
+def q_trend_of_listed_types(spark, sf_dir):
+    """The monthly trend of the types that a table lists (those with very old victims)."""
+    f = fact(spark, sf_dir)
+    listed = f.where("is_violent AND victim_age >= 90").select("crime_description")
+    return metrics.monthly_trend(in_types(f, listed), ALL)
+
+
+ORDERS["trend_of_listed_types"] = ("month_start", "crime_description")
