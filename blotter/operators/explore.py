@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..functions import columns as C
+from .order import ordered
 
 
 def _type_tiebreak() -> list:
@@ -39,12 +40,12 @@ def fact_span(fact: DataFrame) -> DataFrame:
 
 # A12
 def daily_counts(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("occurrence_date").agg(_cnt()).orderBy("occurrence_date")
+    return ordered(fact.groupBy("occurrence_date").agg(_cnt()), "occurrence_date")
 
 
 # A13
 def hourly_counts(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("hour_occ").agg(_cnt()).orderBy("hour_occ")
+    return ordered(fact.groupBy("hour_occ").agg(_cnt()), "hour_occ")
 
 
 # P20 distribution
@@ -62,9 +63,9 @@ def hourly_category_pivot(fact: DataFrame) -> DataFrame:
     of any category outside the list, null included, so none is lost."""
     category = F.col("crime_category")
     listed = F.coalesce(category.isin(*CATEGORIES), F.lit(False))
-    return fact.groupBy("hour_occ").agg(
+    return ordered(fact.groupBy("hour_occ").agg(
         *[F.count_if(category == F.lit(c)).alias(c) for c in CATEGORIES],
-        F.count_if(~listed).alias("other_values")).orderBy("hour_occ")
+        F.count_if(~listed).alias("other_values")), "hour_occ")
 
 
 # A15
@@ -82,7 +83,7 @@ def macro_distribution(fact: DataFrame) -> DataFrame:
     g = with_macro_category(fact).groupBy("macro_category").agg(_cnt())
     # share of the grand total over the (at most 8) aggregated rows
     shared = g.withColumn("share", F.col("crime_count") / F.sum("crime_count").over(Window.partitionBy()))
-    return shared.orderBy(F.col("crime_count").desc(), "macro_category")
+    return ordered(shared, F.col("crime_count").desc(), "macro_category")
 
 
 # A18
@@ -102,9 +103,8 @@ def other_breakdown(fact: DataFrame) -> DataFrame:
 
 # A20
 def area_summary(fact: DataFrame) -> DataFrame:
-    return (fact.groupBy("area_id", "area_name").agg(_cnt())
-            .orderBy(F.col("crime_count").desc(), F.col("area_id").asc_nulls_last(),
-                     F.col("area_name").asc_nulls_last()))
+    return ordered(fact.groupBy("area_id", "area_name").agg(_cnt()), F.col("crime_count").desc(),
+                   F.col("area_id").asc_nulls_last(), F.col("area_name").asc_nulls_last())
 
 
 def _area_subset_share(fact: DataFrame, subset, part: str, share: str) -> DataFrame:
@@ -129,13 +129,13 @@ def _area_violent(fact: DataFrame) -> DataFrame:
 
 # J01
 def area_violent_share(fact: DataFrame) -> DataFrame:
-    return _area_violent(fact).orderBy(*_largest("violent_share"))
+    return ordered(_area_violent(fact), *_largest("violent_share"))
 
 
 # J02
 def area_night_share(fact: DataFrame) -> DataFrame:
     s = _area_subset_share(fact, C.is_night("hour_occ"), "night_crimes", "night_crime_share")
-    return s.orderBy(*_largest("night_crime_share"))
+    return ordered(s, *_largest("night_crime_share"))
 
 
 # J04 + T04 – top-10 by violent share, flagged when also top-10 by total

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from .filters import Filters
+from .order import ordered
 
 
 def _violent() -> Column:
@@ -73,11 +74,11 @@ def area_map(fact: DataFrame, mart: DataFrame, f: Filters) -> DataFrame:
 
 # Q05
 def area_daily_series(fact: DataFrame, f: Filters) -> DataFrame:
-    return (f.apply(fact)
-                .groupBy("occurrence_date")
-                .agg(F.count(F.lit(1)).alias("crime_count"), _violent().alias("violent_count"))
-                .withColumn("violent_share", C.share("violent_count", "crime_count"))
-                .orderBy("occurrence_date"))
+    daily = (f.apply(fact)
+             .groupBy("occurrence_date")
+             .agg(F.count(F.lit(1)).alias("crime_count"), _violent().alias("violent_count"))
+             .withColumn("violent_share", C.share("violent_count", "crime_count")))
+    return ordered(daily, "occurrence_date")
 
 
 # Q06
@@ -124,13 +125,13 @@ def weekday_hour_matrix(fact: DataFrame, f: Filters) -> DataFrame:
                 .groupBy("weekday")
                 .agg(*[F.count_if(hour == F.lit(h)).alias(f"h{h:02d}") for h in range(24)],
                      F.count_if(~F.coalesce(hour.between(0, 23), F.lit(False))).alias("h_other")))
-    return wide.orderBy(C.weekday_order("weekday"), F.col("weekday").asc_nulls_last())
+    return ordered(wide, C.weekday_order("weekday"), F.col("weekday").asc_nulls_last())
 
 
 # Q09
 def area_list(mart: DataFrame) -> DataFrame:
-    return (mart.where(F.col("area_id").isNotNull() & F.col("area_name").isNotNull())
-                .select("area_id", "area_name").distinct().orderBy("area_name", "area_id"))
+    named = mart.where(F.col("area_id").isNotNull() & F.col("area_name").isNotNull())
+    return ordered(named.select("area_id", "area_name").distinct(), "area_name", "area_id")
 
 
 # J07 – area name -> id (first id in id order)
@@ -147,7 +148,7 @@ def _monthly(fact: DataFrame, f: Filters) -> DataFrame:
 
 
 def monthly_total(fact: DataFrame, f: Filters) -> DataFrame:
-    return _monthly(fact, f).orderBy("month_start")
+    return ordered(_monthly(fact, f), "month_start")
 
 
 # W05 / W06 – 3-row rolling means (row-based, at least one row)
@@ -163,7 +164,7 @@ def _smooth(df: DataFrame, by: list[str]) -> DataFrame:
 
 def monthly_total_smooth(fact: DataFrame, f: Filters) -> DataFrame:
     """Input to the window is one row per month, so a single ordered partition is fine."""
-    return _smooth(_monthly(fact, f), []).orderBy("month_start")
+    return ordered(_smooth(_monthly(fact, f), []), "month_start")
 
 
 def monthly_trend_smooth(fact: DataFrame, f: Filters) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from . import clean
+from .order import ordered
 
 KEY_COLUMNS = ["dr_no", "occurrence_ts", "crime_category", "area_id", "area_name"]
 
@@ -55,8 +56,8 @@ def gold_counts(fact: DataFrame) -> DataFrame:
 
 # A10
 def silver_sex_freq(bronze: DataFrame) -> DataFrame:
-    return (clean.typed(bronze).groupBy("victim_sex").agg(F.count(F.lit(1)).alias("count"))
-            .orderBy(F.col("count").desc(), "victim_sex"))
+    counts = clean.typed(bronze).groupBy("victim_sex").agg(F.count(F.lit(1)).alias("count"))
+    return ordered(counts, F.col("count").desc(), "victim_sex")
 
 
 def silver_category_freq(silver: DataFrame) -> DataFrame:
