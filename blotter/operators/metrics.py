@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from . import topk
 from .filters import Filters
 from .order import ordered
 
@@ -51,6 +52,13 @@ def top_types(fact: DataFrame, f: Filters, limit: int = 60) -> DataFrame:
     return _top(g, "incidents", "crime_description", limit)
 
 
+def top_types_two_phase(fact: DataFrame, f: Filters, limit: int = 60, size: int = topk.SUMMARY) -> DataFrame:
+    """As ``top_types``, for very many descriptions: only those that may be among the most
+    frequent are counted through the shuffle."""
+    return topk.top_counts(fact.where(Filters(f.date_from, f.date_to, f.violence).predicate()),
+                           "crime_description", limit, size=size)
+
+
 # Q04 – incident-weighted measures, approximate median (fact path)
 def map_agg_fact(fact: DataFrame, f: Filters) -> DataFrame:
     return (f.without_area().apply(fact)

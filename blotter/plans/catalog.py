@@ -612,6 +612,12 @@ def q_top_types_nonviolent(spark, sf_dir):
     return metrics.top_types(fact(spark, sf_dir), NON_VIOLENT, 60)
 
 
+@register("top_types_two_phase", O.with_prefix(_top_sql(ALL, 60)))
+def q_top_types_two_phase(spark, sf_dir):
+    """Summaries of 500 descriptions a task, then exact counts of those that may be in the top 60."""
+    return metrics.top_types_two_phase(fact(spark, sf_dir), ALL, 60, size=500)
+
+
 def _map_fact_sql(f: Filters) -> str:
     return f"""
 SELECT area_id, area_name, count(*) AS crime_count,
@@ -976,3 +982,4 @@ def q_trend_of_listed_types(spark, sf_dir):
 
 
 ORDERS["trend_of_listed_types"] = ("month_start", "crime_description")
+ORDERS["top_types_two_phase"] = ORDERS["top_types"]
