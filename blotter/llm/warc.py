@@ -42,12 +42,47 @@ ROWS = 256
 RESPONSE = "record_id string, target_uri string, date string, block_digest string, payload_digest string, block binary"
 RECORD = "record_type string, headers array<struct<name:string,value:string>>, block string"
 
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*>", re.S | re.I)
+_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
 _BLOCK = re.compile(r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|"
                     r"main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^>]*(?:>|\Z)", re.I)
 _TAG = re.compile(r"</?[a-zA-Z][^>]*(?:>|\Z)")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_TITLE, _TITLE_END = re.compile(r"<title\b", re.I), re.compile(r"</title\s*>", re.I)
+_A, _HREF = re.compile(r"<a\b", re.I), re.compile(r"\bhref\s*=\s*", re.I)
+_VALUE = re.compile(r"\"([^\"]*)\"|'([^']*)'|([^\s>]+)")
+_CHARSET = re.compile(r"^content-type\s*:.*?\bcharset\s*=\s*[\"']?([\w.:-]+)", re.I)
+
+
+def title_of(page: str) -> str:
+    """Text between the first title tag and its end, or the end of the page."""
+    tag = _TITLE.search(page)
+    start = page.find(">", tag.end()) + 1 if tag else 0
+    if not start:
+        return ""
+    end = _TITLE_END.search(page, start)
+    return page[start:end.start() if end else len(page)]
+
+
+def links_of(page: str) -> Iterator[str]:
+    """Values of the href of anchor tags. A tag ends at the next ``>`` or the end of the page, and
+    no place is looked at twice, so a page of open tags takes linear time."""
+    at = 0
+    while tag := _A.search(page, at):
+        end = page.find(">", tag.end())
+        end = len(page) if end < 0 else end
+        href = _HREF.search(page, tag.end(), end)
+        value = _VALUE.match(page, href.end()) if href else None
+        if value:
+            yield next(filter(None, value.groups()), "")
+        at = value.end() if value else end
+
+
+def decoded(payload: bytes, http: list[str]) -> str:
+    """A page as text, by the charset of its Content-Type header (UTF-8 if none or unknown)."""
+    named = next((m[1] for m in map(_CHARSET.match, http) if m), "utf-8")
+    try:
+        return payload.decode(named, "replace")
+    except LookupError:
+        return payload.decode("utf-8", "replace")
 
 
 def visible_text(page: str) -> str:
@@ -75,14 +110,13 @@ def derive(record_id: str, uri: str | None, date: str | None, block_digest: str
     """(type, headers, block) of the two records derived from one response."""
     head, _, payload = (block or b"").partition(RECORD_END.encode())
     status, *http = head.decode("latin-1").split(CRLF)
-    page = payload.decode("utf-8", "replace")
+    page = decoded(payload, http)
     text = visible_text(page)
-    title = _TITLE.search(page)
     conversion = derived_id(record_id, "conversion")
     payload_digest = payload_digest or sha1(payload)
     fields = [("http-status", status), *(("http-header", h) for h in http if h),
-              ("title", entities.unescape(title[1]) if title else ""),
-              *(("outlink", next(filter(None, m.groups()), "")) for m in _LINK.finditer(_HIDDEN.sub("", page))),
+              ("title", entities.unescape(title_of(page))),
+              *(("outlink", link) for link in links_of(_HIDDEN.sub("", page))),
               ("source-block-digest", block_digest or sha1(block or b"")),
               ("source-payload-digest", payload_digest), ("conversion", conversion)]
     about = CRLF.join(f"{k}: {field(v)}" for k, v in fields)

@@ -3,8 +3,12 @@
 import gzip
 import glob
 import re
+import time
 from html.parser import HTMLParser
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from blotter.llm import warc
 from conftest import scratch
 
@@ -52,6 +56,38 @@ def test_broken_markup():
     assert warc.visible_text("") == ""
 
 
+def test_open_tags_take_linear_time():
+    for tag in ("<a ", "<title ", "<!", "<!-- ", "<script ", "<p ", "<a href=", "<a href='", '<a href="x ', "</title", "<", "&amp"):
+        page = tag * (1_000_000 // len(tag))
+        start = time.process_time()
+        warc.derive("<id>", "u", "d", None, None, b"HTTP/1.1 200 OK\r\n\r\n" + page.encode())
+        assert time.process_time() - start < 3, tag
+
+
+LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(["<a ", "<A\n", "<ab", "href=", "href = ", "'", '"', "x", "y>", ">", " ", "<title>", "<title a", "</title>", "</a>", "<b "]), max_size=14))
+def test_links_and_title_by_one_pattern(pieces):
+    page = "".join(pieces)
+    want = [next(filter(None, m.groups()), "") for m in LINK.finditer(page)]
+    if not re.search(r"href\s*=\s*(?:>|$)", page):  # a value that is missing ends a tag's links
+        assert list(warc.links_of(page)) == want
+    title = TITLE.search(page)
+    assert warc.title_of(page) == (title[1] if title else "")
+
+
+def test_charset_of_the_response():
+    def text(header, raw):
+        return warc.derive("<id>", "u", "d", None, None, f"HTTP/1.1 200 OK\r\n{header}\r\n\r\n".encode() + raw)[1][2]
+
+    assert text("Content-Type: text/html; charset=ISO-8859-1", "<p>é".encode("latin-1")) == "é"
+    assert text('content-type: text/html; Charset="shift_jis"', "<p>漢字".encode("shift_jis")) == "漢字"
+    assert text("Content-Type: text/html; charset=nonsense", "<p>é".encode()) == "é" == text("X: charset=latin-1", "<p>é".encode())
+
+
 ROWS = [(1, "http://a/x", "<title>T &amp; U</title><p>One\r\n two<a href='/l'>l</a><p>WARC/1.0\r\n\r\nx", "v"),
         (2, "http://a/y\r\nz", None, "v"), (3, None, "", "v"), (None, "http://a/é", "é", "v"),
         (4, "http://b", "long " * 50000, "v"), (4, "http://b", "long " * 50000, "v")]
