@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import clean, marts, model, quality
-from ..session import SETTINGS, app_id, shared_dir
+from ..session import SETTINGS, app_id, rebalanced, shared_dir
 from ..sources import adapter, files, geojson, landing, schemas, snapshots
 from ..sources.snapshots import Snapshot, Transaction
 from . import upsert
@@ -93,10 +93,7 @@ def write_fact(t: Transaction, fact: DataFrame) -> dict[str, int]:
     small files less for every dashboard query to list and open. Returns the quality counts,
     taken as the rows are written.
     """
-    aqe = fact.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
-    # without AQE the hint would be a plain hash on year (one task per year): skip it
-    out = fact.hint("rebalance", *FACT_PARTITIONS) if aqe else fact
-    out, seen = quality.observed_fact(out)
+    out, seen = quality.observed_fact(rebalanced(fact, *FACT_PARTITIONS))
     t.write(out, FACT, partition_by=FACT_PARTITIONS, sort_within=["occurrence_date"])
     return seen.get
 

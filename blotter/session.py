@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 #: Settings of every session this project starts: tests, bench and the refresh job alike.
@@ -79,3 +79,11 @@ def ensure_shared_dir(spark: SparkSession) -> str:
             and sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="blotter-"))
     return shared_dir(spark)
+
+
+def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows dealt out for a write that is partitioned by the columns: adaptive execution cuts
+    large values into files of the advisory size and merges small ones. Without it the hint
+    would be a plain hash (one task for each value), so rows stay where they are."""
+    aqe = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+    return df.hint("rebalance", *columns) if aqe else df
