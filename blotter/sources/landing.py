@@ -61,12 +61,27 @@ def parse_records(texts: DataFrame, schema: T.StructType = schemas.BRONZE_RAW, p
     inner = F.btrim("value", F.lit(_AROUND))
     if pages:  # records that follow each other without a comma stand on lines of their own
         inner = F.regexp_replace(inner, r"\}[ \t\r]*\n\s*\{", "},{")
-    page = F.concat(F.lit("["), inner, F.lit("]"))
     plain = T.StructType([T.StructField(c, T.StringType()) for c in declared])
     record = T.StructType([*plain, T.StructField(_KEYS, T.MapType(T.StringType(), T.VariantType())),
                            T.StructField(_SOUND, T.BooleanType()), T.StructField(_WHOLE, T.BooleanType())])
-    parsed = (texts.where(F.btrim("value", F.lit(_AROUND)) != "")
-              .select("value", page.alias("page"), *carry)
+    held = (texts.where(F.btrim("value", F.lit(_AROUND)) != "")
+            .select("value", inner.alias("inner"), *carry))
+    # a text of several records is cut first, so that each one is judged by itself
+    several = F.lit(True) if pages else F.rlike("inner", F.lit(r"\}\s*,\s*\{"))
+    whole = F.from_json(F.concat(F.lit("["), F.col("inner"), F.lit("]")), "array<string>")
+    held = held.withColumn("cut", F.when(several, whole)).withColumn(
+        "sound", F.filter("cut", lambda x: F.startswith(x, F.lit("{")) & (x != "{}")))
+    # the text itself goes only with what is reported as corrupt, not with each of its records
+    def unit(text, source):
+        return F.struct(text.alias("unit"), source.alias("value"))
+
+    none_text = F.lit(None).cast("string")
+    nothing, good = F.array(unit(none_text, F.col("value"))), F.transform("sound", lambda x: unit(x, none_text))
+    units = (F.when(~several, F.array(unit(F.col("inner"), F.col("value")))).when(F.col("cut").isNull(), nothing)
+             .when(F.size("sound") < F.size("cut"), F.concat(good, nothing)).otherwise(good))
+    parsed = (held.select(*carry, F.explode(units).alias("u"))
+              .select(*carry, F.coalesce("u.value", "u.unit").alias("value"),
+                      F.concat(F.lit("["), F.coalesce("u.unit", F.lit("[")), F.lit("]")).alias("page"))
               .withColumn("records", F.from_json("page", T.ArrayType(record))))
     closer = F.col("records").isNull()
     if others:
