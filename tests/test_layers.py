@@ -75,3 +75,20 @@ def test_every_step_runs_again_after_the_inputs_have_changed(spark, star):
     assert landing.ingest(spark, refresh.layers(spark, star, "landing").landing_dir).count() == 20
     assert refresh.layers(spark, star).fact(spark).count() == 20
     assert upsert.fact(spark, refresh.upserted(spark, star)).count() == 20
+
+
+def test_paths_are_decoded_once_a_file(spark):
+    d = scratch(spark, "odd names-")
+    texts = {"a+b c%20.json": ' ,\t"dr_no": "1",\n', "plain.json": '{"dr_no": "2", "date_occ": "2020"}\n',
+             "text.json": 'x "dr_no": "3"\n,"no key"\n'}
+    for name, text in texts.items():
+        with open(f"{d}/{name}", "w") as f:
+            f.write(text)
+    assert [os.path.basename(p) for p in landing.spread_files(spark.read.text(d))] == ["a+b c%20.json"]
+    zones = landing.zones(spark, [d], layout="lines")
+    assert {os.path.basename(r["path"]): r["records"] for r in zones.collect()} == {
+        "a+b c%20.json": 0, "plain.json": 1, "text.json": 0}
+    plan = zones._jdf.queryExecution().optimizedPlan().toString()
+    assert "url_decode" in plan.lower() or "UrlCodec" in plan
+    below = plan[plan.index("Aggregate"):].split("\n", 1)[1]
+    assert "url_decode" not in below.lower() and "UrlCodec" not in below
