@@ -92,3 +92,15 @@ def test_paths_are_decoded_once_a_file(spark):
     assert "url_decode" in plan.lower() or "UrlCodec" in plan
     below = plan[plan.index("Aggregate"):].split("\n", 1)[1]
     assert "url_decode" not in below.lower() and "UrlCodec" not in below
+
+
+def test_entry_has_wide_projections_compiled(spark, star):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    try:
+        for given, then in (("65535", "8000"), ("4000", "4000")):
+            spark.conf.set(key, given)
+            assert entry.queries()["silver_clean"](spark, star).agg(F.count("*")).first()[0] == 16
+            assert spark.conf.get(key) == then
+    finally:
+        spark.conf.set(key, before)
