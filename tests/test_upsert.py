@@ -116,3 +116,35 @@ def test_batches_from_a_stream(spark):
     now = snapshots.newest(spark, root)
     assert sorted((r.dr_no, r.crime_code) for r in upsert.fact(spark, now).collect()) == [("1", "b"), ("n0", None), ("n1", None)]
     assert now.number == 2
+
+
+def test_merge_moves_rows_once(spark):
+    """Old rows and batch meet in one shuffle, which the new parts are written from; no row is sorted before it."""
+    old = model.gold(clean.silver(batch(spark, [rec(dr_no=f"a{i}", at=10) for i in range(40)] + [rec(dr_no=None, at=10)]))).localCheckpoint()
+    late = model.gold(clean.silver(batch(spark, [rec(dr_no=f"a{i}", area="09", at=9 + i % 3) for i in range(20, 60)]
+                                         + [rec(dr_no=None, area="09", at=11)]))).localCheckpoint()
+    for pieces in (1, 3):
+        out = upsert.merged(old, late, 4, pieces)
+        assert same(out.select(*schemas.GOLD_COLUMNS), model.dedup_latest(old.unionByName(late)))
+        assert same(out.select("bucket"), out.select(upsert.bucket_of(F.col("dr_no"), 4)))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" not in plan
+
+
+def test_first_batch_is_written_without_staging(spark, monkeypatch):
+    written = []
+    write = snapshots.Transaction.write_folder
+    monkeypatch.setattr(snapshots.Transaction, "write_folder",
+                        lambda t, df, table, *a, **k: written.append(table) or write(t, df, table, *a, **k))
+    now = upsert.apply_batch(spark, batch(spark, [rec(dr_no="1", at=1), rec(dr_no="1", area="09", at=2)]), scratch(spark, "first-"))
+    assert "gold/batch" not in written and [r.area_id for r in upsert.fact(spark, now).collect()] == ["09"]
+
+
+def test_marts_of_the_last_batch_count_those_before(spark):
+    root = scratch(spark, "marts-")
+    batches = [batch(spark, [rec(dr_no=str(i), area=a, at=at) for i in range(n, n + 6)]) for n, a, at in ((0, "01", 1), (3, "02", 2))]
+    first = upsert.apply_batch(spark, batches[0], root, buckets=2, write_marts=False)
+    with pytest.raises(FileNotFoundError):
+        first.read(spark, "gold/mart_crime_daily_area")
+    upsert.apply_batch(spark, batches[1], root)
+    check(spark, root, batches)
