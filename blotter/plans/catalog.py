@@ -83,7 +83,7 @@ _READERS: dict[tuple, DataFrame] = {}
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str, schema=None) -> DataFrame:
-    step = {BRONZE: "bronze", f"gold/{DIM_AREA}": "areas"}.get(table, "refresh")
+    step = {BRONZE: "bronze", FACT: "fact", f"gold/{DIM_AREA}": "areas"}.get(table) or table.removeprefix("gold/")
     found = layers(spark, sf_dir, step).now(spark)
     key = (id(spark), *found.paths(table))
     if key not in _READERS:

@@ -6,7 +6,7 @@ the raw landing files) and lets dashboards read a year-partitioned fact whose
 date filters prune partitions.
 
 ``layers(spark, sf_dir, step)`` is the query catalogue's entry: for one input folder
-it runs a step of the batch (bronze, the refresh of every layer and mart, landing files, area
+it runs a step of the batch (bronze, the fact, a mart, silver, landing files, area
 dimension) and those that it reads, under the shared folder named by
 ``spark.checkpoint.dir``, and again whenever the input files have changed.
 """
@@ -114,6 +114,21 @@ def check_fact(fact: DataFrame) -> dict[str, int]:
     return counts
 
 
+def _write_silver(t: Transaction, bronze: DataFrame) -> dict[str, int]:
+    """The silver table; returns its quality counts, taken as the rows are written."""
+    typed, seen = quality.observed_silver(clean.typed(bronze))
+    t.write(clean.silver_from_typed(typed), SILVER)
+    return seen.get
+
+
+def _checked_fact(t: Transaction, gold: DataFrame, checks: bool = True) -> dict[str, int]:
+    """Writes the fact; where the counts taken on the way leave it open, its ids are counted in full."""
+    counts = write_fact(t, gold)
+    if checks and quality.sketch_doubts(counts):
+        t.notes["checks"] = check_fact(t.read(FACT, schemas.GOLD))
+    return counts
+
+
 def write_dim_area(t: Transaction, areas: str | list[str], multi_line: bool = True) -> None:
     """The area dimension from GeoJSON files."""
     feats = geojson.read_area_features(t.spark, areas, multi_line)
@@ -130,13 +145,9 @@ def refresh(spark: SparkSession, bronze: DataFrame, root: str, write_bronze: boo
         if write_bronze:
             t.write(bronze, BRONZE, evolve=True)
             bronze = t.read(BRONZE, schemas.BRONZE)
-        typed, seen = quality.observed_silver(clean.typed(bronze))
-        t.write(clean.silver_from_typed(typed), SILVER)
-        counts = write_fact(t, model.gold(t.read(SILVER, schemas.SILVER)))
+        t.notes.update(silver=_write_silver(t, bronze))
+        t.notes.update(fact=_checked_fact(t, model.gold(t.read(SILVER, schemas.SILVER)), checks))
         fact = t.read(FACT, schemas.GOLD)
-        t.notes.update(silver=seen.get, fact=counts)
-        if checks and quality.sketch_doubts(counts):
-            t.notes["checks"] = check_fact(fact)
         for name, build in marts.MARTS.items():
             t.write(build(fact), f"gold/{name}")
         if areas is not None:
@@ -174,8 +185,8 @@ def layers(spark: SparkSession, sf_dir: str, step: str = "refresh") -> Layers:
 
 def _build(spark: SparkSession, sf_dir: str, out: Layers, step: str, done: set[str]) -> None:
     before, run = STEPS[step]
-    if before is not None:
-        _build(spark, sf_dir, out, before, done)
+    for other in before:
+        _build(spark, sf_dir, out, other, done)
     if step not in done:
         run(spark, sf_dir, out)
         done.add(step)
@@ -204,8 +215,23 @@ def _bronze_step(spark: SparkSession, sf_dir: str, out: Layers) -> None:
         t.write(adapter.bronze_from_star(spark, sf_dir), BRONZE)
 
 
-def _refresh_step(spark: SparkSession, sf_dir: str, out: Layers) -> None:
-    refresh(spark, out.bronze(spark), out.root, write_bronze=False, grace=0)
+def _fact_step(spark: SparkSession, sf_dir: str, out: Layers) -> None:
+    """The fact and its checks, from bronze through silver's and gold's projections in one pass."""
+    with Transaction(spark, out.root) as t:
+        t.notes.update(fact=_checked_fact(t, model.gold(clean.silver(t.read(BRONZE, schemas.BRONZE)))))
+    snapshots.vacuum(spark, out.root, grace=0)
+
+
+def _mart_step(name: str):
+    def run(spark: SparkSession, sf_dir: str, out: Layers) -> None:
+        with Transaction(spark, out.root) as t:
+            t.write(marts.MARTS[name](t.read(FACT, schemas.GOLD)), f"gold/{name}")
+    return run
+
+
+def _silver_step(spark: SparkSession, sf_dir: str, out: Layers) -> None:
+    with Transaction(spark, out.root) as t:
+        t.notes.update(silver=_write_silver(t, t.read(BRONZE, schemas.BRONZE)))
 
 
 def _landing_step(spark: SparkSession, sf_dir: str, out: Layers) -> None:
@@ -218,12 +244,15 @@ def _areas_step(spark: SparkSession, sf_dir: str, out: Layers) -> None:
         write_dim_area(t, out.areas_dir, multi_line=False)
 
 
-#: steps of the whole batch in their order -> the step that each reads, and its work
+#: steps of the whole batch in their order -> the steps that each reads, and its work
 STEPS = {
-    "bronze": (None, _bronze_step),        # raw records derived from the star schema
-    "refresh": ("bronze", _refresh_step),  # silver, the fact, its checks, all marts
-    "landing": ("bronze", _landing_step),  # raw landing files and their skip index
-    "areas": ("refresh", _areas_step),     # polygon files and the area dimension
+    "bronze": ((), _bronze_step),                # raw records derived from the star schema
+    "fact": (("bronze",), _fact_step),           # the de-duplicated fact and its checks
+    **{name: (("fact",), _mart_step(name)) for name in marts.MARTS},
+    "silver": (("bronze",), _silver_step),       # the silver table and its quality counts
+    "refresh": (("silver", *marts.MARTS), lambda spark, sf_dir, out: None),  # every layer and mart
+    "landing": (("bronze",), _landing_step),     # raw landing files and their skip index
+    "areas": (("fact",), _areas_step),           # polygon files and the area dimension
 }
 
 

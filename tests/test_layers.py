@@ -104,3 +104,13 @@ def test_entry_has_wide_projections_compiled(spark, star):
             assert spark.conf.get(key) == then
     finally:
         spark.conf.set(key, before)
+
+
+def test_readers_of_the_fact_or_a_mart_build_no_other_layer(spark, star):
+    queries = entry.queries()
+    assert queries["fact_macro"](spark, star).count() == 16
+    assert _tables(spark, star) == {refresh.BRONZE, refresh.FACT}
+    notes = snapshots.newest(spark, refresh.layers_root(spark, star)).notes
+    assert notes["fact"]["rows"] == 16 and notes["fact"]["null_dr_no"] == 0
+    assert queries["area_list"](spark, star).count() == 1
+    assert _tables(spark, star) == {refresh.BRONZE, refresh.FACT, "gold/mart_crime_daily_area"}
