@@ -84,7 +84,7 @@ class PartEncoder:
             ids, n = self._word_ids(words[i:i + WORDS])
             flat.append(ids)
             sizes.append(n)
-        odd = self.tokenizer.encode_batch(parts.filter(pc.invert(plain)).to_pylist(), add_special_tokens=False)
+        odd = self.tokenizer.encode_batch_fast(parts.filter(pc.invert(plain)).to_pylist(), add_special_tokens=False)
         for e in odd:
             flat.append(np.array(e.ids, self.dtype))
         sizes.append(np.array([len(x) for x in flat[len(flat) - len(odd):]], np.int64))
@@ -96,7 +96,10 @@ class PartEncoder:
 
     def _learn(self, parts: pa.Array) -> tuple[np.ndarray, pa.ListArray]:
         """(numbers, lists): the ids of the i-th part are lists[numbers[i]]."""
-        at = pc.fill_null(pc.index_in(parts, value_set=self.parts), -1).to_numpy().copy()
+        # a table is made of the parts of this batch, which are fewer than those remembered
+        of = pc.fill_null(pc.index_in(self.parts, value_set=parts), -1).to_numpy()
+        at = np.full(len(parts), -1)
+        at[of[of >= 0]] = np.flatnonzero(of >= 0)
         known = at >= 0
         self.met[at[known]] = True
         new = parts.filter(pa.array(~known))
@@ -174,7 +177,8 @@ class Encoder(PartEncoder):
 
     def _word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         line = " ".join(words).lower().encode().decode("latin-1").translate(_ALPHABET)
-        ids = np.array(self.model.encode(line, add_special_tokens=False).ids, self.dtype)
+        (got,) = self.model.encode_batch_fast([line], add_special_tokens=False)  # no character offsets
+        ids = np.array(got.ids, self.dtype)
         return ids, np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1)
 
 

@@ -52,6 +52,29 @@ def test_bounded_memory(monkeypatch):
     assert encoded(texts) == [ids(t) for t in texts]
 
 
+def test_work_of_a_batch_grows_with_the_batch(monkeypatch):
+    """A table of parts is made of each batch, not of all parts remembered; and words are encoded
+    without character offsets."""
+    e, made, index_in = token_files.Encoder(PATH), [], word_bpe.pc.index_in
+    monkeypatch.setattr(word_bpe.pc, "index_in", lambda x, value_set: made.append(len(value_set)) or index_in(x, value_set=value_set))
+    monkeypatch.setattr(e, "model", type("Model", (), {"encode_batch_fast": e.model.encode_batch_fast})())
+    texts = [" ".join(f"w{chr(97 + i)}{chr(97 + j)}" for j in range(26)) for i in range(26)]
+    for t in [" ".join(texts), "one waa two wab", "one"]:
+        assert np.frombuffer(b"".join(next(e.of_texts([t]))), "<u4").tolist() == ids(t)
+    assert made[1:] == [4, 1]
+
+
+def test_words_end_where_their_bytes_do(monkeypatch):
+    e = token_files.Encoder(PATH)
+    words = ["a", " été", "naïveté", " Straße", "x" * 300, " y"]
+    got, sizes = e._word_ids(words)
+    assert np.split(got, np.cumsum(sizes)[:-1])[1].tolist() == ids(" été")
+    assert [x.tolist() for x in np.split(got, np.cumsum(sizes)[:-1])] == [ids(w) for w in words]
+    e.token_bytes = np.ones_like(e.token_bytes)  # as if bytes were missing: the library says where words end
+    again, same = e._word_ids(words)
+    assert again.tolist() == got.tolist() and same.tolist() == sizes.tolist()
+
+
 @pytest.fixture(scope="module")
 def written(spark):
     rnd = random.Random(4)
